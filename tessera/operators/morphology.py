@@ -292,3 +292,98 @@ def densify(voxels: DataFrame, shape: tuple[int, int, int], label: str = "seg_id
     return grid.join(voxels.select(*AXES, label), list(AXES), "left").withColumn(
         label, F.coalesce(label, F.lit(0)).cast("bigint")
     )
+
+
+def _inside(inner: str, outer: str) -> Column:
+    """Box ``inner`` lies strictly within box ``outer`` (column prefixes)."""
+    test = F.lit(True)
+    for a in AXES:
+        test = test & (F.col(f"{inner}{a}0") > F.col(f"{outer}{a}0")) & (F.col(f"{inner}{a}1") < F.col(f"{outer}{a}1"))
+    return test
+
+
+def enclosed_regions(
+    voxels: DataFrame, shape: tuple[int, int, int], label: str = "seg_id", edge: int = EDGE
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Which regions lie in holes of which objects.
+
+    Returns (cells with their region, regions with label and size, pairs
+    ``(owner, region)``). A region is a 6-connected set of cells of one value, be it
+    background or another object. It lies in a hole of ``owner`` if every path from
+    it to the border of the volume meets ``owner``. Such a region lies strictly
+    inside the owner's bounding box and so do all regions on those paths, so the
+    search only ever follows neighbours inside that box; the first one that leaves
+    it proves the region open.
+    """
+    cells = materialize(voxel_components(densify(voxels, shape, label), shape[1:], 6, label, edge))
+    cells = cells.withColumnRenamed("component", "region")
+    box = [f(c).alias(f"{a}{i}") for a in AXES for i, f in ((0, F.min), (1, F.max)) for c in (a,)]
+    regions = materialize(cells.groupBy("region", label).agg(F.count(F.lit(1)).alias("size"), *box))
+    outer = regions.where(F.col(label) != 0).groupBy(F.col(label).alias("owner"))
+    owners = materialize(
+        outer.agg(*[f(f"{a}{i}").alias(f"o{a}{i}") for a in AXES for i, f in ((0, F.min), (1, F.max))])
+    )
+    touching = label_adjacency(cells, "region", edge)
+    both = touching.unionByName(touching.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    # a region on the border is in no hole, so it never needs its neighbours looked up
+    interior = F.lit(True)
+    for a, n in zip(AXES, shape):
+        interior = interior & (F.col(f"{a}0") > 0) & (F.col(f"{a}1") < n - 1)
+    boxes = [f"{a}{i}" for a in AXES for i in (0, 1)]
+    start = regions.where(interior).select(F.col("region").alias("a"), F.col(label).alias("_from"), *[F.col(c).alias(f"f{c}") for c in boxes])
+    towards = regions.select(F.col("region").alias("b"), F.col(label).alias("_to"), *[F.col(c).alias(f"t{c}") for c in boxes])
+    links = materialize(lookup_join(both.join(start, "a"), towards, "b", "inner"))
+
+    def bounded(pairs: DataFrame) -> DataFrame:
+        return lookup_join(pairs, owners, "owner", "inner")
+
+    first = links.where("_to <> 0").withColumn("owner", F.col("_to"))
+    first = bounded(first).where(_inside("f", "o")).select("owner", F.col("a").alias("region")).distinct()
+    frontier, found = materialize(first, F.count(F.lit(1)).alias("n"))
+    known, steps = frontier, []
+    while found["n"]:
+        hops = bounded(frontier.join(links.withColumnRenamed("a", "region"), "region").where("_to <> owner"))
+        hops = materialize(hops.select("owner", "region", F.col("b").alias("next"), _inside("t", "o").alias("inside")))
+        steps.append(hops)
+        escaped = hops.where("not inside").select("owner", "region").distinct()
+        onward = hops.join(escaped, ["owner", "region"], "left_anti")
+        fresh = onward.select("owner", F.col("next").alias("region")).distinct()
+        frontier, found = materialize(fresh.join(known, ["owner", "region"], "left_anti"), F.count(F.lit(1)).alias("n"))
+        known = materialize(known.unionByName(frontier))
+    if not steps:
+        return cells, regions, known
+    hops = steps[0]
+    for more in steps[1:]:
+        hops = hops.unionByName(more)
+    numbered = materialize(with_index(known, ["owner", "region"], "pair"))
+    target = numbered.select("owner", F.col("region").alias("next"), F.col("pair").alias("other"))
+    ties = hops.where("inside").join(numbered, ["owner", "region"]).join(target, ["owner", "next"])
+    roots = contract(ties, "pair", "other").select(F.col("id").alias("pair"), "root")
+    grouped = materialize(numbered.join(roots, "pair", "left").withColumn("root", F.coalesce("root", "pair")))
+    escaped = hops.where("not inside").select("owner", "region").distinct()
+    open_roots = escaped.join(grouped, ["owner", "region"]).select("root").distinct()
+    closed = lookup_join(grouped, open_roots.withColumn("_open", F.lit(True)), "root").where(F.col("_open").isNull())
+    return cells, regions, materialize(closed.select("owner", "region"))
+
+
+def hole_counts(regions: DataFrame, closed: DataFrame) -> DataFrame:
+    """Voxels in holes per object, enclosed objects included."""
+    sized = lookup_join(closed, regions.select("region", "size"), "region", "inner")
+    return sized.groupBy("owner").agg(F.sum("size").alias("hole_voxels"))
+
+
+def fill_holes(voxels: DataFrame, shape: tuple[int, int, int], label: str = "seg_id", edge: int = EDGE) -> DataFrame:
+    """Give the cells in an object's holes its label, in ascending label order.
+
+    As each object with holes writes its whole filled body, the largest label that
+    encloses a cell wins, and an enclosed object survives only if it has holes of
+    its own and the larger label.
+    """
+    cells, regions, closed = enclosed_regions(voxels, shape, label, edge)
+    writers = closed.select(F.col("owner").alias(label), F.lit(True).alias("_writes")).distinct()
+    winners = closed.groupBy("region").agg(F.max("owner").alias("_owner"))
+    changed = lookup_join(regions.select("region", label, "size").join(winners, "region"), writers, label)
+    own = F.when(F.col("_writes"), F.col(label))
+    changed = materialize(changed.select("region", "size", F.greatest("_owner", own).alias("_filled")))
+    joined = lookup_join(cells, changed, "region", weight="size")
+    return joined.select(*AXES, F.coalesce("_filled", label).alias(label)).where(F.col(label) != 0)

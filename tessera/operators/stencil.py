@@ -93,17 +93,15 @@ def per_block(
 
 
 def line_pass(
-    df: DataFrame, axis: str, kernel: Callable[..., np.ndarray], length: int, fill: dict[str, float], out_length: int | None = None,
-    schema: str = "z bigint, y bigint, x bigint, val double", tile: int = 8,
+    df: DataFrame, axis: str, kernel: Callable[..., np.ndarray], length: int, fill: dict[str, float], tile: int = 8
 ) -> DataFrame:
     """Run ``kernel`` along whole lines of one axis.
 
     ``kernel`` gets the columns named in ``fill`` as dense arrays (lines, length) and
-    returns an array (lines, out_length) in which NaN marks cells that are not stored.
+    returns lines of any length, in which NaN marks cells that are not stored.
     A group holds ``tile * tile`` lines, so its size is bounded by the extent.
     """
     others = [a for a in AXES if a != axis]
-    size = out_length or length
     tiled = df.select(
         *AXES, *fill, *[F.floor(F.col(a) / F.lit(tile)).alias(f"_b{a}") for a in others]
     )
@@ -127,5 +125,4 @@ def line_pass(
         }
         return pa.table({**{a: columns[a].astype("int64") for a in AXES}, "val": result[line, position]})
 
-    assert size > 0
-    return tiled.groupBy(*[f"_b{a}" for a in others]).applyInArrow(run, schema)
+    return tiled.groupBy(*[f"_b{a}" for a in others]).applyInArrow(run, "z bigint, y bigint, x bigint, val double")

@@ -35,6 +35,13 @@ select distinct cast(floor(l_orderkey / 64.0) as bigint) as z, l_partkey % 16 as
 from lineitem) cells) blocks"""
 SEGMENT_PLANE = (16, 16)
 
+# a nearly solid volume, 16 x 16 x (orders / 256): 8^3 bodies with single missing cells
+# inside and small inclusions of another label; again one body label holds a third
+SOLID = """select z, y, x, cast(case when line >= 4 then 2 * b + 3 when b % 3 = 0 then 1 else 2 * b + 2 end as bigint) as seg_id from (
+select z, y, x, line, cast(floor(z / 8.0) * 4 + floor(y / 8.0) * 2 + floor(x / 8.0) as bigint) as b from (
+select cast(floor(l_orderkey / 256.0) as bigint) as z, l_partkey % 16 as y, (l_suppkey * 7 + l_linenumber) % 16 as x, min(l_linenumber) as line
+from lineitem group by 1, 2, 3) cells) blocks"""
+
 # half-resolution companion of SEGMENTS
 NUCLEI = """select z, y, x, cast(1 + floor(z / 4.0) * 4 + floor(y / 4.0) * 2 + floor(x / 4.0) as bigint) as seg_id from (
 select distinct cast(floor(l_orderkey / 128.0) as bigint) as z, l_suppkey % 8 as y, (l_partkey + l_linenumber) % 8 as x

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import grid, scalars
-from ..operators import changelog, graph, morphology, proof, relabel, tasks
+from ..operators import changelog, fuse, graph, morphology, proof, relabel, shape, tasks
 from ..session import configure, materialize
 from . import fixtures as fx
 
@@ -420,19 +420,19 @@ def erode_once(t: Tables) -> DataFrame:
     return morphology.erode(t(fx.SEGMENTS), 1, 6)
 
 
-_CORE26 = f"""with recursive vox as ({fx.SEGMENTS}), s26 as ({_steps26()}), core as (select v.z, v.y, v.x, v.seg_id from vox v, s26, vox w
+_CORE26 = f"""with recursive vox as ({fx.SOLID}), s26 as ({_steps26()}), core as (select v.z, v.y, v.x, v.seg_id from vox v, s26, vox w
 where {_NEAR} and v.seg_id = w.seg_id group by 1, 2, 3, 4 having count(*) = 26)"""
 
 
 @query(f"{_CORE26} select * from core")
 def erode_once_26(t: Tables) -> DataFrame:
-    return morphology.erode(t(fx.SEGMENTS), 1, 26)
+    return morphology.erode(t(fx.SOLID), 1, 26)
 
 
 @query(f"""{_CORE26} select distinct w.z, w.y, w.x, w.seg_id from core v, (select * from s26 union all select 0, 0, 0) s, vox w
 where {_NEAR} and v.seg_id = w.seg_id""")
 def dilate_once(t: Tables) -> DataFrame:
-    voxels = _segments(t)
+    voxels = materialize(t(fx.SOLID))
     return morphology.dilate(morphology.erode(voxels, 1, 26), voxels, 1, 26)
 
 
@@ -510,3 +510,133 @@ def erosion_split(t: Tables) -> DataFrame:
 where {_NEAR} and v.seg_id < w.seg_id""")
 def label_adjacency(t: Tables) -> DataFrame:
     return morphology.label_adjacency(t(fx.SEGMENTS))
+
+
+# flood of the free cells around each object, from outside its padded box
+_HOLES = f"""with recursive vox as ({fx.SOLID}), s6 as ({_ONE_STEP}),
+box as (select seg_id as o, min(z) - 1 as z0, max(z) + 1 as z1, min(y) - 1 as y0, max(y) + 1 as y1, min(x) - 1 as x0, max(x) + 1 as x1 from vox group by 1),
+free as (select o, z, y, x, z = z0 and y = y0 and x = x0 as corner from (select *, unnest(range(z0, z1 + 1)) as z from box) a,
+lateral (select unnest(range(y0, y1 + 1)) as y) b, lateral (select unnest(range(x0, x1 + 1)) as x) c
+where not exists (select 1 from vox v where v.seg_id = o and v.z = a.z and v.y = b.y and v.x = c.x)),
+reached as (select o, z, y, x from free where corner union
+select f.o, f.z, f.y, f.x from reached r, s6, free f where f.o = r.o and f.z = r.z + dz and f.y = r.y + dy and f.x = r.x + dx),
+holes as (select o, z, y, x from free except select o, z, y, x from reached),
+writes as (select z, y, x, o from holes union all select z, y, x, seg_id from vox where seg_id in (select o from holes)),
+last as (select z, y, x, max(o) as o from writes group by 1, 2, 3)"""
+
+
+@query(f"""{_HOLES} select coalesce(v.z, l.z) as z, coalesce(v.y, l.y) as y, coalesce(v.x, l.x) as x, coalesce(o, seg_id) as seg_id
+from vox v full join last l on v.z = l.z and v.y = l.y and v.x = l.x""")
+def fill_holes(t: Tables) -> DataFrame:
+    voxels = materialize(t(fx.SOLID))
+    return morphology.fill_holes(voxels, morphology.extent(voxels))
+
+
+@query(f"{_HOLES} select o as owner, count(*) as hole_voxels from holes group by 1")
+def hole_counts(t: Tables) -> DataFrame:
+    voxels = materialize(t(fx.SOLID))
+    _, regions, closed = morphology.enclosed_regions(voxels, morphology.extent(voxels))
+    return morphology.hole_counts(regions, closed)
+
+
+# --- shape ---------------------------------------------------------------------
+
+_MOMENTS = f"""select seg_id, count(*) as volume, var_pop(z) as zz, var_pop(y) as yy, var_pop(x) as xx,
+-covar_pop(z, y) as zy, -covar_pop(z, x) as zx, -covar_pop(y, x) as yx from ({fx.SEGMENTS}) v group by 1"""
+_ELONGATION = f"""select seg_id, volume, round((q + 2 * p * cos(a)) / (q + 2 * p * cos(a + 2 * pi() / 3)), 6) as elongation from (
+select *, acos(least(greatest((dz * (dy * dx - yx * yx) - zy * (zy * dx - yx * zx) + zx * (zy * yx - dy * zx)) / (2 * p * p * p), -1), 1)) / 3 as a from (
+select *, sqrt((dz * dz + dy * dy + dx * dx + 2 * (zy * zy + zx * zx + yx * yx)) / 6) as p from (
+select *, yy + xx - q as dz, zz + xx - q as dy, zz + yy - q as dx from (select *, (zz + yy + xx) * 2 / 3 as q from ({_MOMENTS}) m) a) b) c) d"""
+
+
+@query(_ELONGATION)
+def elongation(t: Tables) -> DataFrame:
+    return shape.elongation(t(fx.SEGMENTS)).withColumn("elongation", F.round("elongation", 6))
+
+
+_BBOX = f"""select seg_id, min(z) as z0, min(y) as y0, min(x) as x0, max(z) + 1 as z1, max(y) + 1 as y1, max(x) + 1 as x1,
+count(*) as voxels from ({fx.SEGMENTS}) v group by 1"""
+
+
+@query(_BBOX)
+def bbox(t: Tables) -> DataFrame:
+    return shape.bounding_boxes(t(fx.SEGMENTS))
+
+
+@query(f"select b.* from ({_BBOX}) b where seg_id in (select label - 900 from ({fx.VALID_LABELS}) ok)")
+def bbox_of_labels(t: Tables) -> DataFrame:
+    only = t(fx.VALID_LABELS).select(F.col("label") - 900)
+    return shape.bounding_boxes(t(fx.SEGMENTS), only=only)
+
+
+@query(f"""select v.z - z0 as z, v.y - y0 as y, v.x - x0 as x, v.seg_id from ({fx.SEGMENTS}) v join ({_BBOX}) b on v.seg_id = b.seg_id
+where v.seg_id = (select max(seg_id) from ({fx.SEGMENTS}) m)""")
+def subvolume(t: Tables) -> DataFrame:
+    voxels = _segments(t)
+    value = morphology.max_label(voxels)
+    box = shape.bounding_boxes(voxels.where(F.col("seg_id") == value)).first().asDict()
+    return shape.subvolume(voxels, value, box)
+
+
+@query(f"""{_BY_LABEL}, inner_faces as (select v.seg_id, count(*) as n from vox v, s6, vox w where {_NEAR} and v.seg_id = w.seg_id group by 1),
+basic as (select seg_id, count(*) as volume, max(z) - min(z) + 1 as z_size, max(y) - min(y) + 1 as y_size, max(x) - min(x) + 1 as x_size,
+round(avg(z), 6) as z_mean, round(avg(y), 6) as y_mean, round(avg(x), 6) as x_mean from vox group by 1)
+select basic.*, components, 6 * volume - coalesce(n, 0) as surface, elongation from basic join parts using (seg_id)
+left join inner_faces using (seg_id) join (select seg_id, elongation from ({_ELONGATION}) e) el using (seg_id)""")
+def morphology_metrics(t: Tables) -> DataFrame:
+    voxels = _segments(t)
+    parts = morphology.connectivity_by_label(morphology.voxel_components(voxels, _PLANE, 6))
+    out = shape.morphology(voxels, parts)
+    return out.withColumns({c: F.round(c, 6) for c in ("z_mean", "y_mean", "x_mean", "elongation")})
+
+
+@query(f"""with overlap as (select n.seg_id as organelle, c.seg_id as cell, count(*) as overlap from ({fx.NUCLEI}) n
+join (select floor(z / 2.0) as z, floor(y / 2.0) as y, floor(x / 2.0) as x, seg_id from ({fx.SEGMENTS}) s where z % 2 = 0 and y % 2 = 0 and x % 2 = 0) c
+on n.z = c.z and n.y = c.y and n.x = c.x group by 1, 2)
+select organelle, cell, overlap from (select *, row_number() over (partition by organelle order by overlap desc, cell) as i from overlap) r where i = 1""")
+def organelle_assign(t: Tables) -> DataFrame:
+    return shape.assign_by_overlap(t(fx.NUCLEI), fuse.stride(t(fx.SEGMENTS), 2))
+
+
+# --- resampling and fusion -----------------------------------------------------
+
+
+@query(f"""select cast(floor(z / 2.0) as bigint) as z, cast(floor(y / 2.0) as bigint) as y, cast(floor(x / 2.0) as bigint) as x, seg_id
+from ({fx.SEGMENTS}) v where z % 2 = 0 and y % 2 = 0 and x % 2 = 0""")
+def strided_downsample(t: Tables) -> DataFrame:
+    return fuse.stride(t(fx.SEGMENTS), 2)
+
+
+@query(f"""select n.z, n.y, n.x, c.seg_id from ({fx.SEGMENTS}) c join ({fx.NUCLEI}) n on c.z = 2 * n.z and c.y = 2 * n.y and c.x = 2 * n.x
+where c.seg_id > 0 and n.seg_id > 0""")
+def cell_nuclei_merge(t: Tables) -> DataFrame:
+    return fuse.merge_nuclei(t(fx.SEGMENTS), t(fx.NUCLEI))
+
+
+# output cell i takes input position i * (n - 1) / (m - 1)
+_AXES_OUT = f"""with recursive vox as ({fx.SEGMENTS}), n as (select max(z) + 1 as n from vox), m as (select n, cast(floor(n / 3.0) as bigint) as m from n),
+oz as (select i, i * (cast(n - 1 as double) / (m - 1)) as s from (select n, m, unnest(range(0, m)) as i from m) r),
+oy as (select i, i * (15.0::double / 7) as s from (select unnest(range(0, 8)) as i) r), ox as (select i, i * (15.0::double / 4) as s from (select unnest(range(0, 5)) as i) r)"""
+
+
+@query(f"""{_AXES_OUT} select oz.i as z, oy.i as y, ox.i as x, seg_id from vox join oz on floor(oz.s + 0.5) = z
+join oy on floor(oy.s + 0.5) = y join ox on floor(ox.s + 0.5) = x""")
+def resample_nearest(t: Tables) -> DataFrame:
+    voxels = _segments(t)
+    return fuse.resample(voxels, morphology.extent(voxels)[:1] + (16, 16), (3, 2, 3), "nearest")
+
+
+@query(f"""{_AXES_OUT}, w as (select oz.i as z, oy.i as y, ox.i as x, (1 - abs(oz.s - v.z)) * (1 - abs(oy.s - v.y)) * (1 - abs(ox.s - v.x)) as w, seg_id
+from vox v join oz on v.z in (floor(oz.s), floor(oz.s) + 1) join oy on v.y in (floor(oy.s), floor(oy.s) + 1) join ox on v.x in (floor(ox.s), floor(ox.s) + 1))
+select z, y, x, round(sum(w * seg_id), 6) as val from w where w > 0 group by 1, 2, 3""")
+def resample_linear(t: Tables) -> DataFrame:
+    voxels = _segments(t)
+    out = fuse.resample(voxels, morphology.extent(voxels)[:1] + (16, 16), (3, 2, 3), "linear", "seg_id")
+    return out.select("z", "y", "x", F.round("seg_id", 6).alias("val"))
+
+
+@query()
+def resample_cubic(t: Tables) -> DataFrame:
+    voxels = _segments(t)
+    out = fuse.resample(voxels, morphology.extent(voxels)[:1] + (16, 16), (3, 2, 3), "cubic", "seg_id")
+    return out.select("z", "y", "x", F.round("seg_id", 6).alias("val"))
