@@ -30,15 +30,21 @@ def offsets(connectivity: int, half: bool = False) -> list[tuple[int, int, int]]
 
 
 class Cells:
-    """The rows of one block, in C order, with neighbour lookup by position."""
+    """The rows of one block, in C order, with neighbour lookup by position.
 
-    def __init__(self, table: pa.Table, halo: int, edge: int, columns: list[str]):
+    With ``layer``, rows are ordered by that column first and only rows with the same
+    value are neighbours; a cell may then appear once per value.
+    """
+
+    def __init__(self, table: pa.Table, halo: int, edge: int, columns: list[str], layer: str | None = None):
         self.block = [table.column(f"_b{a}")[0].as_py() for a in AXES]
         self.pad, self.edge = halo + 1, edge
         self.width = edge + 2 * self.pad
         raw = [table.column(a).to_numpy() for a in AXES]
         local = [c - b * edge + self.pad for c, b in zip(raw, self.block)]
         key = self.pack(local)
+        if layer:
+            key += np.unique(table.column(layer).to_numpy(), return_inverse=True)[1] * self.width**3
         order = np.argsort(key, kind="stable")
         self.key = key[order]
         self.coords = [c[order] for c in raw]
@@ -75,7 +81,8 @@ class Cells:
 
 
 def per_block(
-    df: DataFrame, kernel: Callable[[Cells], dict], schema: str, columns: list[str], halo: int = 0, edge: int = EDGE
+    df: DataFrame, kernel: Callable[[Cells], dict], schema: str, columns: list[str], halo: int = 0, edge: int = EDGE,
+    layer: str | None = None,
 ) -> DataFrame:
     """Run ``kernel`` on every block of ``df`` (``z, y, x`` and ``columns``)."""
     names = [part.split()[0] for part in schema.split(",")]
@@ -86,22 +93,24 @@ def per_block(
         spread = spread.withColumn(f"_b{a}", block)
 
     def run(table: pa.Table) -> pa.Table:
-        out = kernel(Cells(table, halo, edge, columns))
+        out = kernel(Cells(table, halo, edge, columns, layer))
         return pa.table({n: out[n] for n in names})
 
     return spread.groupBy(*[f"_b{a}" for a in AXES]).applyInArrow(run, schema)
 
 
 def line_pass(
-    df: DataFrame, axis: str, kernel: Callable[..., np.ndarray], length: int, fill: dict[str, float], tile: int = 8
+    df: DataFrame, axis: str, kernel: Callable[..., np.ndarray], length: int, fill: dict[str, float], carry: str | None = None, tile: int = 8
 ) -> DataFrame:
     """Run ``kernel`` along whole lines of one axis.
 
     ``kernel`` gets the columns named in ``fill`` as dense arrays (lines, length) and
-    returns lines of any length, in which NaN marks cells that are not stored.
+    returns lines in which NaN marks cells that are not stored. The length may change
+    unless an integer column is carried along (``carry``).
     A group holds ``tile * tile`` lines, so its size is bounded by the extent.
     """
     others = [a for a in AXES if a != axis]
+    schema = "z bigint, y bigint, x bigint, " + (f"{carry} bigint, " if carry else "") + "val double"
     tiled = df.select(
         *AXES, *fill, *[F.floor(F.col(a) / F.lit(tile)).alias(f"_b{a}") for a in others]
     )
@@ -123,6 +132,9 @@ def line_pass(
             others[0]: lines[line] // tile + base[0],
             others[1]: lines[line] % tile + base[1],
         }
-        return pa.table({**{a: columns[a].astype("int64") for a in AXES}, "val": result[line, position]})
+        out = {a: columns[a].astype("int64") for a in AXES}
+        if carry:
+            out[carry] = dense[list(fill).index(carry)][line, position]
+        return pa.table({**out, "val": result[line, position]})
 
-    return tiled.groupBy(*[f"_b{a}" for a in others]).applyInArrow(run, "z bigint, y bigint, x bigint, val double")
+    return tiled.groupBy(*[f"_b{a}" for a in others]).applyInArrow(run, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import grid, scalars
-from ..operators import changelog, fuse, graph, morphology, proof, relabel, shape, tasks
+from ..operators import changelog, distance, fuse, graph, morphology, proof, relabel, shape, tasks, watershed
 from ..session import configure, materialize
 from . import fixtures as fx
 
@@ -340,7 +340,7 @@ def mergelist_apply(t: Tables) -> DataFrame:
 # --- graph ---------------------------------------------------------------------
 
 # smallest reachable vertex, found by repeated relaxation
-_ROOTS = f"""with recursive links as (select src as a, dst as b from ({_G_EDGES}) e where src <> dst union select dst, src from ({_G_EDGES}) e where src <> dst),
+_ROOTS = f"""with recursive links as materialized (select src as a, dst as b from ({_G_EDGES}) e where src <> dst union select dst, src from ({_G_EDGES}) e where src <> dst),
 cc(vid, root) using key (vid) as (select o_orderkey, o_orderkey from orders
 union select l.b, min(cc.root) from cc join links l on l.a = cc.vid join recurring.cc as old on old.vid = l.b where cc.root < old.root group by l.b)"""
 _LABELS = f"""{_ROOTS}, ranked as (select vid, root, dense_rank() over (order by root) - 1 as component from cc),
@@ -437,7 +437,7 @@ def dilate_once(t: Tables) -> DataFrame:
 
 
 _PLANE = fx.SEGMENT_PLANE
-_CC = """{head}, links as (select (v.z * 16 + v.y) * 16 + v.x as a, (w.z * 16 + w.y) * 16 + w.x as b from {cells} v, {steps} s, {cells} w
+_CC = """{head}, links as materialized (select (v.z * 16 + v.y) * 16 + v.x as a, (w.z * 16 + w.y) * 16 + w.x as b from {cells} v, {steps} s, {cells} w
 where v.z + dz = w.z and v.y + dy = w.y and v.x + dx = w.x and v.seg_id = w.seg_id),
 cc(id, root) using key (id) as (select (z * 16 + y) * 16 + x, (z * 16 + y) * 16 + x from {cells}
 union select l.b, min(cc.root) from cc join links l on l.a = cc.id join recurring.cc as old on old.id = l.b where cc.root < old.root group by l.b)"""
@@ -640,3 +640,44 @@ def resample_cubic(t: Tables) -> DataFrame:
     voxels = _segments(t)
     out = fuse.resample(voxels, morphology.extent(voxels)[:1] + (16, 16), (3, 2, 3), "cubic", "seg_id")
     return out.select("z", "y", "x", F.round("seg_id", 6).alias("val"))
+
+
+# --- distance and watershed ----------------------------------------------------
+
+
+@query(f"""with vox as ({fx.SOLID}), d as (select unnest(range(-5, 6)) as d), grid as (select a.z, b.y, c.x from (select unnest(range(0, (select max(z) + 1 from vox))) as z) a,
+(select unnest(range(0, 16)) as y) b, (select unnest(range(0, 16)) as x) c),
+cells as materialized (select g.z, g.y, g.x, coalesce(seg_id, 0) as seg_id from grid g left join vox v on g.z = v.z and g.y = v.y and g.x = v.x),
+reach as materialized (select dz.d as dz, dy.d as dy, dx.d as dx, dz.d * dz.d + dy.d * dy.d + dx.d * dx.d as r from d dz, d dy, d dx where dz.d * dz.d + dy.d * dy.d + dx.d * dx.d between 1 and 30),
+moved as materialized (select v.z, v.y, v.x, v.seg_id, v.z + dz as cz, v.y + dy as cy, v.x + dx as cx, r from vox v, reach)
+select m.z, m.y, m.x, m.seg_id, cast(min(r) as double) as val from moved m join cells c on c.z = cz and c.y = cy and c.x = cx
+where c.seg_id <> m.seg_id group by 1, 2, 3, 4""")
+def squared_distance(t: Tables) -> DataFrame:
+    voxels = materialize(t(fx.SOLID))
+    return distance.squared_distance(voxels, morphology.extent(voxels))
+
+
+@query()
+def smooth_distance(t: Tables) -> DataFrame:
+    voxels = materialize(t(fx.SOLID))
+    shape_ = morphology.extent(voxels)
+    field = distance.squared_distance(voxels, shape_).withColumn("val", F.sqrt("val"))
+    return distance.smooth(field, shape_, 1.0)
+
+
+@query()
+def watershed_split(t: Tables) -> DataFrame:
+    voxels = materialize(t(fx.SEGMENTS))
+    return watershed.split_by_watershed(voxels, morphology.extent(voxels), h=0.2, min_size=10)[0]
+
+
+@query()
+def watershed_outcome(t: Tables) -> DataFrame:
+    voxels = materialize(t(fx.SEGMENTS))
+    return watershed.split_by_watershed(voxels, morphology.extent(voxels), h=0.2, min_size=10)[1]
+
+
+@query()
+def watershed_elongation(t: Tables) -> DataFrame:
+    voxels = materialize(t(fx.SEGMENTS))
+    return watershed.split_by_watershed_elongation(voxels, morphology.extent(voxels), h=0.2, min_size=20)[0]
