@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,13 +140,74 @@ def _merge_rounds(edges: DataFrame, choose: Callable[[DataFrame], DataFrame]) ->
         edges = materialize(relink(edges, ends, "node", "peak"))
 
 
-def h_maxima(basins: Basins, h: float) -> DataFrame:
-    """Peaks ``(label, peak, val)`` from which every path to a higher one descends by ``h``.
+# Objects with at most this many saddles are merged inside one task each; objects
+# beyond it, however large, by the distributed rounds. Both give the same result.
+TASK_SADDLES = 1 << 16
 
-    A basin joins a higher one across its best saddle if that lies less than ``h``
-    below its own peak. Peaks of exactly equal height share one fate.
-    """
-    heights = {end: basins.peaks.select("label", F.col("peak").alias(end), F.col("val").alias(f"_{end}")) for end in "ab"}
+
+def _by_size(edges: DataFrame, task_saddles: int) -> tuple[DataFrame, DataFrame | None]:
+    """Edges of objects with few saddles, and those of all others (None if there are none)."""
+    counts, seen = materialize(
+        edges.groupBy("label").agg(F.count(F.lit(1)).alias("n")), F.coalesce(F.max("n"), F.lit(0)).alias("most")
+    )
+    if seen["most"] <= task_saddles:
+        return edges, None
+    large = counts.where(F.col("n") > task_saddles)
+    split = lookup_join(edges, large, "label", weight="n")
+    return split.where("n is null").drop("n"), split.where("n is not null").drop("n")
+
+
+def _descending(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, and edge ends as node positions from the highest saddle to the lowest."""
+    a, b, saddle = (table.column(c).to_numpy() for c in ("a", "b", "saddle"))
+    order = np.lexsort((b, a, -saddle))
+    nodes, ends = np.unique(np.concatenate([a[order], b[order]]), return_inverse=True)
+    return nodes, ends[: len(a)], ends[len(a) :], saddle[order]
+
+
+def _find(parent: list[int], i: int) -> int:
+    while parent[i] != i:
+        parent[i] = parent[parent[i]]
+        i = parent[i]
+    return i
+
+
+def _heights(basins: Basins) -> dict[str, DataFrame]:
+    return {end: basins.peaks.select("label", F.col("peak").alias(end), F.col("val").alias(f"_{end}")) for end in "ab"}
+
+
+def _swallowed_in_task(edges: DataFrame, basins: Basins, h: float) -> DataFrame:
+    """``(label, peak)`` of the peaks that are no h-maxima, one object per call."""
+    heights = _heights(basins)
+
+    def kernel(table: pa.Table) -> pa.Table:
+        nodes, u, v, saddle = _descending(table)
+        height = np.empty(len(nodes))
+        for end in "ab":
+            height[np.searchsorted(nodes, table.column(end).to_numpy())] = table.column(f"_{end}").to_numpy()
+        parent, tops, gone = list(range(len(nodes))), [[i] for i in range(len(nodes))], []
+        for i, j, s in zip(u.tolist(), v.tolist(), saddle.tolist()):
+            i, j = _find(parent, i), _find(parent, j)
+            if i == j:
+                continue
+            if height[tops[i][0]] < height[tops[j][0]]:
+                i, j = j, i
+            low = height[tops[j][0]]
+            if height[tops[i][0]] == low:
+                tops[i] += tops[j]
+            elif s > low - h:
+                gone += tops[j]
+            parent[j] = i
+        label = table.column("label")[0].as_py()
+        return pa.table({"label": np.full(len(gone), label, np.int64), "peak": nodes[np.array(gone, int)]})
+
+    joined = edges.join(heights["a"], ["label", "a"]).join(heights["b"], ["label", "b"])
+    return joined.groupBy("label").applyInArrow(kernel, "label bigint, peak bigint")
+
+
+def _swallowed_in_rounds(edges: DataFrame, basins: Basins, h: float) -> DataFrame:
+    """The same by rounds of distributed merges, for objects of any size."""
+    heights = _heights(basins)
 
     def choose(best: DataFrame) -> DataFrame:
         joined = best.join(heights["a"], ["label", "a"]).join(heights["b"], ["label", "b"])
@@ -153,36 +215,59 @@ def h_maxima(basins: Basins, h: float) -> DataFrame:
         near = F.col("saddle") > F.col("_a") - F.lit(h)
         return joined.where(higher & near).select("label", "a", "b", (F.col("_b") > F.col("_a")).alias("strict"))
 
-    rounds = _merge_rounds(basins.edges, choose)
-    tall = basins.peaks.where(F.col("val") >= h)
-    if not rounds:
-        return tall
-    merged = rounds[0]
-    for more in rounds[1:]:
-        merged = merged.unionByName(more)
-    merged = materialize(merged.select("label", "a", "b", "strict"))
-    killed = merged.where("strict").select("label", F.col("a").alias("peak"))
+    merged = basins.peaks.select("label", F.col("peak").alias("a"), F.col("peak").alias("b"), F.lit(False).alias("strict")).limit(0)
+    for more in _merge_rounds(edges, choose):
+        merged = merged.unionByName(more.select("label", "a", "b", "strict"))
+    merged = materialize(merged)
+    known = frontier = merged.where("strict").select("label", F.col("a").alias("peak"))
     # equal peaks hang in chains; one falls if the peak it hangs on falls
     equal = merged.where("not strict")
-    known, frontier = killed, killed
-    while not equal.isEmpty():
+    found = not equal.isEmpty()
+    while found:
         on = frontier.select("label", F.col("peak").alias("b"))
         frontier, seen = materialize(equal.join(on, ["label", "b"]).select("label", F.col("a").alias("peak")), count_metric())
-        if not seen["n"]:
-            break
-        known = known.unionByName(frontier)
-    return tall.join(known, ["label", "peak"], "left_anti")
+        known, found = known.unionByName(frontier), seen["n"]
+    return known
 
 
-def flood(basins: Basins, marker_peaks: DataFrame) -> DataFrame:
-    """``(label, cell, region)`` for every cell some marker's flood reaches.
+def h_maxima(basins: Basins, h: float, task_saddles: int = TASK_SADDLES) -> DataFrame:
+    """Peaks ``(label, peak, val)`` from which every path to a higher one descends by ``h``.
 
-    ``marker_peaks(label, peak, marker)``: unmarked basins join the neighbour across
-    their highest saddle until they hang on a marker.
+    Taken from the highest saddle down, a basin is swallowed where it meets a higher
+    one less than ``h`` below its own peak. Peaks of equal height share one fate.
     """
-    start = marker_peaks.select("label", F.col("peak").alias("node"), F.col("marker").alias("peak"))
-    edges = materialize(relink(basins.edges, start, "node", "peak"))
-    marked = materialize(marker_peaks.select("label", F.col("marker").alias("a")).distinct())
+    small, large = _by_size(basins.edges, task_saddles)
+    swallowed = _swallowed_in_task(small, basins, h)
+    if large is not None:
+        swallowed = swallowed.unionByName(_swallowed_in_rounds(materialize(large), basins, h))
+    return basins.peaks.where(F.col("val") >= h).join(swallowed, ["label", "peak"], "left_anti")
+
+
+def _joined_in_task(edges: DataFrame, marked: DataFrame) -> DataFrame:
+    """``(label, node, peak)``: the basin each basin hangs on in the end, one object per call."""
+    flags = {end: marked.select("label", F.col("a").alias(end), F.lit(True).alias(f"_{end}")) for end in "ab"}
+
+    def kernel(table: pa.Table) -> pa.Table:
+        nodes, u, v, _ = _descending(table)
+        marker = np.zeros(len(nodes), bool)
+        for end in "ab":
+            marker[np.searchsorted(nodes, table.column(end).to_numpy())] = table.column(f"_{end}").to_numpy()
+        parent = list(range(len(nodes)))
+        for i, j in zip(u.tolist(), v.tolist()):
+            i, j = _find(parent, i), _find(parent, j)
+            if i != j and not (marker[i] and marker[j]):
+                parent[i if marker[j] else j] = j if marker[j] else i
+        ends = np.array([_find(parent, i) for i in range(len(nodes))], int)
+        label = table.column("label")[0].as_py()
+        return pa.table({"label": np.full(len(nodes), label, np.int64), "node": nodes, "peak": nodes[ends]})
+
+    joined = edges.join(flags["a"], ["label", "a"], "left").join(flags["b"], ["label", "b"], "left")
+    joined = joined.fillna(False, ["_a", "_b"])
+    return joined.groupBy("label").applyInArrow(kernel, "label bigint, node bigint, peak bigint")
+
+
+def _joined_in_rounds(edges: DataFrame, marked: DataFrame) -> DataFrame:
+    """The same by rounds of distributed merges, for objects of any size."""
 
     def choose(best: DataFrame) -> DataFrame:
         free = best.join(marked, ["label", "a"], "left_anti")
@@ -192,13 +277,31 @@ def flood(basins: Basins, marker_peaks: DataFrame) -> DataFrame:
         stays = F.coalesce(F.col("_back") == F.col("a"), F.lit(False)) & (F.col("a") < F.col("b"))
         return joined.where(~stays).select("label", "a", "b")
 
-    owner = start
+    joined = edges.select("label", F.col("a").alias("node"), F.col("a").alias("peak")).limit(0)
     for merges in _merge_rounds(edges, choose):
-        owner = owner.unionByName(merges.select("label", F.col("a").alias("node"), F.col("root").alias("peak")))
-    owner = follow(owner.where("node <> peak"), "node", "peak")
-    region = basins.peaks.select("label", "peak").join(
-        owner.select("label", F.col("node").alias("peak"), F.col("peak").alias("region")), ["label", "peak"], "left"
-    ).withColumn("region", F.coalesce("region", "peak"))
+        joined = joined.unionByName(merges.select("label", F.col("a").alias("node"), F.col("root").alias("peak")))
+    return follow(joined, "node", "peak")
+
+
+def flood(basins: Basins, marker_peaks: DataFrame, task_saddles: int = TASK_SADDLES) -> DataFrame:
+    """``(label, cell, region)`` for every cell some marker's flood reaches.
+
+    ``marker_peaks(label, peak, marker)``: unmarked basins join the neighbour across
+    their highest saddle until they hang on a marker.
+    """
+    start = marker_peaks.select("label", F.col("peak").alias("node"), F.col("marker").alias("peak"))
+    edges = materialize(relink(basins.edges, start, "node", "peak"))
+    marked = materialize(marker_peaks.select("label", F.col("marker").alias("a")).distinct())
+    small, large = _by_size(edges, task_saddles)
+    joined = _joined_in_task(small, marked)
+    if large is not None:
+        joined = joined.unionByName(_joined_in_rounds(materialize(large), marked))
+    joined = materialize(joined)
+    # a peak belongs to its marker's basin, and that to the basin it hangs on
+    own = basins.peaks.select("label", "peak").join(start.select("label", F.col("node").alias("peak"), F.col("peak").alias("_own")), ["label", "peak"], "left")
+    own = own.withColumn("_own", F.coalesce("_own", "peak"))
+    hung = joined.select("label", F.col("node").alias("_own"), F.col("peak").alias("region"))
+    region = own.join(hung, ["label", "_own"], "left").withColumn("region", F.coalesce("region", "_own"))
     region = region.join(marked.select("label", F.col("a").alias("region")), ["label", "region"], "left_semi")
     ends = materialize(
         basins.nodes.join(region, ["label", "peak"]).select("label", F.col("node").alias("to"), "region")
@@ -216,7 +319,8 @@ def _points(plane: tuple[int, int], cell: str = "cell") -> list:
 
 
 def watershed_regions(
-    voxels: DataFrame, shape: tuple[int, int, int], h: float, sigma: float, connectivity: int, edge: int = EDGE
+    voxels: DataFrame, shape: tuple[int, int, int], h: float, sigma: float, connectivity: int, edge: int = EDGE,
+    task_saddles: int = TASK_SADDLES,
 ) -> tuple[DataFrame, DataFrame]:
     """Markers per object and the regions flooded from them.
 
@@ -229,7 +333,7 @@ def watershed_regions(
     field = smooth(squared.withColumn("val", F.sqrt("val")), shape, sigma, edge=edge)
     field = materialize(field.withColumnRenamed("seg_id", "label"))
     basins = Basins(field, plane, 26, edge)
-    tops = materialize(h_maxima(basins, h))
+    tops = materialize(h_maxima(basins, h, task_saddles))
     on_top = basins.nodes.join(tops.withColumnRenamed("val", "_top"), ["label", "peak"]).select(
         "label", F.col("node").alias("to"), "_top"
     )
@@ -249,7 +353,7 @@ def watershed_regions(
     several = lookup_join(inside, materialize(sized), "label", "inner", weight="size").select(*AXES, "label", "val")
     slopes = Basins(several, plane, 6, edge)
     starts = slopes.peaks.select("label", "peak").join(markers, ["label", "peak"])
-    flooded = flood(slopes, materialize(starts)).select(*_points(plane), F.col("label").alias("seg_id"), "region")
+    flooded = flood(slopes, materialize(starts), task_saddles).select(*_points(plane), F.col("label").alias("seg_id"), "region")
     return counts.withColumnRenamed("label", "seg_id"), materialize(flooded)
 
 
