@@ -261,6 +261,26 @@ def split_disconnected(
     return joined.select(*AXES, label, F.coalesce("_new", label).cast("bigint").alias("new_label"))
 
 
+def split_details(split: DataFrame, label: str = "seg_id") -> DataFrame:
+    """Objects that a split changed, with the number of labels they ended up with."""
+    pairs = split.select(label, "new_label").where("new_label <> 0").distinct()
+    return pairs.groupBy(label).agg(F.count(F.lit(1)).alias("new_components")).where("new_components > 1")
+
+
+def split_summary(split: DataFrame, label: str = "seg_id") -> DataFrame:
+    """One row: objects before and after a split, objects added and labels modified."""
+    pairs = materialize(split.select(label, "new_label").distinct())
+    one = F.lit(1).alias("_one")
+    totals = pairs.agg(
+        F.countDistinct(label).alias("initial_objects"),
+        F.countDistinct(F.when(F.col("new_label") != 0, F.col("new_label"))).alias("final_objects"),
+    )
+    changed = split_details(pairs, label).agg(F.count(F.lit(1)).alias("labels_modified"))
+    return totals.select("*", one).join(changed.select("*", one), "_one").select(
+        "initial_objects", "final_objects", (F.col("final_objects") - F.col("initial_objects")).alias("objects_added"), "labels_modified"
+    )
+
+
 def label_adjacency(voxels: DataFrame, label: str = "seg_id", edge: int = EDGE) -> DataFrame:
     """Distinct pairs of different labels that share a voxel face: ``(a, b)`` with a < b.
 

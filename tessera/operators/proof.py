@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import DEFAULT_FACTORS, downsample_point, parse_coordinate
-from .keyed import lookup_join
+from ..session import materialize
+from .keyed import BROADCAST_ROWS, at_most, lookup_join
 
 log = logging.getLogger(__name__)
 
@@ -92,7 +93,10 @@ def point_lookup(table: DataFrame, voxels: DataFrame, lookup: DataFrame, shape:
         F.col("z").alias("_z"), F.col("y").alias("_y"), F.col("x").alias("_x"), F.col("seg_id").alias("target_id")
     )
     axes = ["_z", "_y", "_x"]
-    found = keyed.select(*axes).where(F.col("_z").isNotNull()).distinct().join(cells, axes, "left")
+    points = materialize(keyed.select(*axes).where(F.col("_z").isNotNull()).distinct())
+    # few points are taken to the voxels, so that the volume is scanned but not shuffled
+    wanted = F.broadcast(points) if at_most(points, BROADCAST_ROWS) else points
+    found = points.join(materialize(cells.join(wanted, axes)), axes, "left")
     if shape is not None:
         inside = (
             F.col("_z").between(0, shape[0] - 1)

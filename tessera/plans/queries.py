@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import grid, scalars
 from ..operators import changelog, distance, fuse, graph, morphology, proof, relabel, shape, tasks, watershed
 from ..session import configure, materialize
+from ..sources import blocks
 from . import fixtures as fx
 
 TABLES = (
@@ -506,6 +508,21 @@ def erosion_split(t: Tables) -> DataFrame:
     return morphology.split_by_erosion(_segments(t), _PLANE, 1, 6, min_size=8)
 
 
+_SPLIT_PAIRS = _SPLIT.replace("select v.z, v.y, v.x, v.seg_id, case", ", pairs as (select distinct v.seg_id, case") + ")"
+
+
+@query(f"""{_SPLIT_PAIRS} select count(distinct seg_id) as initial_objects, count(distinct new_label) filter (where new_label <> 0) as final_objects,
+count(distinct new_label) filter (where new_label <> 0) - count(distinct seg_id) as objects_added,
+(select count(*) from (select seg_id from pairs where new_label <> 0 group by 1 having count(*) > 1) m) as labels_modified from pairs""")
+def erosion_split_summary(t: Tables) -> DataFrame:
+    return morphology.split_summary(morphology.split_by_erosion(_segments(t), _PLANE, 1, 6, min_size=8))
+
+
+@query(f"{_SPLIT_PAIRS} select seg_id, count(*) as new_components from pairs where new_label <> 0 group by 1 having count(*) > 1")
+def erosion_split_details(t: Tables) -> DataFrame:
+    return morphology.split_details(morphology.split_by_erosion(_segments(t), _PLANE, 1, 6, min_size=8))
+
+
 @query(f"""with vox as ({fx.SEGMENTS}), s as ({_ONE_STEP}) select distinct v.seg_id as a, w.seg_id as b from vox v, s, vox w
 where {_NEAR} and v.seg_id < w.seg_id""")
 def label_adjacency(t: Tables) -> DataFrame:
@@ -598,6 +615,17 @@ def organelle_assign(t: Tables) -> DataFrame:
     return shape.assign_by_overlap(t(fx.NUCLEI), fuse.stride(t(fx.SEGMENTS), 2))
 
 
+# --- blocks --------------------------------------------------------------------
+
+
+@query(f"select z, y, x, 2 * seg_id + 1 as seg_id from ({fx.SEGMENTS}) v")
+def block_kernel(t: Tables) -> DataFrame:
+    voxels = _segments(t)
+    size = [morphology.extent(voxels)[0], 16, 16]
+    packed = blocks.rechunk(blocks.to_blocks(voxels, size, [8, 16, 16], "uint32"), size, [32, 8, 8])
+    return blocks.to_voxels(tasks.map_blocks(packed, lambda cells: np.where(cells > 0, 2 * cells + 1, 0)))
+
+
 # --- resampling and fusion -----------------------------------------------------
 
 
