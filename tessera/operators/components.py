@@ -80,24 +80,31 @@ def _star(grouped: DataFrame, large: bool, edges: int, skew_edges: int) -> DataF
     else:
         linked = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         out = linked.unionByName(minima.where("u <> m").select("u", F.col("m").alias("v")))
-    return out.where("u <> v").distinct()
+    return out.where("u <> v")
 
 
 def contract(edges: DataFrame, a: str, b: str, skew_edges: int = SKEW_EDGES) -> DataFrame:
     """``(id, root)`` for every node with an edge to another, except the roots themselves.
 
-    The root is the smallest id of the component.
+    The root is the smallest id of the component. Each round also contracts what
+    happens to lie in one partition. A node's smallest neighbour never grows, and
+    shrinks somewhere in every round until all edges form stars; so a round that
+    changes nothing is the last.
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v")
-    local = pairs.mapInArrow(_local_stars, "u bigint, v bigint").distinct()
     stats = (F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h"))
-    current, seen = materialize(local, *stats)
+
+    def compact(rows: DataFrame) -> DataFrame:
+        # the first distinct spreads the edges evenly and, when few are left, brings them together
+        return rows.distinct().mapInArrow(_local_stars, "u bigint, v bigint").distinct()
+
+    current, seen = materialize(compact(pairs), *stats)
     while seen["n"]:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         small_input = _star(both, True, 2 * seen["n"], skew_edges)
         if seen["n"] > skew_edges:
             small_input = materialize(small_input)
-        following, found = materialize(_star(small_input, False, seen["n"], skew_edges), *stats)
+        following, found = materialize(compact(_star(small_input, False, seen["n"], skew_edges)), *stats)
         current = following
         if (found["n"], found["h"]) == (seen["n"], seen["h"]):
             break

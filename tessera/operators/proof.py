@@ -96,7 +96,7 @@ def point_lookup(table: DataFrame, voxels: DataFrame, lookup: DataFrame, shape:
     points = materialize(keyed.select(*axes).where(F.col("_z").isNotNull()).distinct())
     # few points are taken to the voxels, so that the volume is scanned but not shuffled
     wanted = F.broadcast(points) if at_most(points, BROADCAST_ROWS) else points
-    found = points.join(materialize(cells.join(wanted, axes)), axes, "left")
+    found = points.join(cells.join(wanted, axes), axes, "left")
     if shape is not None:
         inside = (
             F.col("_z").between(0, shape[0] - 1)
@@ -110,6 +110,7 @@ def point_lookup(table: DataFrame, voxels: DataFrame, lookup: DataFrame, shape:
         F.coalesce("target_id", F.lit(UNKNOWN)).cast("bigint").alias("target_id"),
         F.coalesce("label", F.lit(UNKNOWN)).cast("bigint").alias("label"),
     )
+    answers = materialize(answers)
     return lookup_join(table, answers, "Mapped_Coordinates").withColumns(
         {c: F.coalesce(c, F.lit(UNKNOWN)).cast("bigint") for c in ("target_id", "label")}
     ).select(*table.columns, "target_id", "label")
