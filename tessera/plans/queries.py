@@ -663,11 +663,23 @@ def resample_linear(t: Tables) -> DataFrame:
     return out.select("z", "y", "x", F.round("seg_id", 6).alias("val"))
 
 
-@query()
+# per axis, the weight of every input cell in every output cell: B-spline basis times the
+# inverse sampling filter sqrt(3) * pole^|j|, positions mirrored at both ends
+_CUBIC_AXIS = """{o}k as (select i, case when mod(p, 2 * (n - 1)) < n then mod(p, 2 * (n - 1)) else 2 * (n - 1) - mod(p, 2 * (n - 1)) end as src, sum(w) as w from (
+select i, n, abs(cast(floor(s) as bigint) + t - j) as p, sqrt(3) * power(sqrt(3) - 2, abs(j)) * case when abs(s - floor(s) - t) < 1
+then (4 - 6 * power(abs(s - floor(s) - t), 2) + 3 * power(abs(s - floor(s) - t), 3)) / 6 when abs(s - floor(s) - t) < 2
+then power(2 - abs(s - floor(s) - t), 3) / 6 else 0 end as w
+from (select i, s, {n} as n from {o}) q, (select unnest(range(-1, 3)) as t) tt, (select unnest(range(-36, 37)) as j) jj) r group by 1, 2)"""
+_CUBIC_AXES = ", ".join(_CUBIC_AXIS.format(o=o, n=n) for o, n in (("oz", "(select max(z) + 1 from vox)"), ("oy", "16"), ("ox", "16")))
+
+
+@query(f"""{_AXES_OUT}, {_CUBIC_AXES}, c1 as (select i as z, y, x, sum(w * seg_id) as val from vox join ozk on src = z group by 1, 2, 3),
+c2 as (select z, i as y, x, sum(w * val) as val from c1 join oyk on src = y group by 1, 2, 3),
+c3 as (select z, y, i as x, round(sum(w * val), 6) as val from c2 join oxk on src = x group by 1, 2, 3) select * from c3 where val <> 0""")
 def resample_cubic(t: Tables) -> DataFrame:
     voxels = _segments(t)
     out = fuse.resample(voxels, morphology.extent(voxels)[:1] + (16, 16), (3, 2, 3), "cubic", "seg_id")
-    return out.select("z", "y", "x", F.round("seg_id", 6).alias("val"))
+    return out.select("z", "y", "x", F.round("seg_id", 6).alias("val")).where("val <> 0")
 
 
 # --- distance and watershed ----------------------------------------------------
