@@ -685,19 +685,31 @@ def resample_cubic(t: Tables) -> DataFrame:
 # --- distance and watershed ----------------------------------------------------
 
 
-@query(f"""with vox as ({fx.SOLID}), d as (select unnest(range(-5, 6)) as d), grid as (select a.z, b.y, c.x from (select unnest(range(0, (select max(z) + 1 from vox))) as z) a,
+_DISTANCE = f"""with vox as materialized ({fx.SOLID}), d as (select unnest(range(-5, 6)) as d), grid as (select a.z, b.y, c.x from (select unnest(range(0, (select max(z) + 1 from vox))) as z) a,
 (select unnest(range(0, 16)) as y) b, (select unnest(range(0, 16)) as x) c),
 cells as materialized (select g.z, g.y, g.x, coalesce(seg_id, 0) as seg_id from grid g left join vox v on g.z = v.z and g.y = v.y and g.x = v.x),
 reach as materialized (select dz.d as dz, dy.d as dy, dx.d as dx, dz.d * dz.d + dy.d * dy.d + dx.d * dx.d as r from d dz, d dy, d dx where dz.d * dz.d + dy.d * dy.d + dx.d * dx.d between 1 and 30),
-moved as materialized (select v.z, v.y, v.x, v.seg_id, v.z + dz as cz, v.y + dy as cy, v.x + dx as cx, r from vox v, reach)
-select m.z, m.y, m.x, m.seg_id, cast(min(r) as double) as val from moved m join cells c on c.z = cz and c.y = cy and c.x = cx
-where c.seg_id <> m.seg_id group by 1, 2, 3, 4""")
+moved as materialized (select v.z, v.y, v.x, v.seg_id, v.z + dz as cz, v.y + dy as cy, v.x + dx as cx, r from vox v, reach),
+dist as materialized (select m.z, m.y, m.x, m.seg_id, cast(min(r) as double) as val from moved m join cells c on c.z = cz and c.y = cy and c.x = cx
+where c.seg_id <> m.seg_id group by 1, 2, 3, 4)"""
+
+
+@query(f"{_DISTANCE} select * from dist")
 def squared_distance(t: Tables) -> DataFrame:
     voxels = materialize(t(fx.SOLID))
     return distance.squared_distance(voxels, morphology.extent(voxels))
 
 
-@query()
+# kernel tables per axis: reading beyond the border means reading the border cell
+_SMOOTH_AXIS = """{a}k as materialized (select p, least(greatest(p + k, 0), n - 1) as src, sum(w) as w from (select unnest(range(0, n)) as p, n from (select {n} as n) q) g,
+(select k, exp(-0.5 * k * k) / sum(exp(-0.5 * k * k)) over () as w from (select unnest(range(-4, 5)) as k) kk) ww group by 1, 2)"""
+_SMOOTH_AXES = ", ".join(_SMOOTH_AXIS.format(a=a, n=n) for a, n in (("z", "(select max(z) + 1 from vox)"), ("y", "16"), ("x", "16")))
+
+
+@query(f"""{_DISTANCE}, {_SMOOTH_AXES}, s1 as materialized (select seg_id, p as z, y, x, sum(w * sqrt(val)) as val from dist join zk on src = z group by 1, 2, 3, 4),
+s2 as materialized (select seg_id, z, p as y, x, sum(w * val) as val from s1 join yk on src = y group by 1, 2, 3, 4),
+s3 as materialized (select seg_id, z, y, p as x, round(sum(w * val), 9) as val from s2 join xk on src = x group by 1, 2, 3, 4)
+select s3.*, v.seg_id is not null as inside from s3 left join vox v on v.z = s3.z and v.y = s3.y and v.x = s3.x and v.seg_id = s3.seg_id""")
 def smooth_distance(t: Tables) -> DataFrame:
     voxels = materialize(t(fx.SOLID))
     shape_ = morphology.extent(voxels)

@@ -42,8 +42,8 @@ def compare(con, frame, sql):
         return f"columns {sorted(frame.columns)} != {sorted(names)}"
     got = rows_of(frame.columns, [tuple(r) for r in frame.collect()])
     if got != expected:
-        extra = [r for r in got if r not in set(expected)][:3]
-        missing = [r for r in expected if r not in set(got)][:3]
+        left, right = set(got), set(expected)
+        extra, missing = sorted(left - right)[:3], sorted(right - left)[:3]
         return f"{len(got)} rows, expected {len(expected)}; extra {extra}; missing {missing}"
     return None if got else "no rows"
 
