@@ -39,14 +39,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_POWERS: dict[int, np.ndarray] = {}
 
 
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
+    """``base ** 0 .. base ** (n - 1)``; tables of usual length are made once."""
+    if len(_POWERS.get(int(base), ())) < n:
+        out = np.full(max(n, 1 << 16), base, np.uint64)
+        out[0] = 1
+        np.cumprod(out, dtype=np.uint64, out=out)
+        if n > 2 * SLICE_BYTES:
+            return out[:n]
+        _POWERS[int(base)] = out
+    return _POWERS[int(base)][:n]
 
 
 @dataclass

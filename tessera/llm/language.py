@@ -17,6 +17,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # The dictionaries are fitted on a sample: about so many labelled texts of each language, chosen by a hash of the
 # text, and of each a piece of at most so many characters. Dictionaries of all languages together have at most ALL_BYTES.
 SAMPLE_DOCS = 400
@@ -25,7 +27,7 @@ DICTIONARY_BYTES = 112 << 10
 ALL_BYTES = 16 << 20
 # A prediction is rejected if the second smallest is less than this share larger than the smallest.
 MARGIN = 0.02
-_LEVEL = 3
+_LEVEL = 6
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 
 
@@ -35,20 +37,20 @@ def _plain(text: str) -> str:
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
-    """Raw dictionary content of each label. Rows with a null text or label are not used.
+    """Raw dictionary content of each label, the most frequent label first. Rows with a null text or label are not used.
 
     Which texts are taken depends on hashes of their content only, so the fit does not depend on partitioning. Labels
     whose texts have no letters are not learned.
     """
     rows = labelled.select(F.col(label).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
     per_label = min(DICTIONARY_BYTES, ALL_BYTES // max(1, counts.count()))
     share = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
     # about sample_docs of each language; the sum over languages is bounded by ALL_BYTES through per_label
     wanted = max(1, min(sample_docs, per_label * sample_docs // DICTIONARY_BYTES))
-    picked = rows.join(counts, "lang").where(share * F.col("n") <= F.lit(float(wanted))).select("lang", F.substring("text", 1, PIECE_CHARS).alias("piece"), F.xxhash64("text", F.lit(1)).alias("h")).distinct()
+    picked = rows.join(counts, "lang").where(share * F.col("n") <= F.lit(float(wanted))).select("lang", F.substring("text", 1, PIECE_CHARS).alias("piece"), F.xxhash64("text", F.lit(1)).alias("h"), "n").distinct()
     pieces: dict[str, list[str]] = defaultdict(list)
-    for row in sorted(picked.toArrow().to_pylist(), key=lambda r: (r["lang"], r["h"], r["piece"])):
+    for row in sorted(picked.toArrow().to_pylist(), key=lambda r: (-r["n"], r["lang"], r["h"], r["piece"])):
         if plain := _plain(row["piece"]):
             pieces[row["lang"]].append(plain)
     return {lang: " ".join(found).encode()[:per_label] for lang, found in pieces.items()}
@@ -59,10 +61,10 @@ def predict(docs: DataFrame, model: dict[str, bytes], text: str = "text", margin
 
     ``und`` with score 0 if the text is null or has no letter, or nothing was learned. The whole text is compressed.
     ``score`` compares the two smallest sizes: 0.5 if they are equal, towards 1 as they part. Equal smallest sizes go
-    to the label that comes first in order.
+    to the label learned from more texts.
     """
     spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast(sorted(model.items()))
+    shipped = spark.sparkContext.broadcast([*model.items()])
     kept = [f for f in docs.schema.fields if f.name != text]
     schema = type(docs.schema)(kept).add("lang_pred", "string").add("score", "double").add("margin", "double").add("rejected", "boolean")
 

@@ -24,7 +24,7 @@ COVER = 0.75
 STEPS = 5
 MIN_ROWS = 100
 # A row is rejected when its squared distance exceeds the chi-square quantile of this probability (5 degrees).
-TAIL = 1e-9
+TAIL = 1e-4
 # Smallest standard deviation of each transformed statistic, in its own (logarithmic) unit; so a statistic that hardly
 # varies in most rows of a group does not make small deviations look large.
 FLOORS = (1.0, 0.15, 0.7, 0.7, 0.7)
@@ -209,3 +209,14 @@ def judge(stats: DataFrame, min_rows: int = MIN_ROWS, cover: float = COVER, step
     told = told.withColumn("kept", F.coalesce(F.col("distance") <= limit, F.lit(True)))
     failed = table.where("base_failed").withColumn("distance", F.lit(None).cast("double")).withColumn("kept", F.lit(False))
     return told.unionByName(failed)
+
+
+def reject(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", **limits) -> DataFrame:
+    """The rows of ``docs`` that are kept. Rows are told by their text, language and source, which decide the verdict."""
+    content = F.coalesce(F.col(f"docs.{text}"), F.lit(""))
+    docs = docs.alias("docs")
+    marks = [F.xxhash64(content).alias("_k1"), F.hash(content).alias("_k2"), F.octet_length(content).alias("_k3"), F.col(f"docs.{lang}").alias("lang"), F.col(f"docs.{source}").alias("source")]
+    stats = statistics(docs.select(*marks, content.alias("text")))
+    gone = materialize(judge(stats, **limits).where("not kept").select("_k1", "_k2", "_k3", "lang", "source").distinct())
+    same = (F.xxhash64(content) == F.col("_k1")) & (F.hash(content) == F.col("_k2")) & (F.octet_length(content) == F.col("_k3"))
+    return docs.join(gone.alias("gone"), same & F.col(f"docs.{lang}").eqNullSafe(F.col("gone.lang")) & F.col(f"docs.{source}").eqNullSafe(F.col("gone.source")), "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, lengths, packing, quality, urls
+from . import attention, chat, decontaminate, language, lengths, neardup, packing, quality, repeats, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 10 == 0)
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
@@ -49,6 +53,11 @@ def op7_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.limits(lengths.histogram(table(spark, sf_dir, "documents")))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = neardup.link(table(spark, sf_dir, "documents"), words=2)
+    return linked.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
@@ -57,7 +66,11 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_turns(turns))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_decontaminate, op5_pack, op6_url_filter, op7_length_histogram, op9_chat)}
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_decontaminate, op4_lm_score, op5_pack, op6_url_filter, op7_length_histogram, op8_near_duplicates, op9_chat, op10_repeats)}
 
 CHECKS = {
     "op3_decontaminate": r"""
@@ -94,6 +107,42 @@ j as (
     select page_id, arg_max(h || r.p, length(h || r.p)) as rule, arg_max(verdict, length(h || r.p)) as verdict
     from p join r on (host = h or ends_with(host, '.' || h)) and starts_with(path, r.p) group by page_id)
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from p left join j using (page_id)
+""",
+    "op8_near_duplicates": r"""
+with recursive d as (
+    select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+    from documents),
+s as materialized (
+    select distinct doc_id, case when len(w) = 1 then w[1] else w[i] || ' ' || w[i + 1] end as g
+    from (select doc_id, w, unnest(range(1, greatest(len(w), 2))) as i from d where len(w) > 0)),
+n as materialized (select doc_id, count(*) as n from s group by doc_id),
+links as materialized (
+    select x.doc_id as a, y.doc_id as b from s x join s y on x.g = y.g and x.doc_id < y.doc_id
+    join n nx on nx.doc_id = x.doc_id join n ny on ny.doc_id = y.doc_id
+    where least(nx.n, ny.n) * 100 >= greatest(nx.n, ny.n) * 80
+    group by x.doc_id, y.doc_id, nx.n, ny.n having 100 * count(*) >= 80 * (nx.n + ny.n - count(*))),
+both_ways as materialized (select a, b from links union all select b, a from links),
+reach as (
+    select distinct a as doc_id, a as other from both_ways
+    union select r.doc_id, l.b from reach r join both_ways l on l.a = r.other)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(c.least_id, d.doc_id) as component_id, d.doc_id = coalesce(c.least_id, d.doc_id) as kept
+from d left join n using (doc_id) left join (select doc_id, min(other) as least_id from reach group by doc_id) c using (doc_id)
+""",
+    "op10_repeats": r"""
+with d as materialized (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+p as materialized (select doc_id, i, md5(h[2 * i + 1:2 * i + 400]) as k from (select doc_id, h, unnest(range(0, len(h) // 2 - 199)) as i from d where len(h) >= 400)),
+r as materialized (select doc_id, i from p where k in (select k from p group by k having count(*) > 1)),
+g as (select *, case when i <= lag(i) over w + 200 then 0 else 1 end as opens from r window w as (partition by doc_id order by i)),
+spans as (
+    select doc_id, min(i) as a, max(i) + 200 as b from (select *, sum(opens) over (partition by doc_id order by i) as g from g) group by doc_id, g),
+cut as (
+    select doc_id, a, b, lag(b, 1, 0) over (partition by doc_id order by a) as from_ from spans),
+kept as (
+    select doc_id, count(*) as n_spans, sum(b - a) as n_removed, max(b) as last, string_agg(h[2 * from_ + 1:2 * a], '' order by a) as head
+    from cut join d using (doc_id) group by doc_id)
+select doc_id, len(h) // 2 as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+    sha256(unhex(coalesce(head, '') || h[2 * coalesce(last, 0) + 1:])) as kept_sha256
+from d left join kept using (doc_id)
 """,
     "op9_chat": r"""
 with rows as (
