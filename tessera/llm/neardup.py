@@ -5,8 +5,9 @@ candidates. Of each minimum two bits are kept and packed ("b-Bit Minwise Hashing
 of bits, corrected for chance, estimate the similarity of a candidate pair before its full sets are compared.
 
 Texts with equal sets are one class from the start. In a band that many classes share, all are first compared with one
-of them; only classes that this leaves in different components are compared with each other. So the number of
-pairs follows the number of classes, not its square, however large a group of near copies is.
+of them, the hub. Classes that this does not link with their hub are then compared with all others of the hub, in
+blocks of bounded size: a block counts the shingles that its sets share and returns only a forest of links. So no pairs
+are written out, and a group of near copies costs its strays times its size, in blocks.
 
 A pair at the threshold 0.8 shares no band with probability (1 - 0.8**5)**40, about 1e-7, and falls below the bound on
 the estimate (six standard errors under the threshold) with about 1e-9.
@@ -124,10 +125,12 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.where(sizes & (estimate(F.col("bits_a"), F.col("bits_b")) >= threshold - 6 * error)).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _enough(both, one, other, percent: int):
+    return 100 * both >= percent * (one + other - both)
+
+
+def _confirmed(pairs: DataFrame, held: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    held = materialize(docs.join(ends, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -137,17 +140,79 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
                 hubs = batch.column("a").to_pylist()
                 firsts = [i for i, h in enumerate(hubs) if not i or h != hubs[i - 1]]
                 sets = dict(zip([hubs[i] for i in firsts], shingle_sets(texts(batch.column("text_a").take(pa.array(firsts, pa.int64()))), words), strict=True))
-                keep = []
-                for hub, s in zip(hubs, other, strict=True):
-                    both = len(np.intersect1d(sets[hub], s, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(sets[hub]) + len(s) - both) and both > 0)
-                yield batch.select(["a", "b"]).filter(pa.array(keep))
+                keep = [bool(_enough(len(np.intersect1d(sets[hub], s, assume_unique=True)), len(sets[hub]), len(s), percent)) for hub, s in zip(hubs, other, strict=True)]
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     joined = joined.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
+# Shingles of the sets of one block of strays, and of the sets they are compared with.
+_STRAYS, _OTHERS = 1 << 16, 1 << 20
+
+
+def forest(stray: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of links that connect what links between strays and any other set connect. Equal roots are connected."""
+    chosen = np.flatnonzero(stray)
+    sizes = np.array([len(s) for s in sets])
+    flat = np.concatenate([sets[i] for i in chosen])
+    of = np.repeat(np.arange(len(chosen)), sizes[chosen])
+    order = np.argsort(flat, kind="stable")
+    flat, of = flat[order], of[order]
+    a, b = [], []
+    for i, s in enumerate(sets):
+        low, high = np.searchsorted(flat, s), np.searchsorted(flat, s, side="right")
+        n = high - low
+        shared = of[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        both = np.bincount(shared, minlength=len(chosen))
+        found = np.flatnonzero((roots[chosen] != roots[i]) & _enough(both, sizes[i], sizes[chosen], percent))
+        a.extend([i] * len(found))
+        b.extend(chosen[found].tolist())
+        if len(a) > 4 * len(sets):
+            a, b = _spanning(a, b, roots)
+    a, b = _spanning(a, b, roots)
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def _spanning(a: list[int], b: list[int], roots: np.ndarray) -> tuple[list[int], list[int]]:
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    kept = []
+    for i, j in zip(a, b, strict=True):
+        x, y = top(int(roots[i])), top(int(roots[j]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append((i, j))
+    return [i for i, _ in kept], [j for _, j in kept]
+
+
+def _strays(grouped: DataFrame, held: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links of classes that are not linked with their hub. ``grouped``: ``hub, doc_id, root, n_shingles, stray``."""
+    sums = grouped.groupBy("hub").agg(F.sum(F.when(F.col("stray"), F.col("n_shingles"))).alias("s"), F.sum("n_shingles").alias("o"), F.count(F.lit(1)).alias("n"))
+    sums = sums.where("s is not null and n > 1").select("hub", F.ceil(F.col("s") / _STRAYS).alias("s_blocks"), F.ceil(F.col("o") / _OTHERS).alias("o_blocks"))
+    rows = grouped.join(sums, "hub")
+    hashed = F.xxhash64("doc_id")
+    s_block, o_block = F.pmod(hashed, "s_blocks"), F.pmod(hashed, "o_blocks")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    others = rows.select("hub", "doc_id", "root", F.lit(False).alias("stray"), every("s_blocks").alias("s"), o_block.alias("o"))
+    strays = rows.where("stray").select("hub", "doc_id", "root", "stray", s_block.alias("s"), every("o_blocks").alias("o"))
+
+    def run(table: pa.Table) -> pa.Table:
+        sets = shingle_sets(texts(table["text"]), words)
+        ids = table["doc_id"].to_numpy()
+        a, b = forest(np.asarray(table["stray"]), table["root"].to_numpy(), sets, percent)
+        return pa.table({"a": pa.array(np.minimum(ids[a], ids[b]), pa.int64()), "b": pa.array(np.maximum(ids[a], ids[b]), pa.int64())})
+
+    return others.unionByName(strays).join(held, "doc_id").groupBy("hub", "s", "o").applyInArrow(run, "a bigint, b bigint")
+
+
 def link(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id, n_shingles, component_id``: one row per row of ``docs``.
 
@@ -162,21 +227,19 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text",
     members = sets.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("class"))
     members = materialize(members)
     classes = materialize(sets.join(members.select(F.col("class").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("bits", "bands", "n_shingles")).alias("s")).select("doc_id", "s.*"))
-    banded = classes.select("doc_id", F.explode("bands").alias("band"))
-    # a band's first class is the one all others are compared with
-    shared = materialize(banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1"))
-    spokes = materialize(banded.join(shared, "band").select("band", "doc_id", "a", "n"))
-    stars = materialize(_likely(spokes.where("doc_id <> a").select("a", F.col("doc_id").alias("b")), classes, percent))
-    linked = materialize(_confirmed(stars, plain, words, percent))
-    # classes that share a band of three or more and are still apart
+    banded = classes.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
+    # a band's first class is the hub that all others are compared with
+    shared = materialize(banded.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+    spokes = materialize(banded.join(shared, "band").groupBy("hub", "doc_id", "n_shingles").agg(F.max("n").alias("n")))
+    # texts are dealt out by a join at every size: their share of the shuffle does not jump where a side gets small
+    held = materialize(plain.join(spokes.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
+    stars = materialize(_likely(spokes.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), classes, percent))
+    linked = materialize(_confirmed(stars, held, words, percent))
     roots = materialize(contract(linked, "a", "b"))
-    placed = spokes.where("n > 2").select("band", "doc_id", "a").join(roots.select(F.col("id").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    apart = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
-    rest = materialize(placed.join(apart, "band", "left_semi").where("doc_id <> a"))
-    left, right = rest.select("band", F.col("doc_id").alias("x"), F.col("root").alias("rx")), rest.select("band", F.col("doc_id").alias("y"), F.col("root").alias("ry"))
-    crossing = left.join(right, "band").where("rx < ry").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    more = materialize(_likely(crossing, classes, percent))
-    links = linked.unionByName(_confirmed(more, plain, words, percent)) if more.take(1) else linked
+    root_of = lambda name, key: roots.select(F.col("id").alias(key), F.col("root").alias(name))
+    placed = spokes.where("n > 2 and doc_id <> hub").join(root_of("root", "doc_id"), "doc_id", "left").join(root_of("hub_root", "hub"), "hub", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "doc_id")).withColumn("stray", F.col("root") != F.coalesce("hub_root", "hub"))
+    links = linked.unionByName(_strays(materialize(placed.select("hub", "doc_id", "root", "n_shingles", "stray")), held, words, percent))
     # equal keys with different texts join their classes
     doubled = sets.groupBy("doc_id").agg(F.count_distinct("set_a", "set_b", "n_shingles").alias("k")).where("k > 1").select("doc_id")
     same_key = sets.join(doubled, "doc_id", "left_semi").join(members, ["set_a", "set_b", "n_shingles"]).select(F.col("class").alias("a"), F.col("doc_id").alias("b"))
