@@ -84,6 +84,8 @@ def anchor_runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray, length: in
 
 def _pack(docs: np.ndarray, doc, name, context, start, size, weight, buckets: int) -> Iterator[tuple]:
     """Elements as one row per bucket; bucket -1 holds what is settled already."""
+    if not len(name):
+        return
     bucket = np.where(weight == 255, -1, ((name >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64))
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-2))
