@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Batches are cut so that flat arrays stay at this many text bytes, or one text.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 

@@ -30,9 +30,9 @@ from .bytetext import Prefix, mix, slices, texts
 
 LENGTH = 200
 _PIECE = 32
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 # Bucket sizes, in names.
-_BUCKET = 1 << 20
+_BUCKET = 1 << 19
 # Flags of a run: its starts are repeated; its strings are to be compared, and count once or as repeated already.
 _REPEATED, _ONCE, _MANY = 1, 2, 4
 _PACKED = "bucket int, docs binary, doc binary, name binary, context binary, start binary, size binary, weight binary"
@@ -61,10 +61,10 @@ def anchor_runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray, length: in
         for low in range(0, len(data) - length + 1, _SLICE):
             part = data[low : low + _SLICE + length - 1]
             prefix = Prefix(part)
-            at = np.arange(len(part) - piece + 1)
-            names = prefix.raw(at, at + piece)
+            count = len(part) - piece + 1
+            names = (prefix.sums[piece:] - prefix.sums[:count]) * prefix.inverse[:count]
             # 40 bits of hash, then the place: the smallest is the leftmost of equal ones
-            keys = (mix(names) >> np.uint64(24) << np.uint64(24)) | at.astype(np.uint64)
+            keys = (mix(names) >> np.uint64(24) << np.uint64(24)) | np.arange(count, dtype=np.uint64)
             where = (_sliding_min(keys, length - piece + 1) & np.uint64((1 << 24) - 1)).astype(np.int64)
             start = np.arange(len(where))
             owner = np.searchsorted(end, start + low, side="right")
