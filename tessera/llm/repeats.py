@@ -35,6 +35,7 @@ _SLICE = 1 << 20
 _BUCKET = 1 << 19
 # Flags of a run: its starts are repeated; its strings are to be compared, and count once or as repeated already.
 _REPEATED, _ONCE, _MANY = 1, 2, 4
+_SETTLED = 255  # the weight of elements that need no comparison any more
 _PACKED = "bucket int, docs binary, doc binary, name binary, context binary, start binary, size binary, weight binary"
 # n_open: strings of the runs that are still to be compared.
 _RUNS = "k1 bigint, k2 bigint, runs binary, n_open bigint"
@@ -83,12 +84,14 @@ def anchor_runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray, length: in
 
 
 def _pack(docs: np.ndarray, doc, name, context, start, size, weight, buckets: int) -> Iterator[tuple]:
-    """Elements as one row per bucket; bucket -1 holds what is settled already."""
+    """Elements as one row per bucket; negative buckets hold what is settled already."""
     if not len(name):
         return
-    bucket = np.where(weight == 255, -1, ((name >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64))
+    bucket = ((name >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    if weight[0] == _SETTLED:
+        bucket[:] = -1 - bucket[0]
     order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-2))
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=bucket.min() - 1))
     for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
         rows = order[a:b]
         present, local = np.unique(doc[rows], return_inverse=True)
@@ -120,10 +123,19 @@ def _locally(name: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _settle(docs, doc, name, context, start, size, weight, buckets) -> Iterator[tuple]:
-    """Packed rows of a slice: repeats inside it are settled (weight 255), and each distinct name goes on once."""
+    """Packed rows of a slice: repeats inside it are settled, and each distinct name goes on once."""
     first, again = _locally(name, context)
-    settled = again & (weight == 1)
-    yield from _pack(docs, doc[settled], name[settled], context[settled], start[settled], size[settled], np.full(settled.sum(), 255), buckets)
+    settled = np.flatnonzero(again & (weight == 1))
+    if len(settled):
+        # runs that follow each other in a text are one
+        settled = settled[np.lexsort((start[settled], doc[settled]))]
+        s_doc, s_start = doc[settled], start[settled]
+        s_end = s_start + size[settled]
+        opens = np.ones(len(settled), bool)
+        opens[1:] = (s_doc[1:] != s_doc[:-1]) | (s_start[1:] != s_end[:-1])
+        first_of, last_of = np.flatnonzero(opens), np.append(np.flatnonzero(opens)[1:], len(settled)) - 1
+        a = settled[first_of]
+        yield from _pack(docs, doc[a], name[a], context[a], s_start[first_of], s_end[last_of] - s_start[first_of], np.full(len(a), _SETTLED), buckets)
     yield from _pack(docs, doc[first], name[first], context[first], start[first], size[first], np.where(again[first], 2, weight[first]), buckets)
 
 
