@@ -79,7 +79,7 @@ def anchor_runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray, length: in
             anchor = where[first]
             context = prefix.hashes(first, first + size + length - 1)
             context = mix(context ^ mix((anchor - first).astype(np.uint64) << np.uint64(32) | size.astype(np.uint64)))
-            found.append((owner[first], first + low - begin[owner[first]], size, mix(names[anchor]), context))
+            found.append((owner[first], first + low - begin[owner[first]], size, mix(~names[anchor]), context))  # mix(names[anchor]) is small, being a minimum
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
