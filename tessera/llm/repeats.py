@@ -21,12 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .bytetext import Prefix, mix, slices, texts
+from .bytetext import Prefix, Texts, mix, slices, texts
 
 LENGTH = 200
 _PIECE = 32
@@ -97,7 +98,7 @@ def _pack(docs: np.ndarray, doc, name, context, start, size, weight, buckets: in
         present, local = np.unique(doc[rows], return_inverse=True)
         yield (
             int(bucket[rows[0]]), docs[present].tobytes(), local.astype("<u4").tobytes(), name[rows].tobytes(), context[rows].tobytes(),
-            start[rows].astype("<u4").tobytes(), size[rows].astype("<u4").tobytes(), weight[rows].astype(np.uint8).tobytes(),
+            np.diff(start[rows].astype("<u4"), prepend=np.uint32(0)).tobytes(), size[rows].astype("<u4").tobytes(), weight[rows].astype(np.uint8).tobytes(),
         )
 
 
@@ -175,7 +176,8 @@ def _decide(packed: DataFrame, strings: bool, buckets: int) -> DataFrame:
             base = np.cumsum([0, *(len(r["docs"]) // 16 for r in rows)])
             doc = np.concatenate([np.frombuffer(r["doc"], "<u4") + b for r, b in zip(rows, base, strict=False)]).astype(np.int64)
             name, context = (np.concatenate([np.frombuffer(r[c], "<u8") for r in rows]) for c in ("name", "context"))
-            start, size = (np.concatenate([np.frombuffer(r[c], "<u4") for r in rows]) for c in ("start", "size"))
+            start = np.concatenate([np.cumsum(np.frombuffer(r["start"], "<u4"), dtype=np.uint32) for r in rows])
+            size = np.concatenate([np.frombuffer(r["size"], "<u4") for r in rows])
             weight = np.concatenate([np.frombuffer(r["weight"], np.uint8) for r in rows])
             if rows[0]["bucket"] < 0:
                 yield _batch(_by_doc(docs, doc, start, size, np.full(len(doc), _REPEATED)), ["k1", "k2", "runs", "n_open"])
@@ -208,6 +210,27 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("k1", F.xxhash64(text)).withColumn("k2", F.shiftleft(short, 31).bitwiseXOR(F.octet_length(text).cast("bigint")))
 
 
+def _compressed(keyed: DataFrame) -> DataFrame:
+    """With the bytes of the text compressed, as texts are what a shuffle weighs most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdCompressor(level=3, write_checksum=False)
+        for batch in slices(batches, limit=_SLICE):
+            packed = [coder.compress((x or "").encode()) for x in batch.column("text").to_pylist()]
+            columns = [pa.array(packed, pa.binary()) if n == "text" else c for n, c in zip(batch.schema.names, batch.columns, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    schema = T.StructType([T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in keyed.schema.fields])
+    return keyed.mapInArrow(run, schema)
+
+
+def _restored(column: pa.Array) -> Texts:
+    coder = zstandard.ZstdDecompressor()
+    each = [coder.decompress(x) for x in column.to_pylist()]
+    ends = np.cumsum([len(x) for x in each], dtype=np.int64)
+    return Texts(np.frombuffer(b"".join(each), np.uint8), ends - [len(x) for x in each], ends, np.zeros(len(each), bool))
+
+
 def repeated_runs(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     """``k1, k2, runs``: the runs of starts of repeated strings, in any number of rows per text key."""
     long = keyed.where(F.octet_length("text") >= length).select("k1", "k2", "text")
@@ -228,8 +251,8 @@ def repeated_runs(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     buckets = max(1, math.ceil(open_names / _BUCKET))
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=_SLICE):
-            t = texts(batch.column("text"))
+        for batch in slices(batches, limit=_SLICE // 4):
+            t = _restored(batch.column("text"))
             docs = np.stack([batch.column(k).to_numpy() for k in ("k1", "k2")], axis=1)
             runs = [_open(np.frombuffer(b"".join(r), _RUN)) for r in batch.column("parts").to_pylist()]
             doc = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
@@ -244,7 +267,7 @@ def repeated_runs(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
                 yield _batch(rows, _PACKED_NAMES)
 
     closer = decided.where("n_open > 0").groupBy("k1", "k2").agg(F.collect_list("runs").alias("parts"))
-    strings = long.join(closer, ["k1", "k2"]).mapInArrow(names, _PACKED)
+    strings = _compressed(long).join(closer, ["k1", "k2"]).mapInArrow(names, _PACKED)
     return decided.unionByName(_decide(strings, True, buckets))
 
 
@@ -260,8 +283,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") ->
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=_SLICE):
-            t = texts(batch.column("text"))
+        for batch in slices(batches, limit=_SLICE // 4):
+            t = _restored(batch.column("text"))
             spans, kept = [], []
             for i, parts in enumerate(batch.column("parts").to_pylist()):
                 runs = np.frombuffer(b"".join(parts or []), _RUN)
@@ -279,7 +302,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") ->
                 names=["row", "n_bytes", "spans", "kept"],
             )
 
-    joined = rows.join(found, ["k1", "k2"], "left").select("row", "text", "parts")
+    joined = _compressed(rows).join(found, ["k1", "k2"], "left").select("row", "text", "parts")
     schema = T.StructType([joined.schema["row"], *_REMOVED.fields])
     return joined.mapInArrow(run, schema)
 
