@@ -40,6 +40,8 @@ _SETTLED = 255  # the weight of elements that need no comparison any more
 _PACKED = "bucket int, docs binary, doc binary, name binary, context binary, start binary, size binary, weight binary"
 # n_open: strings of the runs that are still to be compared.
 _RUNS = "k1 bigint, k2 bigint, runs binary, n_open bigint"
+# Runs of many documents in one row, as buckets hand them on.
+_GATHERED = "part int, docs binary, counts binary, runs binary"
 _REMOVED = T.StructType().add("n_bytes", "long").add("spans", T.ArrayType(T.StructType().add("start", "long").add("end", "long"))).add("kept", "binary")
 _RUN = np.dtype([("start", "<u4"), ("size", "<u4"), ("flag", "<u4")])
 
@@ -103,7 +105,7 @@ def _pack(docs: np.ndarray, doc, name, context, start, size, weight, buckets: in
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int32() if n == "bucket" else pa.int64() if n in ("k1", "k2", "n_open") else pa.binary() for n in names]
+    kinds = [pa.int32() if n == "bucket" else pa.binary() for n in names]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
@@ -140,14 +142,56 @@ def _settle(docs, doc, name, context, start, size, weight, buckets) -> Iterator[
     yield from _pack(docs, doc[first], name[first], context[first], start[first], size[first], np.where(again[first], 2, weight[first]), buckets)
 
 
-def _by_doc(docs: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, flag: np.ndarray) -> list[tuple]:
-    """One row per document with its runs."""
-    order = np.lexsort((start, doc))
+def _gather(docs: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, flag: np.ndarray, parts: int) -> pa.RecordBatch:
+    """One row per part of the document keys with the runs of its documents."""
+    part = (docs[doc, 0] % parts).astype(np.int64)
+    order = np.lexsort((start, doc, part))
+    part, doc = part[order], doc[order]
     runs = np.zeros(len(order), _RUN)
     runs["start"], runs["size"], runs["flag"] = start[order], size[order], flag[order]
-    cuts = np.flatnonzero(np.diff(doc[order], prepend=-1)) if len(order) else []
-    each = [(docs[doc[order[a]]].tolist(), runs[a:b]) for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True)] if len(order) else []
-    return [(*key, r.tobytes(), int(_open(r)["size"].sum())) for key, r in each]
+    cuts = np.flatnonzero(np.diff(part, prepend=-1))
+    rows = []
+    for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
+        first = np.flatnonzero(np.diff(doc[a:b], prepend=-1))
+        rows.append((int(part[a]), docs[doc[a:b][first]].tobytes(), np.diff(np.append(first, b - a)).astype("<u4").tobytes(), runs[a:b].tobytes()))
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["part", "docs", "counts", "runs"])
+
+
+def _by_doc(gathered: DataFrame, parts: int) -> DataFrame:
+    """One row per document with all its runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _grouped(batches, "part"):
+            docs = np.concatenate([np.frombuffer(r["docs"], "<i8").reshape(-1, 2) for r in rows])
+            counts = np.concatenate([np.frombuffer(r["counts"], "<u4") for r in rows])
+            runs = np.concatenate([np.frombuffer(r["runs"], _RUN) for r in rows])
+            keys, back = np.unique(docs, axis=0, return_inverse=True)
+            owner = np.repeat(back.ravel(), counts)
+            order = np.argsort(owner, kind="stable")
+            border = np.searchsorted(owner[order], np.arange(len(keys) + 1))
+            runs = runs[order]
+            each = [runs[a:b] for a, b in zip(border[:-1], border[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([r.tobytes() for r in each], pa.binary()), pa.array([int(_open(r)["size"].sum()) for r in each], pa.int64())],
+                names=["k1", "k2", "runs", "n_open"],
+            )
+
+    return gathered.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, _RUNS)
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
+    """Rows with one key, which come together."""
+    held: list[dict] = []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {n: c[i].as_py() for n, c in zip(batch.schema.names, batch.columns, strict=True)}
+            if held and row[key] != held[0][key]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
 
 
 def _open(runs: np.ndarray) -> np.ndarray:
@@ -155,23 +199,11 @@ def _open(runs: np.ndarray) -> np.ndarray:
     return runs[(runs["flag"] & (_ONCE | _MANY)) > 0]
 
 
-def _decide(packed: DataFrame, strings: bool, buckets: int) -> DataFrame:
+def _decide(packed: DataFrame, strings: bool, buckets: int, parts: int) -> DataFrame:
     """Runs, by document, after the names of each bucket have been sorted and compared."""
 
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-        held: list[dict] = []
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {n: batch.column(n)[i].as_py() for n in _PACKED_NAMES}
-                if held and row["bucket"] != held[0]["bucket"]:
-                    yield held
-                    held = []
-                held.append(row)
-        if held:
-            yield held
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in groups(batches):
+        for rows in _grouped(batches, "bucket"):
             docs = np.concatenate([np.frombuffer(r["docs"], "<i8").reshape(-1, 2) for r in rows])
             base = np.cumsum([0, *(len(r["docs"]) // 16 for r in rows)])
             doc = np.concatenate([np.frombuffer(r["doc"], "<u4") + b for r, b in zip(rows, base, strict=False)]).astype(np.int64)
@@ -180,7 +212,7 @@ def _decide(packed: DataFrame, strings: bool, buckets: int) -> DataFrame:
             size = np.concatenate([np.frombuffer(r["size"], "<u4") for r in rows])
             weight = np.concatenate([np.frombuffer(r["weight"], np.uint8) for r in rows])
             if rows[0]["bucket"] < 0:
-                yield _batch(_by_doc(docs, doc, start, size, np.full(len(doc), _REPEATED)), ["k1", "k2", "runs", "n_open"])
+                yield _gather(docs, doc, start, size, np.full(len(doc), _REPEATED), parts)
                 continue
             order = np.lexsort((context, name))
             n, c = name[order], context[order]
@@ -198,9 +230,10 @@ def _decide(packed: DataFrame, strings: bool, buckets: int) -> DataFrame:
             keep = flag > 0
             picked = order[keep]
             if len(picked):
-                yield _batch(_by_doc(docs, doc[picked], start[picked], size[picked], flag[keep]), ["k1", "k2", "runs", "n_open"])
+                yield _gather(docs, doc[picked], start[picked], size[picked], flag[keep], parts)
 
-    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, _RUNS)
+    decided = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, _GATHERED)
+    return _by_doc(decided, parts)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -232,10 +265,11 @@ def _restored(column: pa.Array) -> Texts:
 
 
 def repeated_runs(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``k1, k2, runs``: the runs of starts of repeated strings, in any number of rows per text key."""
+    """``k1, k2, runs, n_open``: the runs of starts of repeated strings, in two rows per text key at most."""
     long = keyed.where(F.octet_length("text") >= length).select("k1", "k2", "text")
     total = long.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = max(1, math.ceil(total / 85 / _BUCKET * 2))
+    parts = max(1, math.ceil(total / (16 << 20)))
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=_SLICE):
@@ -245,7 +279,7 @@ def repeated_runs(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
             if rows := [*_settle(docs, doc, name, context, start, size, np.ones(len(doc), np.int64), buckets)]:
                 yield _batch(rows, _PACKED_NAMES)
 
-    decided = materialize(_decide(long.mapInArrow(anchors, _PACKED), False, buckets))
+    decided = materialize(_decide(long.mapInArrow(anchors, _PACKED), False, buckets, parts))
 
     open_names = decided.agg(F.sum("n_open").alias("n")).first()["n"] or 0
     buckets = max(1, math.ceil(open_names / _BUCKET))
@@ -268,7 +302,7 @@ def repeated_runs(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
 
     closer = decided.where("n_open > 0").groupBy("k1", "k2").agg(F.collect_list("runs").alias("parts"))
     strings = _compressed(long).join(closer, ["k1", "k2"]).mapInArrow(names, _PACKED)
-    return decided.unionByName(_decide(strings, True, buckets))
+    return decided.unionByName(_decide(strings, True, buckets, parts))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ CACHE_WORDS = 400_000
 # ASCII bytes by kind: 1 letter or digit, 2 other, 3 apostrophe; 0 for white space and bytes beyond ASCII
 _KIND = np.zeros(256, np.uint8)
 _KIND[0x21:0x7F] = 2
-_KIND[[*range(0x30, 0x3A), *range(0x61, 0x7B)]] = 1
+_KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
 _KIND[0x27] = 3
 _KIND[[0x3C, 0x3E, 0x7C]] = 0  # < > | spell the tokenizer's special tokens, which stay whole
 
