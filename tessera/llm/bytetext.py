@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Batches are cut so that flat arrays stay at this many text bytes, or one text.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
@@ -30,6 +30,11 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
+def small_batches(spark) -> None:
+    """Whole texts are long rows: hand them to Python in batches of a few megabytes, so that workers stay small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers in which every input bit moves every output bit."""
     x = x ^ (x >> np.uint64(30))

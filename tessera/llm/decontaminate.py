@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bytetext import ALNUM, LOWER, Prefix, Texts, mix, per_text, slices, texts, tuple_hashes, word_borders
+from .bytetext import ALNUM, LOWER, Prefix, Texts, mix, per_text, slices, small_batches, texts, tuple_hashes, word_borders
 
 WINDOW = 13
 # Text bytes of benchmark items that are searched for in one pass, and hence shipped to every task at once.
@@ -177,6 +177,7 @@ def match_windows(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     one pass per block, so a benchmark of any size is searched whole.
     """
     spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     clean = benchmark.where(F.col(item).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")).distinct()
     total = clean.agg(F.sum(F.octet_length("text") + 64).alias("n")).first()["n"] or 0
     blocks = max(1, -(-total // (block_bytes // 2))) if total > block_bytes else 1

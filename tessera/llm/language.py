@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .bytetext import small_batches
 
 # The dictionaries are fitted on a sample: about so many labelled texts of each language, chosen by a hash of the
 # text, and of each a piece of at most so many characters. Dictionaries of all languages together have at most ALL_BYTES.
@@ -64,6 +65,7 @@ def predict(docs: DataFrame, model: dict[str, bytes], text: str = "text", margin
     to the label learned from more texts.
     """
     spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     shipped = spark.sparkContext.broadcast([*model.items()])
     kept = [f for f in docs.schema.fields if f.name != text]
     schema = type(docs.schema)(kept).add("lang_pred", "string").add("score", "double").add("margin", "double").add("rejected", "boolean")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .bytetext import slices, texts
+from .bytetext import slices, small_batches, texts
 from .subwords import TOKENIZER, encoder
 
 # Lengths are summed in blocks of so many; only one row per block meets in one task.
@@ -27,6 +27,7 @@ def histogram(docs: DataFrame, text: str = "text", tokenizer: str = TOKENIZER) -
                 counts[int(n)] = counts.get(int(n), 0) + int(k)
         yield pa.RecordBatch.from_pydict({"length": pa.array(counts.keys(), pa.int64()), "n": pa.array(counts.values(), pa.int64())})
 
+    small_batches(docs.sparkSession)
     local = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "length bigint, n bigint")
     return local.groupBy("length").agg(F.sum("n").alias("n_docs"))
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import contract
 from ..session import materialize
-from .bytetext import LOWER, NOT_SPACE, Prefix, Texts, mix, slices, texts, tuple_hashes, word_borders
+from .bytetext import LOWER, NOT_SPACE, Prefix, Texts, mix, slices, small_batches, texts, tuple_hashes, word_borders
 
 ROWS, BANDS = 5, 40
 HASHES = ROWS * BANDS
@@ -221,6 +221,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text",
     their texts differ, the smallest text counts for the comparison of sets). A null or blank text has no shingles and
     is linked with nothing; a row with a null key is its own, with a null component.
     """
+    small_batches(docs.sparkSession)
     plain = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     table = materialize(sketch(plain, words))
     sets = table.where("n_shingles > 0 and doc_id is not null")

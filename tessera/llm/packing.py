@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import slices, texts
+from .bytetext import slices, small_batches, texts
 from .subwords import TOKENIZER, encoder
 
 MAX_LENGTH = 2048
@@ -69,6 +69,7 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", max_length: i
                 names=["doc_id", "start", "length", "doc_tokens", "ids"],
             )
 
+    small_batches(docs.sparkSession)
     pieces = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, _SCHEMA)
     bucket = F.log2("length").cast("int")
     return pieces.withColumn("bucket", bucket).withColumn("sequence_id", F.monotonically_increasing_id() * 16 + bucket).withColumn("offset", F.lit(0).cast("bigint"))

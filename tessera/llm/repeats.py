@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .bytetext import Prefix, Texts, mix, slices, texts
+from .bytetext import Prefix, Texts, mix, slices, small_batches, texts
 
 LENGTH = 200
 _PIECE = 32
@@ -312,6 +312,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") ->
     or several documents, overlapping or not. Null and empty texts have no bytes; repeated rows repeat each other.
     Columns of any name may be in ``docs``.
     """
+    small_batches(docs.sparkSession)
     rows = _keyed(docs.select(F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("row"), F.col(text).cast("string").alias("text")))
     found = repeated_runs(rows, length).groupBy("k1", "k2").agg(F.collect_list("runs").alias("parts"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

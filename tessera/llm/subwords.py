@@ -18,7 +18,7 @@ from .bytetext import LOWER, NOT_SPACE, Texts, per_text, string_column, word_bor
 
 TOKENIZER = "word_bpe_49k.json"
 # Distinct words a worker remembers; beyond it the table starts anew (results do not depend on it).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 
 # ASCII bytes by kind: 1 letter or digit, 2 other, 3 apostrophe; 0 for white space and bytes beyond ASCII
