@@ -36,13 +36,14 @@ def read_box(voxels: DataFrame, offset_xyz: tuple[int, int, int], size_xyz: tupl
 
 def fetch_volume(
     spark: SparkSession, shape: tuple[int, int, int], chunk: tuple[int, int, int], fetch: Fetch, mag: int = 1,
-    dtype: str = "int32", todo: DataFrame | None = None, tries: int = 3,
+    dtype: str = "int32", todo: DataFrame | None = None, tries: int = 3, tolerant: bool = False,
 ) -> DataFrame:
     """Fetch a z,y,x volume chunk by chunk as blocks at magnification ``mag``.
 
     Shape and chunk are full-resolution and must be multiples of ``mag``. A chunk that
-    fails ``tries`` times is logged and gives no row, so it reads as background and
-    stays pending; ``todo`` restricts the work to the chunk ids it lists.
+    fails ``tries`` times fails the job. With ``tolerant`` it gives a row without data
+    instead, and all rows have an ``error`` column, null where the chunk was fetched.
+    ``todo`` restricts the work to the chunk ids it lists.
     """
     if any(n % mag for n in (*shape, *chunk)):
         raise ValueError(f"shape {shape} and chunk {chunk} must be multiples of mag {mag}")
@@ -55,15 +56,23 @@ def fetch_volume(
             for task in frame.itertuples(index=False):
                 starts, stops = [int(s) for s in task.starts], [int(s) for s in task.stops]
                 size = [b - a for a, b in zip(starts, stops)]
+                cells = error = None
                 for attempt in range(tries):
                     try:
                         cells = np.ascontiguousarray(fetch(tuple(starts[::-1]), tuple(size[::-1]), mag).astype(dtype))
                         break
                     except Exception as exc:
                         log.error("chunk %s attempt %d: %s", starts, attempt + 1, exc)
+                        error = exc
+                if cells is None and not tolerant:
+                    raise RuntimeError(f"chunk at {starts} could not be fetched in {tries} tries") from error
+                where = [int(i) for i in task.idx], [s // mag for s in starts]
+                if cells is None:
+                    row = *where, [n // mag for n in size], dtype, None, f"{type(error).__name__}: {error}"
                 else:
-                    continue
-                row = [int(i) for i in task.idx], [s // mag for s in starts], list(cells.shape), dtype, cells.tobytes()
-                yield pd.DataFrame([row], columns=["idx", "starts", "shape", "dtype", "data"])
+                    row = *where, list(cells.shape), dtype, cells.tobytes(), None
+                names = ["idx", "starts", "shape", "dtype", "data", "error"]
+                yield pd.DataFrame([row], columns=names) if tolerant else pd.DataFrame([row[:-1]], columns=names[:-1])
 
-    return tasks.repartition("chunk_id").mapInPandas(load, BLOCK_SCHEMA)
+    schema = f"{BLOCK_SCHEMA}, error string" if tolerant else BLOCK_SCHEMA
+    return tasks.repartition("chunk_id").mapInPandas(load, schema)

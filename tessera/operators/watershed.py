@@ -107,22 +107,30 @@ def follow(table: DataFrame, key: str, to: str, doublings: int = 3) -> DataFrame
 
 
 def relink(edges: DataFrame, mapping: DataFrame, key: str, to: str) -> DataFrame:
-    """Move both ends of the edges along the mapping; keep the best saddle per pair."""
+    """Move both ends of the edges along the mapping; keep the best edge per pair.
+
+    Edges that know their first ends ``a0, b0`` keep them and are ranked by them where saddles are equal.
+    """
     out = edges
     for end in ("a", "b"):
         side = mapping.select("label", F.col(key).alias(end), F.col(to).alias("_to"))
         out = out.join(side, ["label", end], "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
-    pair = out.where("a <> b").select("label", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "saddle")
+    first = [c for c in ("a0", "b0") if c in edges.columns]
+    pair = out.where("a <> b").select("label", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "saddle", *first)
+    if first:
+        best = F.struct("saddle", (-F.col("a0")).alias("lo"), (-F.col("b0")).alias("hi"))
+        kept = pair.groupBy("label", "a", "b").agg(F.max(best).alias("_e"))
+        return kept.select("label", "a", "b", F.col("_e.saddle").alias("saddle"), (-F.col("_e.lo")).alias("a0"), (-F.col("_e.hi")).alias("b0"))
     return pair.groupBy("label", "a", "b").agg(F.max("saddle").alias("saddle"))
 
 
 def _best_edges(edges: DataFrame) -> DataFrame:
     """Each basin's best edge, in one total order over all edges: ``(label, a, b, saddle)``."""
-    both = edges.unionByName(edges.select("label", F.col("b").alias("a"), F.col("a").alias("b"), "saddle"))
-    rank = F.struct("saddle", (-F.least("a", "b")).alias("lo"), (-F.greatest("a", "b")).alias("hi"))
+    both = edges.unionByName(edges.select("label", F.col("b").alias("a"), F.col("a").alias("b"), "saddle", "a0", "b0"))
+    # the first ends tell edges apart, whatever their ends have been merged into
+    rank = F.struct("saddle", (-F.col("a0")).alias("lo"), (-F.col("b0")).alias("hi"), "b")
     best = both.groupBy("label", "a").agg(F.max(rank).alias("_best"))
-    low, high = -F.col("_best")["lo"], -F.col("_best")["hi"]
-    return best.select("label", "a", F.when(low == F.col("a"), high).otherwise(low).alias("b"), F.col("_best")["saddle"].alias("saddle"))
+    return best.select("label", "a", F.col("_best")["b"].alias("b"), F.col("_best")["saddle"].alias("saddle"))
 
 
 def _merge_rounds(edges: DataFrame, choose: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
@@ -131,6 +139,7 @@ def _merge_rounds(edges: DataFrame, choose: Callable[[DataFrame], DataFrame]) ->
     ``choose`` picks rows ``(label, a, b, ...)`` of the best edges: basin a joins b.
     """
     rounds = []
+    edges = edges.select("label", "a", "b", "saddle", F.col("a").alias("a0"), F.col("b").alias("b0"))
     while True:
         merges, seen = materialize(choose(_best_edges(edges)), count_metric())
         if not seen["n"]:

@@ -26,12 +26,12 @@ def layer(dtype: str) -> str:
 
 def write_precomputed(
     blocks: DataFrame, path: str, shape: list[int], chunk: list[int], dtype: str,
-    resolution: tuple[int, ...] = (8, 8, 8), voxel_offset: tuple[int, ...] = (0, 0, 0), source: str = "",
+    resolution: tuple[int, ...] = (8, 8, 8), voxel_offset: tuple[int, ...] = (0, 0, 0), source: str = "", tolerant: bool = False,
 ) -> dict:
-    """Write z,y,x blocks as x,y,z chunk files plus ``info``; returns chunk counts.
+    """Write z,y,x blocks as x,y,z chunk files plus ``info``; returns the folder and how many chunks were written or failed.
 
     Shape and chunk are given as z,y,x; resolution and offset as x,y,z. A chunk that
-    cannot be written is counted as failed and does not stop the others.
+    cannot be written fails the job; with ``tolerant`` it is counted and does not stop the others.
     """
     key = "_".join(str(r) for r in resolution)
     folder = Path(path) / key
@@ -62,12 +62,11 @@ def write_precomputed(
                     partial.write_bytes(gzip.compress(cells.tobytes(), mtime=0))
                     os.replace(partial, folder / f"{name}.gz")
                 except Exception as exc:
+                    if not tolerant:
+                        raise
                     error = f"{type(exc).__name__}: {exc}"
                 rows.append(([int(i) for i in row.idx], error is None, error))
             yield pd.DataFrame(rows, columns=["idx", "ok", "error"])
 
     counts = blocks.mapInPandas(store, RESULT).agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("ok")).first()
-    return {
-        "status": "completed", "total_chunks": counts["n"], "successful_chunks": counts["ok"],
-        "failed_chunks": counts["n"] - counts["ok"], "output_path": path,
-    }
+    return {"folder": str(folder), "written": counts["ok"], "failed": counts["n"] - counts["ok"]}

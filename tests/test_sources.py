@@ -87,7 +87,7 @@ def test_catalog_and_resolve(spark, volume, tmp_path):
 def test_precomputed_files(spark, volume, tmp_path):
     path = stored(spark, volume, str(tmp_path / "v"))
     out = convert.array_to_precomputed(spark, path, str(tmp_path / "pre"), voxel_offset=(10, 0, 0))
-    assert out["successful_chunks"] == out["total_chunks"] == 27
+    assert (out["written"], out["failed"]) == (27, 0)
     info = json.loads((tmp_path / "pre" / "info").read_text())
     assert info["type"] == "segmentation" and info["scales"][0]["size"] == [9, 7, 5]
     raw = gzip.decompress((tmp_path / "pre" / "8_8_8" / "14-18_3-6_0-2.gz").read_bytes())
@@ -112,15 +112,19 @@ def test_normalize_resample_relabel_arrays(spark, tmp_path):
     assert np.array_equal(dense(zarr2.read_blocks(spark, str(tmp_path / "fil")), raw.shape), np.array([0, 0, 20, 0])[raw % 4])
 
 
-def test_fetch_skips_failing_chunks(spark):
+def test_failing_chunks_fail_the_job_unless_tolerated(spark):
     def service(offset, size, mag):
         if offset[2] >= 4:
             raise OSError("gone")
         return np.full([s // mag for s in size[::-1]], 3)
 
-    df = fetch.fetch_volume(spark, (8, 4, 4), (4, 4, 2), service, mag=2)
-    got = dense(df, (4, 2, 2))
+    with pytest.raises(Exception, match="could not be fetched"):
+        fetch.fetch_volume(spark, (8, 4, 4), (4, 4, 2), service, mag=2).collect()
+    df = fetch.fetch_volume(spark, (8, 4, 4), (4, 4, 2), service, mag=2, tolerant=True)
+    got = dense(df.where("error is null").drop("error"), (4, 2, 2))
     assert (got[:2] == 3).all() and (got[2:] == 0).all()
+    failed = df.where("error is not null").collect()
+    assert len(failed) == 2 and all(r.starts[0] == 2 and r.data is None and "gone" in r.error for r in failed)
     with pytest.raises(ValueError):
         fetch.fetch_volume(spark, (5, 4, 4), (4, 4, 2), service, mag=2)
 

@@ -293,3 +293,19 @@ def test_nuclei_shape_mismatch_raises(spark):
     v = frame(spark, np.ones((2, 2, 2), int))
     with pytest.raises(ValueError):
         fuse.merge_nuclei(v, v, 2, (8, 8, 8), (4, 4, 3))
+
+
+def test_floods_by_task_and_by_rounds_agree_on_tied_saddles(spark):
+    rng = np.random.default_rng(3)
+    edges, marked = [], []
+    for label in range(60):
+        n = int(rng.integers(4, 12))
+        pairs = {(min(a, b), max(a, b)) for a, b in rng.integers(0, n, (3 * n, 2)).tolist() if a != b}
+        edges += [(label, a, b, float(rng.integers(1, 4))) for a, b in sorted(pairs)]
+        marked += [(label, int(a)) for a in rng.choice(n, 2, replace=False)]
+    edges = spark.createDataFrame(edges, "label bigint, a bigint, b bigint, saddle double")
+    marked = spark.createDataFrame(marked, "label bigint, a bigint")
+    in_task = {(r.label, r.node): r.peak for r in watershed._joined_in_task(edges, marked).collect()}
+    in_rounds = {(r.label, r.node): r.peak for r in watershed._joined_in_rounds(edges, marked).collect()}
+    assert len(in_task) > 300
+    assert all(in_rounds.get(k, k[1]) == peak for k, peak in in_task.items())
