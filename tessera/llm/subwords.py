@@ -124,7 +124,8 @@ class WordEncoder:
     def count(self, t: Texts) -> np.ndarray:
         """Number of ids of each text."""
         words, before = pieces(t)
-        return per_text(self.lengths[self.table_rows(words)], before)
+        rows = self.table_rows(words)  # may replace the tables
+        return per_text(self.lengths[rows], before)
 
 
 @functools.cache

@@ -8,12 +8,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import attention, chat, decontaminate, language, lengths, neardup, packing, quality, queries, repeats, stars, urls
-from tessera.llm.subwords import encoder
+from tessera.llm.bytetext import texts
+from tessera.llm.subwords import WordEncoder, encoder
 
 LONG = "lorem ipsum dolor sit amet consetetur sadipscing elitr sed diam nonumy eirmod tempor invidunt ut labore et dolore magna aliquyam erat sed diam voluptua at vero eos et accusam et justo duo dolores et ea rebum stet clita kasd gubergren no sea takimata sanctus est lorem ipsum dolor sit amet "
 TEXTS = [
@@ -222,6 +224,19 @@ def test_length_limits(docs):
     assert lengths.limits(lengths.histogram(docs.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("cache_words", [1000, 250_000])
+def test_count_as_the_tables_grow(cache_words):
+    """A batch of more new words than the tables have room for, and one after the tables start anew."""
+    letters = "abcdefghij"
+    names = ["".join(letters[int(d)] for d in f"{i:05d}") for i in range(40_000)]
+    column = pa.array([" ".join(names[:35_000]), None, " ".join(names[30_000:])])
+    coder = WordEncoder(cache_words=cache_words)
+    want = [len(coder.tokenizer.encode(x or "", add_special_tokens=False).ids) for x in column.to_pylist()]
+    for _ in range(2):
+        assert coder.count(texts(column)).tolist() == want
+        assert coder.encode(texts(column))[1].tolist() == want
+
+
 def test_components(spark):
     rng = np.random.default_rng(2)
     pairs = [(f"n{a}", f"n{b}") for a, b in rng.integers(0, 80, (60, 2))] + [("hub", f"n{i}") for i in range(0, 80, 5)]
