@@ -61,7 +61,8 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], rows.schema)
+    told = (F.lit(-1), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(control))
+    extra = spark.range(2).select(*[value.cast(f.dataType).alias(f.name) for value, f in zip(told, rows.schema.fields, strict=True)])
     turns = chat.canonical_turns(chat.group_turns(rows.unionByName(extra)), "conv_id")
     return chat.digest(chat.format_turns(turns))
 
