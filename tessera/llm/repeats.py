@@ -12,6 +12,7 @@ README for what that costs. This operator gives the same result by names instead
 
 In 2 and 3 names travel in packed arrays, one row per slice of the corpus and bucket of names. A slice settles what
 repeats inside it and sends each name once, so a string that fills the corpus weighs no more than one name per slice.
+Copies of a text have one key, and its runs are made distinct wherever they meet, so they do not add up over copies.
 """
 
 from __future__ import annotations
@@ -125,25 +126,52 @@ def _locally(name: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndar
     return first, again
 
 
+def _united(doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a run at its start, size) of each stretch of starts that runs of one document cover, by document and start."""
+    order = np.lexsort((start, doc))
+    base = doc[order].astype(np.int64) << 33  # more than any end
+    begin = base + start[order]
+    end = np.maximum.accumulate(begin + size[order])
+    opens = np.ones(len(order), bool)
+    opens[1:] = begin[1:] > end[:-1]
+    first = np.flatnonzero(opens)
+    last = np.append(first[1:], len(order))[: len(first)] - 1
+    return order[first], end[last] - begin[first]
+
+
+def _distinct(doc: np.ndarray, start: np.ndarray, size: np.ndarray, flag: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(document, start, size, flag) without what copies of a text have said already."""
+    plain = np.flatnonzero(flag == _REPEATED)
+    at, whole = _united(doc[plain], start[plain], size[plain])
+    at = plain[at]
+    others = np.unique(np.stack([x.astype(np.int64) for x in (doc, start, size, flag)], axis=1)[flag != _REPEATED], axis=0)
+    found = np.concatenate([np.stack([doc[at].astype(np.int64), start[at], whole, flag[at]], axis=1), others])
+    return tuple(found[np.lexsort((found[:, 1], found[:, 0]))].T)
+
+
+def _keys(docs: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct document keys, and the key of each element."""
+    keys, back = np.unique(docs, axis=0, return_inverse=True)
+    return keys, back.ravel()[doc]
+
+
 def _settle(docs, doc, name, context, start, size, weight, buckets) -> Iterator[tuple]:
     """Packed rows of a slice: repeats inside it are settled, and each distinct name goes on once."""
+    docs, doc = _keys(docs, doc)
     first, again = _locally(name, context)
     settled = np.flatnonzero(again & (weight == 1))
     if len(settled):
-        # runs that follow each other in a text are one
-        settled = settled[np.lexsort((start[settled], doc[settled]))]
-        s_doc, s_start = doc[settled], start[settled]
-        s_end = s_start + size[settled]
-        opens = np.ones(len(settled), bool)
-        opens[1:] = (s_doc[1:] != s_doc[:-1]) | (s_start[1:] != s_end[:-1])
-        first_of, last_of = np.flatnonzero(opens), np.append(np.flatnonzero(opens)[1:], len(settled)) - 1
-        a = settled[first_of]
-        yield from _pack(docs, doc[a], name[a], context[a], s_start[first_of], s_end[last_of] - s_start[first_of], np.full(len(a), _SETTLED), buckets)
+        # runs that follow each other in a text are one, and so are those of its copies
+        a, whole = _united(doc[settled], start[settled], size[settled])
+        a = settled[a]
+        yield from _pack(docs, doc[a], name[a], context[a], start[a], whole, np.full(len(a), _SETTLED), buckets)
     yield from _pack(docs, doc[first], name[first], context[first], start[first], size[first], np.where(again[first], 2, weight[first]), buckets)
 
 
 def _gather(docs: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, flag: np.ndarray, parts: int) -> pa.RecordBatch:
-    """One row per part of the document keys with the runs of its documents."""
+    """One row per part of the document keys with the distinct runs of its documents."""
+    docs, doc = _keys(docs, doc)
+    doc, start, size, flag = _distinct(doc, start, size, flag)
     part = (docs[doc, 0] % parts).astype(np.int64)
     order = np.lexsort((start, doc, part))
     part, doc = part[order], doc[order]
@@ -159,18 +187,18 @@ def _gather(docs: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarr
 
 
 def _by_doc(gathered: DataFrame, parts: int) -> DataFrame:
-    """One row per document with all its runs."""
+    """One row per document with all its distinct runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches, "part"):
             docs = np.concatenate([np.frombuffer(r["docs"], "<i8").reshape(-1, 2) for r in rows])
             counts = np.concatenate([np.frombuffer(r["counts"], "<u4") for r in rows])
             runs = np.concatenate([np.frombuffer(r["runs"], _RUN) for r in rows])
-            keys, back = np.unique(docs, axis=0, return_inverse=True)
-            owner = np.repeat(back.ravel(), counts)
-            order = np.argsort(owner, kind="stable")
-            border = np.searchsorted(owner[order], np.arange(len(keys) + 1))
-            runs = runs[order]
+            keys, owner = _keys(docs, np.repeat(np.arange(len(docs)), counts))
+            owner, *columns = _distinct(owner, runs["start"], runs["size"], runs["flag"])
+            border = np.searchsorted(owner, np.arange(len(keys) + 1))
+            runs = np.zeros(len(owner), _RUN)
+            runs["start"], runs["size"], runs["flag"] = columns
             each = [runs[a:b] for a, b in zip(border[:-1], border[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array([r.tobytes() for r in each], pa.binary()), pa.array([int(_open(r)["size"].sum()) for r in each], pa.int64())],

@@ -350,6 +350,17 @@ def test_repeats(spark, docs):
     assert repeats.without_repeats(docs).columns == docs.columns and repeats.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_runs_of_copies_do_not_add_up(spark):
+    rng = np.random.default_rng(8)
+    text = "".join(map(chr, rng.integers(97, 123, 900)))
+    rows = [(i, text) for i in range(6000)] + [(6000, text[:450]), (6001, "".join(map(chr, rng.integers(97, 123, 900))))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found = repeats.repeated_runs(repeats._keyed(frame)).groupBy("k1", "k2").agg(F.sum(F.octet_length("runs")).alias("n"), F.count(F.lit(1)).alias("k")).collect()
+    assert found and max(r.n for r in found) < 12 * 900 and max(r.k for r in found) <= 2
+    got = {r.doc_id: r.n_removed for r in repeats.digest(repeats.remove_repeats(frame)).collect()}
+    assert got == {i: 900 for i in range(6000)} | {6000: 450, 6001: 0}
+
+
 def test_pipeline_against_brute_force(spark, sf_dir):
     import corpus_pipeline
 
