@@ -155,6 +155,8 @@ _STRAYS, _OTHERS = 1 << 16, 1 << 20
 def forest(stray: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of links that connect what links between strays and any other set connect. Equal roots are connected."""
     chosen = np.flatnonzero(stray)
+    if not len(chosen):  # no stray was dealt to this block: it holds no pair to compare
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     sizes = np.array([len(s) for s in sets])
     flat = np.concatenate([sets[i] for i in chosen])
     of = np.repeat(np.arange(len(chosen)), sizes[chosen])

@@ -303,6 +303,23 @@ def test_near_duplicates(spark, docs, n):
     assert neardup.link(docs).count() == docs.count() and neardup.link(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_in_many_blocks(spark, monkeypatch):
+    """Strays and others in blocks so small that some blocks get no stray."""
+    monkeypatch.setattr(neardup, "_STRAYS", 100)
+    monkeypatch.setattr(neardup, "_OTHERS", 400)
+    rng = np.random.default_rng(4)
+    base = [f"v{i}" for i in rng.integers(0, 400, 150)]
+    rows = []
+    for i in range(60):
+        copy = list(base)
+        for k in rng.integers(0, 150, rng.integers(0, 22)):
+            copy[k] = f"u{rng.integers(1000)}"
+        rows.append((i, " ".join(copy)))
+    got = neardup.link(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), words=2)
+    assert {tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()} == brute_links(rows, 2, 80)
+    assert all(len(x) == 0 for x in neardup.forest(np.zeros(2, bool), np.arange(2), [np.arange(3, dtype=np.uint64)] * 2, 80))
+
+
 def test_chat_round_trip(spark):
     nasty = ["", "␛", "<|", "|>", "<|>", "<␛|", "␛␛<|end|>\n", "<|turn:user|>\n", "a\nb", "</s>[INST]", "|␛>", "<|␛|>"]
     rows = [(c, t, role, text) for c in range(3) for t, (role, text) in enumerate(zip(itertools.cycle(["user", "assistant", None]), nasty[c:] + nasty[:c]))] + [(9, None, "user", None), (None, 1, "assistant", "x")]
