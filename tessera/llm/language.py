@@ -14,14 +14,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from .bytetext import small_batches
 
-# The dictionaries are fitted on a sample: about so many labelled texts of each language, chosen by a hash of the
-# text, and of each a piece of at most so many characters. Dictionaries of all languages together have at most ALL_BYTES.
+# The dictionaries are fitted on a sample: so many distinct labelled texts of each language (all, if it has fewer), chosen
+# by a hash of the text, and of each a piece of at most so many characters from its first letter. Dictionaries of all languages together have at most ALL_BYTES.
 SAMPLE_DOCS = 400
 PIECE_CHARS = 600
 DICTIONARY_BYTES = 112 << 10
@@ -40,16 +40,21 @@ def _plain(text: str) -> str:
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
     """Raw dictionary content of each label, the most frequent label first. Rows with a null text or label are not used.
 
-    Which texts are taken depends on hashes of their content only, so the fit does not depend on partitioning. Labels
-    whose texts have no letters are not learned.
+    Which texts are taken depends on hashes of their content only, so the fit depends neither on partitioning nor on
+    copies. Labels whose texts have no letters are not learned.
     """
     rows = labelled.select(F.col(label).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).where("lang is not null and text is not null")
-    counts = materialize(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    rows = rows.select("lang", F.substring(F.regexp_replace("text", r"\A[^\p{L}\p{M}]++", ""), 1, PIECE_CHARS).alias("piece"), F.xxhash64("text").alias("s"), F.xxhash64("text", F.lit(1)).alias("h")).where("piece <> ''")
+    distinct = rows.groupBy("lang", "s", "h").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(distinct.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d")))
     per_label = min(DICTIONARY_BYTES, ALL_BYTES // max(1, counts.count()))
-    share = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    # about sample_docs of each language; the sum over languages is bounded by ALL_BYTES through per_label
+    share = F.pmod("s", F.lit(1 << 30)) / float(1 << 30)
+    # the sum over languages is bounded by ALL_BYTES through per_label
     wanted = max(1, min(sample_docs, per_label * sample_docs // DICTIONARY_BYTES))
-    picked = rows.join(counts, "lang").where(share * F.col("n") <= F.lit(float(wanted))).select("lang", F.substring("text", 1, PIECE_CHARS).alias("piece"), F.xxhash64("text", F.lit(1)).alias("h"), "n").distinct()
+    # a few more than wanted of the distinct texts (the chance of fewer is below 1e-8), of which the first are taken
+    some = rows.join(counts, "lang").where(share * F.col("d") <= F.lit(wanted + 6 * wanted**0.5 + 20)).select("lang", "piece", "s", "h", "n").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("s", F.lit(1 << 30)), "s", "h"))  # a bounded number by language
+    picked = some.withColumn("_place", place).where(F.col("_place") <= wanted).select("lang", "piece", "h", "n")
     pieces: dict[str, list[str]] = defaultdict(list)
     for row in sorted(picked.toArrow().to_pylist(), key=lambda r: (-r["n"], r["lang"], r["h"], r["piece"])):
         if plain := _plain(row["piece"]):

@@ -110,6 +110,17 @@ def test_language_edge_cases(docs):
     assert {r.lang_pred for r in language.predict(docs, {}).collect()} == {"und"} and language.predict(docs.limit(0), model).count() == 0
 
 
+def test_language_is_learned_from_distinct_texts(spark):
+    """Copies, and starts without letters, do not thin out what is learned of a language."""
+    rows = spark.range(50_000).selectExpr("'de' as lang", "'immer derselbe text' as text").unionByName(spark.range(300).selectExpr("'de' as lang", "concat('wort', id, 'ende') as text"))
+    rows = rows.unionByName(spark.createDataFrame([("fr", "1" * 700 + " mot"), ("xx", "123"), ("xx", None)], "lang string, text string"))
+    model = language.fit(rows)
+    assert list(model) == ["de", "fr"] and model["fr"] == b"mot"
+    assert model["de"].count(b"wort") == 300 and model["de"].count(b"immer") == 1
+    some = language.fit(rows, sample_docs=50)["de"]
+    assert some.count(b"wort") + some.count(b"immer") == 50
+
+
 def brute_windows(texts, items, size):
     cut = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower(t))
     patterns = {}
