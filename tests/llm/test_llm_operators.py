@@ -208,6 +208,21 @@ def test_scores(docs):
     assert attention.score(docs.limit(0), held).count() == 0
 
 
+def test_every_id_that_occurs_has_a_class():
+    counts = np.zeros(attention.IDS, np.int64)
+    counts[100:5100] = np.arange(5000, 0, -1)
+    v = attention.Vocabulary.of(counts)
+    w = attention.start_weights(v.bias)
+    assert len(set(v.classes[100:5100])) == 5000 and (v.rest[100:5100] == 0).all()
+    # context tells apart ids that are rare
+    ids = np.array([150, 5000, 200, 150, 5001, 200])
+    lp = attention.log_probabilities(w, v, attention.windows(ids, np.array([3, 3]), v))
+    assert abs(lp[0, 2] - lp[1, 2]) > 1e-6
+    every = attention.Vocabulary.of(np.ones(attention.IDS, np.int64))
+    assert len(set(every.classes)) == attention.IDS and np.isfinite(every.rest).all()
+    assert all(np.isfinite(x).all() for x in attention.start_weights(every.bias).values())
+
+
 def test_every_text_trains(spark, monkeypatch):
     """At the size of a large corpus each of the texts moves the weights of its ids, and copies are dealt out too."""
     lines = [f"{chr(97 + i % 26)}{chr(97 + i // 26)} x{i}" for i in range(200)] + ["same"] * 100
