@@ -106,17 +106,17 @@ _CONSISTENT = COVER / chi_square(_Q, _D + 2)
 
 
 def _groups(rows: DataFrame, min_rows: int) -> DataFrame:
-    """``rows`` with ``_g``: language and source; small ones are pooled by language, then altogether.
+    """``rows`` with ``_g``: language and source; small ones are pooled by language, and small pools fall to all rows, ``*``.
 
-    Groups are told by names; a null language or source is a value of its own. Rows of a pool below ``min_rows`` too
-    get a null group: there is no estimate for them.
+    Groups are told by names; a null language or source is a value of its own. If there are fewer than ``min_rows`` rows
+    in all, the group is null: there is no estimate.
     """
     named = lambda *c: F.to_json(F.array(*c), {"ignoreNullFields": "false"})
     fine = rows.withColumn("_g", named(F.col("lang"), F.col("source"))).withColumn("_l", named(F.col("lang")))
     sizes = fine.groupBy("_g", "_l").agg(F.count(F.lit(1)).alias("_n"))
     small = F.when(F.col("_n") < min_rows, F.col("_n")).otherwise(0)
     by_lang = sizes.groupBy("_l").agg(F.sum(small).alias("_n_lang"))
-    rest = by_lang.agg(F.sum(F.when(F.col("_n_lang") < min_rows, F.col("_n_lang")).otherwise(0)).alias("_n_all"))
+    rest = sizes.agg(F.sum("_n").alias("_n_all"))
     chosen = (
         sizes.join(by_lang, "_l").crossJoin(F.broadcast(rest))  # one row
         .select("_g", F.when(F.col("_n") >= min_rows, F.col("_g")).when(F.col("_n_lang") >= min_rows, F.col("_l")).when(F.col("_n_all") >= min_rows, F.lit("*")).alias("_to"))
@@ -197,13 +197,17 @@ def _by_group(estimates: DataFrame) -> DataFrame:
 def judge(stats: DataFrame, min_rows: int = MIN_ROWS, cover: float = COVER, steps: int = STEPS, tail: float = TAIL) -> DataFrame:
     """``stats`` (from ``statistics``, with ``lang`` and ``source``) with ``base_failed, distance, kept``.
 
-    Rows that fail the base rules take no part in the estimates and have no distance. A row without an estimate (its
-    group, and the pools it falls to, are below ``min_rows``) is kept. An empty table gives an empty result.
+    Rows that fail the base rules take no part in the estimates and have no distance. Rows whose
+    group and language are below ``min_rows`` are judged by the estimate over all rows; if the table is below it, they
+    have none and are kept. An empty table gives an empty result.
     """
     table = materialize(stats.withColumn("base_failed", base_failed()))
     passed = table.where("not base_failed")
     vectors = materialize(_groups(passed, min_rows).select(*table.columns, "_g", *[x.alias(f"x{i}") for i, x in enumerate(_vector())]))
-    estimates = materialize(estimate(vectors.where("_g is not null").select("_g", *[f"x{i}" for i in range(_D)]), cover, steps))
+    taught = vectors.where("_g is not null").select("_g", *[f"x{i}" for i in range(_D)])
+    if not taught.where("_g = '*'").isEmpty():
+        taught = taught.where("_g <> '*'").unionByName(taught.withColumn("_g", F.lit("*")))
+    estimates = materialize(estimate(taught, cover, steps))
     limit = chi_square_quantile(tail, _D)
     told = _distance(lookup_join(vectors, estimates, "_g")).select(*table.columns, F.col("_d2").alias("distance"))
     told = told.withColumn("kept", F.coalesce(F.col("distance") <= limit, F.lit(True)))

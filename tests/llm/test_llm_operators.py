@@ -89,6 +89,15 @@ def test_outliers_against_numpy(spark):
     assert {i for i, r in got.items() if not r.kept} == set(range(0, 700, 20))
 
 
+def test_rows_of_rare_languages_are_judged(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, "en" if i < 300 else "odd", "s", n, n * (5 if i != 302 else 60) + int(rng.integers(n)), 0, 0, 0) for i, n in enumerate(rng.integers(100, 900, 304).tolist())]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
+    got = {r.doc_id: r for r in quality.judge(frame).collect()}
+    assert len(got) == 304 and all(r.distance is not None for r in got.values()) and not got[302].kept and got[301].kept
+    assert all(r.distance is None and r.kept for r in quality.judge(frame.where("doc_id > 250")).collect())
+
+
 def test_quality_edge_cases(spark, docs):
     judged = quality.judge(quality.statistics(docs))
     assert judged.count() == docs.count()
