@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention, chat, decontaminate, language, lengths, neardup, packing, quality, repeats, urls
+from ..session import work_dir
+from . import attention, chat, decontaminate, infill, language, lengths, neardup, negatives, packing, quality, repeats, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,7 +74,23 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_decontaminate, op4_lm_score, op5_pack, op6_url_filter, op7_length_histogram, op8_near_duplicates, op9_chat, op10_repeats)}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", label), anchors=F.col("vec_id") % 50 == 0)
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = f"{work_dir(spark).rstrip('/')}/tessera/{uuid.uuid4().hex}"
+    warc.write(table(spark, sf_dir, "pages"), archives)
+    return warc.digest(warc.read(spark, archives))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digest(infill.transform(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_language, op3_decontaminate, op4_lm_score, op5_pack, op6_url_filter, op7_length_histogram, op8_near_duplicates, op9_chat, op10_repeats, op11_hard_negatives, op12_warc, op13_fill_in_middle)}
 
 CHECKS = {
     "op3_decontaminate": r"""
@@ -157,5 +176,46 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
     sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
     cast(sum(shown + 18) as bigint) as formatted_chars
 from t group by conv_id
+""",
+    "op11_hard_negatives": r"""
+with v as materialized (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256.0 * x::double)) as q
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as materialized (
+    select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, cast(list_inner_product(a.q, b.q) as bigint) as score
+    from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+p as (
+    select anchor_id, other_id as positive_id, score as positive_score from s where same
+    qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select p.anchor_id, positive_id, cast(row_number() over w as integer) as rank, other_id as negative_id, positive_score, score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+window w as (partition by p.anchor_id, positive_id order by score desc, other_id)
+qualify row_number() over w <= 3
+""",
+    "op12_warc": r"""
+with p as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+g as (select payload_digest, payload_bytes, max(page_id) as to_id, count(*) as n from p where payload_bytes >= 1000 group by all)
+select page_id, payload_bytes, payload_digest,
+    case when n > 1 and page_id is distinct from to_id then 'revisit' else 'response' end as record_type,
+    case when n > 1 and page_id is distinct from to_id then to_id end as refers_to
+from p left join g using (payload_digest, payload_bytes)
+""",
+    "op13_fill_in_middle": r"""
+with d as (
+    select doc_id, coalesce(text, '') as t, cast(length(coalesce(text, '')) as bigint) as n, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+r as (
+    select doc_id, t, n, cast('0x' || h[1:8] as ubigint) % (n + 1) as x, cast('0x' || h[9:16] as ubigint) % (n + 1) as y,
+        case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or cast('0x' || h[17:24] as ubigint) % 100 >= 90 then 'plain'
+            when cast('0x' || h[25:32] as ubigint) % 100 < 20 then 'spm' else 'psm' end as form
+    from d),
+c as (
+    select *, cast(least(x, y) as bigint) as a, cast(greatest(x, y) as bigint) as b, substring(t, 1, cast(least(x, y) as bigint)) as p,
+        substring(t, cast(least(x, y) as bigint) + 1, cast(greatest(x, y) - least(x, y) as bigint)) as m, substring(t, cast(greatest(x, y) as bigint) + 1) as s
+    from r)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+    sha256(case form when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m when 'spm' then '<S>' || s || '<P>' || p || '<M>' || m else t end) as output_sha256,
+    sha256(t) as restored_sha256
+from c
 """,
 }
