@@ -3,11 +3,14 @@
 Heights are smoothed distances to the background. Every cell climbs to its steepest
 neighbour; inside a block that is an array operation, and the few paths that leave a
 block are joined up by pointer jumping. The basins of the local maxima and the
-saddles between them form a graph much smaller than the volume, on which both the
-choice of markers (h-maxima) and the flooding (minimum spanning forest rooted at the
-markers) are merges along best edges. No step gathers an object in one task.
-
-Ties are broken by the lowest C-order cell number.
+saddles between them form a graph much smaller than the volume, on which the choice of
+markers (h-maxima) and the level at which a flood first enters each basin are merges
+along best edges. A cell is entered at its own height or at its basin's level, whichever
+is lower, and takes the region of its neighbour that was entered first. No step gathers
+an object in one task.
+
+Heights are made distinct by the C-order cell number: of equal cells the lower number
+is the higher one. The flood is then that of a priority queue, cell by cell.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ class Basins:
     cells  (label, cell, to, val)  every cell and the block-local end of its climb
     nodes  (label, node, peak)     ends of local climbs -> local maximum
     peaks  (label, peak, val)
-    edges  (label, a, b, saddle)   best saddle between two basins, a < b
+    edges  (label, a, b, saddle, at)  best saddle between two basins, a < b, and its cell
     """
 
     def __init__(self, field: DataFrame, plane: tuple[int, int], connectivity: int, edge: int = EDGE):
@@ -63,8 +66,10 @@ class Basins:
             u, v = u[keep], v[keep]
             ends = np.sort(np.stack([up[u], up[v]], axis=1), axis=1)
             ends, row = np.unique(ends, axis=0, return_inverse=True)
-            saddle = np.full(len(ends), -np.inf)
-            np.maximum.at(saddle, row.ravel(), np.minimum(value[u], value[v]))
+            # a pair is as high as its lower cell; the highest pair is the saddle
+            lower = np.where((value[u] < value[v]) | ((value[u] == value[v]) & (name[u] > name[v])), u, v)
+            order = np.lexsort((name[lower], -value[lower], row.ravel()))
+            top = lower[order[np.searchsorted(row.ravel()[order], np.arange(len(ends)))]]
             own = np.flatnonzero(cells.core)
             rim = np.zeros(len(cells), bool)
             for c in cells.local:
@@ -76,18 +81,19 @@ class Basins:
                 "label": cells.columns["label"][a],
                 "a": name[a],
                 "b": name[b],
-                "val": np.concatenate([value[own], saddle]),
+                "val": np.concatenate([value[own], value[top]]),
+                "at": np.concatenate([name[own], name[top]]),
                 # only rim cells and maxima can be the end of another block's climb
                 "end": np.concatenate([rim[own] | (up[own] == own), np.zeros(len(ends), bool)]),
             }
 
-        schema = "cell boolean, label bigint, a bigint, b bigint, val double, end boolean"
+        schema = "cell boolean, label bigint, a bigint, b bigint, val double, at bigint, end boolean"
         rows = materialize(per_block(field, kernel, schema, ["label", "val"], halo=1, edge=edge, layer="label"))
         self.cells = rows.where("cell").select("label", F.col("a").alias("cell"), F.col("b").alias("to"), "val")
         self.peaks = rows.where("cell and a = b").select("label", F.col("a").alias("peak"), "val")
         ends = rows.where("cell and end").select("label", F.col("a").alias("node"), F.col("b").alias("peak"))
         self.nodes = follow(ends, "node", "peak")
-        links = rows.where("not cell").select("label", "a", "b", F.col("val").alias("saddle"))
+        links = rows.where("not cell").select("label", "a", "b", F.col("val").alias("saddle"), "at")
         self.edges = materialize(relink(links, self.nodes, "node", "peak"))
 
 
@@ -116,21 +122,19 @@ def relink(edges: DataFrame, mapping: DataFrame, key: str, to: str) -> DataFrame
         side = mapping.select("label", F.col(key).alias(end), F.col(to).alias("_to"))
         out = out.join(side, ["label", end], "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
     first = [c for c in ("a0", "b0") if c in edges.columns]
-    pair = out.where("a <> b").select("label", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "saddle", *first)
-    if first:
-        best = F.struct("saddle", (-F.col("a0")).alias("lo"), (-F.col("b0")).alias("hi"))
-        kept = pair.groupBy("label", "a", "b").agg(F.max(best).alias("_e"))
-        return kept.select("label", "a", "b", F.col("_e.saddle").alias("saddle"), (-F.col("_e.lo")).alias("a0"), (-F.col("_e.hi")).alias("b0"))
-    return pair.groupBy("label", "a", "b").agg(F.max("saddle").alias("saddle"))
+    pair = out.where("a <> b").select("label", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "saddle", "at", *first)
+    best = F.struct("saddle", *[(-F.col(c)).alias(c) for c in ("at", *first)])
+    kept = pair.groupBy("label", "a", "b").agg(F.max(best).alias("_e"))
+    return kept.select("label", "a", "b", F.col("_e.saddle").alias("saddle"), *[(-F.col(f"_e.{c}")).alias(c) for c in ("at", *first)])
 
 
 def _best_edges(edges: DataFrame) -> DataFrame:
-    """Each basin's best edge, in one total order over all edges: ``(label, a, b, saddle)``."""
-    both = edges.unionByName(edges.select("label", F.col("b").alias("a"), F.col("a").alias("b"), "saddle", "a0", "b0"))
+    """Each basin's best edge, in one total order over all edges: ``(label, a, b, saddle, at)``."""
+    both = edges.unionByName(edges.select("label", F.col("b").alias("a"), F.col("a").alias("b"), "saddle", "at", "a0", "b0"))
     # the first ends tell edges apart, whatever their ends have been merged into
-    rank = F.struct("saddle", (-F.col("a0")).alias("lo"), (-F.col("b0")).alias("hi"), "b")
+    rank = F.struct("saddle", *[(-F.col(c)).alias(c) for c in ("at", "a0", "b0")], "b")
     best = both.groupBy("label", "a").agg(F.max(rank).alias("_best"))
-    return best.select("label", "a", F.col("_best")["b"].alias("b"), F.col("_best")["saddle"].alias("saddle"))
+    return best.select("label", "a", F.col("_best.b").alias("b"), F.col("_best.saddle").alias("saddle"), (-F.col("_best.at")).alias("at"))
 
 
 def _merge_rounds(edges: DataFrame, choose: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
@@ -139,7 +143,7 @@ def _merge_rounds(edges: DataFrame, choose: Callable[[DataFrame], DataFrame]) ->
     ``choose`` picks rows ``(label, a, b, ...)`` of the best edges: basin a joins b.
     """
     rounds = []
-    edges = edges.select("label", "a", "b", "saddle", F.col("a").alias("a0"), F.col("b").alias("b0"))
+    edges = edges.select("label", "a", "b", "saddle", "at", F.col("a").alias("a0"), F.col("b").alias("b0"))
     while True:
         merges, seen = materialize(choose(_best_edges(edges)), count_metric())
         if not seen["n"]:
@@ -166,12 +170,12 @@ def _by_size(edges: DataFrame, task_saddles: int) -> tuple[DataFrame, DataFrame
     return split.where("n is null").drop("n"), split.where("n is not null").drop("n")
 
 
-def _descending(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Nodes, and edge ends as node positions from the highest saddle to the lowest."""
-    a, b, saddle = (table.column(c).to_numpy() for c in ("a", "b", "saddle"))
-    order = np.lexsort((b, a, -saddle))
+def _descending(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Nodes, and edges from the highest saddle to the lowest: both ends as node positions, saddle and its cell."""
+    a, b, saddle, at = (table.column(c).to_numpy() for c in ("a", "b", "saddle", "at"))
+    order = np.lexsort((b, a, at, -saddle))
     nodes, ends = np.unique(np.concatenate([a[order], b[order]]), return_inverse=True)
-    return nodes, ends[: len(a)], ends[len(a) :], saddle[order]
+    return nodes, ends[: len(a)], ends[len(a) :], saddle[order], at[order]
 
 
 def _find(parent: list[int], i: int) -> int:
@@ -190,7 +194,7 @@ def _swallowed_in_task(edges: DataFrame, basins: Basins, h: float) -> DataFrame:
     heights = _heights(basins)
 
     def kernel(table: pa.Table) -> pa.Table:
-        nodes, u, v, saddle = _descending(table)
+        nodes, u, v, saddle, _ = _descending(table)
         height = np.empty(len(nodes))
         for end in "ab":
             height[np.searchsorted(nodes, table.column(end).to_numpy())] = table.column(f"_{end}").to_numpy()
@@ -252,70 +256,114 @@ def h_maxima(basins: Basins, h: float, task_saddles: int = TASK_SADDLES) -> Data
     return basins.peaks.where(F.col("val") >= h).join(swallowed, ["label", "peak"], "left_anti")
 
 
-def _joined_in_task(edges: DataFrame, marked: DataFrame) -> DataFrame:
-    """``(label, node, peak)``: the basin each basin hangs on in the end, one object per call."""
+def _levels_in_task(edges: DataFrame, marked: DataFrame) -> DataFrame:
+    """``(label, peak, saddle, at)``: the saddle over which a flood first enters each basin, one object per call."""
     flags = {end: marked.select("label", F.col("a").alias(end), F.lit(True).alias(f"_{end}")) for end in "ab"}
 
     def kernel(table: pa.Table) -> pa.Table:
-        nodes, u, v, _ = _descending(table)
-        marker = np.zeros(len(nodes), bool)
+        nodes, u, v, saddle, at = _descending(table)
+        wet = np.zeros(len(nodes), bool)
         for end in "ab":
-            marker[np.searchsorted(nodes, table.column(end).to_numpy())] = table.column(f"_{end}").to_numpy()
-        parent = list(range(len(nodes)))
-        for i, j in zip(u.tolist(), v.tolist()):
+            wet[np.searchsorted(nodes, table.column(end).to_numpy())] = table.column(f"_{end}").to_numpy()
+        level, wet = np.full(len(nodes), -1), wet.tolist()
+        parent, members = list(range(len(nodes))), [[i] for i in range(len(nodes))]
+        for k, (i, j) in enumerate(zip(u.tolist(), v.tolist())):
             i, j = _find(parent, i), _find(parent, j)
-            if i != j and not (marker[i] and marker[j]):
-                parent[i if marker[j] else j] = j if marker[j] else i
-        ends = np.array([_find(parent, i) for i in range(len(nodes))], int)
+            if i == j or (wet[i] and wet[j]):
+                continue
+            if wet[i] or wet[j]:
+                level[members[j if wet[i] else i]] = k
+            if len(members[i]) < len(members[j]):
+                i, j = j, i
+            members[i] += members[j]
+            parent[j], members[j], wet[i] = i, [], wet[i] or wet[j]
+        found = np.flatnonzero(level >= 0)
         label = table.column("label")[0].as_py()
-        return pa.table({"label": np.full(len(nodes), label, np.int64), "node": nodes, "peak": nodes[ends]})
+        return pa.table({"label": np.full(len(found), label, np.int64), "peak": nodes[found], "saddle": saddle[level[found]], "at": at[level[found]]})
 
     joined = edges.join(flags["a"], ["label", "a"], "left").join(flags["b"], ["label", "b"], "left")
     joined = joined.fillna(False, ["_a", "_b"])
-    return joined.groupBy("label").applyInArrow(kernel, "label bigint, node bigint, peak bigint")
+    return joined.groupBy("label").applyInArrow(kernel, "label bigint, peak bigint, saddle double, at bigint")
 
 
-def _joined_in_rounds(edges: DataFrame, marked: DataFrame) -> DataFrame:
-    """The same by rounds of distributed merges, for objects of any size."""
+def _levels_in_rounds(edges: DataFrame, marked: DataFrame) -> DataFrame:
+    """The same by rounds of distributed merges, for objects of any size.
+
+    A cluster without a marker joins another over its best saddle. Saddles along such joins only rise, so the
+    lowest one that a basin's clusters have chosen, up to a marker, is where the flood came in.
+    """
 
     def choose(best: DataFrame) -> DataFrame:
         free = best.join(marked, ["label", "a"], "left_anti")
         back = free.select("label", F.col("a").alias("b"), F.col("b").alias("_back"))
         joined = free.join(back, ["label", "b"], "left")
-        # two basins that choose each other: the one with the lower number stays
+        # two clusters that choose each other: the one with the lower number stays
         stays = F.coalesce(F.col("_back") == F.col("a"), F.lit(False)) & (F.col("a") < F.col("b"))
-        return joined.where(~stays).select("label", "a", "b")
+        return joined.where(~stays).select("label", "a", "b", "saddle", "at")
 
-    joined = edges.select("label", F.col("a").alias("node"), F.col("a").alias("peak")).limit(0)
+    ends = edges.select("label", F.col("a").alias("peak")).unionByName(edges.select("label", F.col("b").alias("peak"))).distinct()
+    entry = lambda saddle, at: F.struct((-F.col(saddle)).alias("down"), F.col(at).alias("at"))
+    where = materialize(ends.join(marked.withColumnRenamed("a", "peak"), ["label", "peak"], "left_anti").withColumn("a", F.col("peak")).withColumn("entry", F.when(F.lit(False), F.struct(F.lit(0.0).alias("down"), F.lit(0).cast("bigint").alias("at")))))
     for merges in _merge_rounds(edges, choose):
-        joined = joined.unionByName(merges.select("label", F.col("a").alias("node"), F.col("root").alias("peak")))
-    return follow(joined, "node", "peak")
+        joined = where.join(merges.select("label", "a", "root", entry("saddle", "at").alias("_entry")), ["label", "a"], "left")
+        where = materialize(joined.select("label", "peak", F.coalesce("root", "a").alias("a"), F.greatest("entry", "_entry").alias("entry")))
+    return where.join(marked, ["label", "a"], "left_semi").select("label", "peak", (-F.col("entry.down")).alias("saddle"), F.col("entry.at").alias("at"))
+
 
+def flood(field: DataFrame, plane: tuple[int, int], markers: DataFrame, edge: int = EDGE, task_saddles: int = TASK_SADDLES) -> DataFrame:
+    """``(label, cell, region)`` for every cell of ``field`` some marker's flood reaches, over faces of cells.
 
-def flood(basins: Basins, marker_peaks: DataFrame, task_saddles: int = TASK_SADDLES) -> DataFrame:
-    """``(label, cell, region)`` for every cell some marker's flood reaches.
+    ``field(label, z, y, x, val)``, ``markers(label, cell, marker)``. The regions are those of a priority queue: the highest
+    cell in it is taken out, and gives its region to its neighbours without one, which enter the queue.
 
-    ``marker_peaks(label, peak, marker)``: unmarked basins join the neighbour across
-    their highest saddle until they hang on a marker.
+    A flood reaches a cell at its entry: the lowest cell of the best path from a marker, itself included. So the entry of
+    a cell is itself, or that of its basin's peak if that is lower. All cells with one entry have its region, and an entry
+    that is no marker has the region of its neighbour with the highest entry; so regions are followed from entry to entry.
     """
-    start = marker_peaks.select("label", F.col("peak").alias("node"), F.col("marker").alias("peak"))
-    edges = materialize(relink(basins.edges, start, "node", "peak"))
-    marked = materialize(marker_peaks.select("label", F.col("marker").alias("a")).distinct())
-    small, large = _by_size(edges, task_saddles)
-    joined = _joined_in_task(small, marked)
+    basins = Basins(field, plane, 6, edge)
+    cells = materialize(basins.cells.join(basins.nodes.select("label", F.col("node").alias("to"), "peak"), ["label", "to"]).select("label", "cell", "peak", "val"))
+    # a marker is a node of its own beside the basin it lies in, joined to it at its height
+    doors = cells.join(markers.select("label", "cell"), ["label", "cell"], "left_semi").groupBy("label", "peak").agg(F.max(F.struct("val", (-F.col("cell")).alias("cell"))).alias("_m"))
+    doors = materialize(doors.select("label", (F.col("_m.cell") - 1).alias("a"), F.col("peak").alias("b"), F.col("_m.val").alias("saddle"), (-F.col("_m.cell")).alias("at")))
+    marked = doors.select("label", "a")
+    small, large = _by_size(materialize(basins.edges.unionByName(doors)), task_saddles)
+    levels = _levels_in_task(small, marked)
     if large is not None:
-        joined = joined.unionByName(_joined_in_rounds(materialize(large), marked))
-    joined = materialize(joined)
-    # a peak belongs to its marker's basin, and that to the basin it hangs on
-    own = basins.peaks.select("label", "peak").join(start.select("label", F.col("node").alias("peak"), F.col("peak").alias("_own")), ["label", "peak"], "left")
-    own = own.withColumn("_own", F.coalesce("_own", "peak"))
-    hung = joined.select("label", F.col("node").alias("_own"), F.col("peak").alias("region"))
-    region = own.join(hung, ["label", "_own"], "left").withColumn("region", F.coalesce("region", "_own"))
-    region = region.join(marked.select("label", F.col("a").alias("region")), ["label", "region"], "left_semi")
-    ends = materialize(
-        basins.nodes.join(region, ["label", "peak"]).select("label", F.col("node").alias("to"), "region")
-    )
-    return basins.cells.join(ends, ["label", "to"]).select("label", "cell", "region")
+        levels = levels.unionByName(_levels_in_rounds(materialize(large), marked))
+    entered = cells.join(materialize(levels), ["label", "peak"])
+    own = (F.col("val") < F.col("saddle")) | ((F.col("val") == F.col("saddle")) & (F.col("cell") >= F.col("at")))
+    entered = entered.select("label", "cell", F.when(own, F.col("val")).otherwise(F.col("saddle")).alias("entry_val"), F.when(own, F.col("cell")).otherwise(F.col("at")).alias("entry"))
+    entered = entered.join(markers.select("label", "cell", F.lit(True).alias("marked")), ["label", "cell"], "left").fillna(False, ["marked"])
+
+    def kernel(c: Cells) -> dict:
+        name, entry, value, marked = _linear(c.coords, plane), c.columns["entry"], c.columns["entry_val"], c.columns["marked"]
+        to, best = entry.copy(), np.full(len(c), -np.inf)
+        first = np.flatnonzero((entry == name) & ~marked)
+        for step in offsets(6):
+            at = c.neighbour(step)[first]
+            mine, at = first[at >= 0], at[at >= 0]
+            better = (value[at] > best[mine]) | ((value[at] == best[mine]) & (entry[at] < to[mine]))
+            to[mine[better]], best[mine[better]] = entry[at[better]], value[at[better]]
+        # entries inside the block are followed at once; rows are in order of label and cell
+        layer = np.cumsum(np.concatenate([[False], c.columns["label"][1:] != c.columns["label"][:-1]]))
+        low, span = name.min(), name.max() - name.min() + 1
+        place, wanted = layer * span + name - low, layer * span + to - low
+        row = np.minimum(np.searchsorted(place, wanted), len(place) - 1)
+        known = (to >= low) & (to < low + span) & (place[row] == wanted) & c.core[row]
+        up = np.where(known, row, np.arange(len(c)))
+        while True:
+            further = up[up]
+            if np.array_equal(further, up):
+                break
+            up = further
+        return {"label": c.columns["label"][c.core], "cell": name[c.core], "to": to[up][c.core]}
+
+    placed = entered.select(*_points(plane), "label", "entry", "entry_val", "marked")
+    steps = materialize(per_block(placed, kernel, "label bigint, cell bigint, to bigint", ["label", "entry", "entry_val", "marked"], halo=1, edge=edge, layer="label"))
+    ends = steps.join(steps.select("label", F.col("to").alias("cell")).distinct(), ["label", "cell"], "left_semi")
+    ends = follow(ends.select("label", F.col("cell").alias("node"), F.col("to").alias("peak")), "node", "peak")
+    region = ends.join(markers.select("label", F.col("cell").alias("peak"), F.col("marker").alias("region")), ["label", "peak"]).select("label", F.col("node").alias("to"), "region")
+    return steps.join(materialize(region), ["label", "to"]).select("label", "cell", "region")
 
 
 def _points(plane: tuple[int, int], cell: str = "cell") -> list:
@@ -330,12 +378,22 @@ def _points(plane: tuple[int, int], cell: str = "cell") -> list:
 def watershed_regions(
     voxels: DataFrame, shape: tuple[int, int, int], h: float, sigma: float, connectivity: int, edge: int = EDGE,
     task_saddles: int = TASK_SADDLES,
+) -> tuple[DataFrame, DataFrame]:
+    """``(seg_id, num_maxima)`` of objects with more than one maximum, and the regions of ``marked_regions``."""
+    maxima, regions = marked_regions(voxels, shape, h, sigma, connectivity, edge, task_saddles)
+    return maxima.drop("first"), regions
+
+
+def marked_regions(
+    voxels: DataFrame, shape: tuple[int, int, int], h: float, sigma: float, connectivity: int, edge: int = EDGE,
+    task_saddles: int = TASK_SADDLES,
 ) -> tuple[DataFrame, DataFrame]:
     """Markers per object and the regions flooded from them.
 
-    Returns (``(seg_id, num_maxima)``, ``(z, y, x, seg_id, region)``); regions exist only
+    Returns (``(seg_id, num_maxima, first)``, ``(z, y, x, seg_id, region)``); regions exist only
     for objects with more than one marker, whose number is the C-order number of its
-    first cell. ``connectivity`` decides which maximum cells form one marker.
+    first cell. ``connectivity`` decides which maximum cells form one marker. Smoothing spreads heights
+    beyond an object; maxima there count (``first`` is the lowest number of all), but flood nothing.
     """
     plane = shape[1:]
     squared = squared_distance(voxels, shape)
@@ -349,20 +407,18 @@ def watershed_regions(
     inside = field.where("inside").select(*AXES, "label", "val")
     number = (F.col("z") * plane[0] + F.col("y")) * plane[1] + F.col("x")
     cells = basins.cells.join(on_top, ["label", "to"]).where("val = _top").select(*_points(plane), "label")
-    cells = cells.join(inside.select(*AXES, "label"), [*AXES, "label"], "left_semi")
     markers = materialize(
         voxel_components(cells, plane, connectivity, "label", edge).select(
-            "label", number.alias("peak"), F.col("component").alias("marker")
+            "label", number.alias("cell"), F.col("component").alias("marker")
         )
     )
     counts = materialize(
-        markers.select("label", "marker").distinct().groupBy("label").agg(F.count(F.lit(1)).alias("num_maxima")).where("num_maxima > 1")
+        markers.select("label", "marker").distinct().groupBy("label").agg(F.count(F.lit(1)).alias("num_maxima"), F.min("marker").alias("first")).where("num_maxima > 1")
     )
     sized = counts.join(object_sizes(voxels).withColumnRenamed("seg_id", "label"), "label")
     several = lookup_join(inside, materialize(sized), "label", "inner", weight="size").select(*AXES, "label", "val")
-    slopes = Basins(several, plane, 6, edge)
-    starts = slopes.peaks.select("label", "peak").join(markers, ["label", "peak"])
-    flooded = flood(slopes, materialize(starts), task_saddles).select(*_points(plane), F.col("label").alias("seg_id"), "region")
+    starts = several.select("label", number.alias("cell")).join(markers, ["label", "cell"])
+    flooded = flood(materialize(several), plane, materialize(starts), edge, task_saddles).select(*_points(plane), F.col("label").alias("seg_id"), "region")
     return counts.withColumnRenamed("label", "seg_id"), materialize(flooded)
 
 
@@ -429,14 +485,14 @@ def split_by_watershed_elongation(
     loose = lookup_join(pieces, shape_of.where("_pieces > 1 and _significant > 1"), "seg_id", "inner")
     whole = shape_of.where("_pieces = 1").select("seg_id", "_n")
     single = lookup_join(large, whole, "seg_id", "inner", weight="_n").select(*AXES, "seg_id")
-    maxima, regions = watershed_regions(materialize(single), shape, h, smoothing, connectivity, edge)
+    maxima, regions = marked_regions(materialize(single), shape, h, smoothing, connectivity, edge)
     sized = _sized_regions(regions)
     if validate:
         rounder = elongation_gate(elongation(regions, ["seg_id", "region"]), elongation(single), min_size)
     else:
         rounder = maxima.select("seg_id")
     accepted = materialize(rounder)
-    first = sized.groupBy("seg_id").agg(F.min("part").alias("_first"))
+    first = maxima.select("seg_id", F.col("first").alias("_first"))
     cut = lookup_join(lookup_join(sized, accepted, "seg_id", "inner"), first, "seg_id", "inner")
     columns = ["seg_id", "part", "size"]
     fresh = loose.where("part <> _first").select(*columns).unionByName(cut.where("part <> _first").select(*columns))

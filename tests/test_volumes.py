@@ -1,5 +1,6 @@
 """Hand-made volumes with known results, and brute-force comparisons on small random ones."""
 
+import heapq
 import itertools
 from collections import deque
 
@@ -295,17 +296,53 @@ def test_nuclei_shape_mismatch_raises(spark):
         fuse.merge_nuclei(v, v, 2, (8, 8, 8), (4, 4, 3))
 
 
-def test_floods_by_task_and_by_rounds_agree_on_tied_saddles(spark):
+def test_levels_by_task_and_by_rounds_agree_on_tied_saddles(spark):
     rng = np.random.default_rng(3)
     edges, marked = [], []
     for label in range(60):
         n = int(rng.integers(4, 12))
         pairs = {(min(a, b), max(a, b)) for a, b in rng.integers(0, n, (3 * n, 2)).tolist() if a != b}
-        edges += [(label, a, b, float(rng.integers(1, 4))) for a, b in sorted(pairs)]
+        edges += [(label, a, b, float(rng.integers(1, 4)), int(rng.integers(0, 3))) for a, b in sorted(pairs)]
         marked += [(label, int(a)) for a in rng.choice(n, 2, replace=False)]
-    edges = spark.createDataFrame(edges, "label bigint, a bigint, b bigint, saddle double")
+    edges = spark.createDataFrame(edges, "label bigint, a bigint, b bigint, saddle double, at bigint")
     marked = spark.createDataFrame(marked, "label bigint, a bigint")
-    in_task = {(r.label, r.node): r.peak for r in watershed._joined_in_task(edges, marked).collect()}
-    in_rounds = {(r.label, r.node): r.peak for r in watershed._joined_in_rounds(edges, marked).collect()}
-    assert len(in_task) > 300
-    assert all(in_rounds.get(k, k[1]) == peak for k, peak in in_task.items())
+    in_task = sorted(map(tuple, watershed._levels_in_task(edges, marked).collect()))
+    assert len(in_task) > 250
+    assert in_task == sorted(map(tuple, watershed._levels_in_rounds(edges, marked).select("label", "peak", "saddle", "at").collect()))
+
+
+def queue_flood(field, markers):
+    """Regions of one object by a priority queue of cells: the highest first, of equal ones the lowest number."""
+    region, queue = dict(markers), []
+    for cell in markers:
+        heapq.heappush(queue, (-field[cell], cell))
+    while queue:
+        _, cell = heapq.heappop(queue)
+        for s in steps(6):
+            n = tuple(np.add(cell, s).tolist())
+            if n in field and n not in region:
+                region[n] = region[cell]
+                heapq.heappush(queue, (-field[n], n))
+    return region
+
+
+@pytest.mark.parametrize("edge", [3, 32])
+@pytest.mark.parametrize("task_saddles", [0, 1 << 16])
+@pytest.mark.parametrize("heights", [3, 1000])
+def test_flood_matches_a_priority_queue(spark, edge, task_saddles, heights):
+    rng = np.random.default_rng(heights + edge)
+    size = (6, 8, 9)
+    rows, markers, want = [], [], {}
+    for label in (1, 2, 3):
+        cells = [tuple(c) for c in np.argwhere(rng.random(size) < 0.8).tolist()]
+        field = {c: float(rng.integers(0, heights)) for c in cells}
+        rows += [(label, *c, v) for c, v in field.items()]
+        number = lambda c: (c[0] * size[1] + c[1]) * size[2] + c[2]
+        # markers of several cells, on peaks or not, touching each other or not
+        told = {cells[i]: 100 + k % 5 for k, i in enumerate(rng.choice(len(cells), 12, replace=False).tolist())} if label < 3 else {cells[0]: 7}
+        markers += [(label, number(c), m) for c, m in told.items()]
+        want |= {(label, number(c)): m for c, m in queue_flood(field, told).items()}
+    field = materialize(spark.createDataFrame(rows, "label bigint, z bigint, y bigint, x bigint, val double"))
+    told = materialize(spark.createDataFrame(markers, "label bigint, cell bigint, marker bigint"))
+    got = watershed.flood(field, size[1:], told, edge, task_saddles).collect()
+    assert len(got) == len(want) and {(r.label, r.cell): r.region for r in got} == want
