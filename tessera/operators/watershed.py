@@ -375,6 +375,14 @@ def _points(plane: tuple[int, int], cell: str = "cell") -> list:
     ]
 
 
+def maximum_cells(field: DataFrame, plane: tuple[int, int], h: float, edge: int = EDGE, task_saddles: int = TASK_SADDLES) -> DataFrame:
+    """``(z, y, x, label, val)``: the cells of all h-maxima of ``field(label, z, y, x, val)``, over all 26 neighbours."""
+    basins = Basins(field, plane, 26, edge)
+    tops = materialize(h_maxima(basins, h, task_saddles))
+    on_top = basins.nodes.join(tops.withColumnRenamed("val", "_top"), ["label", "peak"]).select("label", F.col("node").alias("to"), "_top")
+    return basins.cells.join(on_top, ["label", "to"]).where("val = _top").select(*_points(plane), "label", "val")
+
+
 def watershed_regions(
     voxels: DataFrame, shape: tuple[int, int, int], h: float, sigma: float, connectivity: int, edge: int = EDGE,
     task_saddles: int = TASK_SADDLES,
@@ -399,16 +407,10 @@ def marked_regions(
     squared = squared_distance(voxels, shape)
     field = smooth(squared.withColumn("val", F.sqrt("val")), shape, sigma, edge=edge)
     field = materialize(field.withColumnRenamed("seg_id", "label"))
-    basins = Basins(field, plane, 26, edge)
-    tops = materialize(h_maxima(basins, h, task_saddles))
-    on_top = basins.nodes.join(tops.withColumnRenamed("val", "_top"), ["label", "peak"]).select(
-        "label", F.col("node").alias("to"), "_top"
-    )
     inside = field.where("inside").select(*AXES, "label", "val")
     number = (F.col("z") * plane[0] + F.col("y")) * plane[1] + F.col("x")
-    cells = basins.cells.join(on_top, ["label", "to"]).where("val = _top").select(*_points(plane), "label")
     markers = materialize(
-        voxel_components(cells, plane, connectivity, "label", edge).select(
+        voxel_components(maximum_cells(field, plane, h, edge, task_saddles), plane, connectivity, "label", edge).select(
             "label", number.alias("cell"), F.col("component").alias("marker")
         )
     )

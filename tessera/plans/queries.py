@@ -14,6 +14,7 @@ from ..operators import changelog, distance, fuse, graph, morphology, proof, rel
 from ..session import configure, materialize
 from ..sources import blocks
 from . import fixtures as fx
+from . import flood_sql
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -717,19 +718,41 @@ def smooth_distance(t: Tables) -> DataFrame:
     return distance.smooth(field, shape_, 1.0)
 
 
-@query()
+# every segment cut across at half its height
+_HALVES = f"select *, z % 8 >= 4 as upper from ({fx.SEGMENTS}) s"
+
+
+@query(f"""with halves as ({_HALVES}), r as ({flood_sql.elongation("halves", "seg_id, upper")}),
+mean as (select seg_id, count(*) as n, sum(elongation * volume) / sum(volume) as mean from r where volume >= 20 group by 1)
+select seg_id from mean join ({flood_sql.elongation("halves", "seg_id")}) w using (seg_id) where n >= 2 and mean < elongation * 1.2""")
+def elongation_gate(t: Tables) -> DataFrame:
+    halves = materialize(t(_HALVES))
+    return shape.elongation_gate(shape.elongation(halves, ["seg_id", "upper"]), shape.elongation(halves), 20, gain=1.2)
+
+
+@query(f"with recursive vox as ({fx.SOLID}), {flood_sql.heights('(select max(z) + 1 from vox)')}, {flood_sql.maxima(0.2)} select z, y, x, seg_id, val from top")
+def h_maxima(t: Tables) -> DataFrame:
+    voxels = materialize(t(fx.SOLID))
+    shape_ = morphology.extent(voxels)
+    field = distance.smooth(distance.squared_distance(voxels, shape_).withColumn("val", F.sqrt("val")), shape_, 1.0)
+    tops = watershed.maximum_cells(materialize(field.withColumnRenamed("seg_id", "label")), shape_[1:], 0.2)
+    return tops.withColumnRenamed("label", "seg_id")
+
+
+@query(f"with recursive {flood_sql.split(fx.SEGMENTS, 0.2, 10)} {flood_sql.labels('region')}")
 def watershed_split(t: Tables) -> DataFrame:
     voxels = materialize(t(fx.SEGMENTS))
     return watershed.split_by_watershed(voxels, morphology.extent(voxels), h=0.2, min_size=10)[0]
 
 
-@query()
+@query(f"""with recursive {flood_sql.split(fx.SEGMENTS, 0.2, 10)}
+select seg_id, num_maxima, coalesce(valid_regions, 0) as valid_regions, coalesce(valid_regions, 0) > 1 as accepted from counts left join per using (seg_id)""")
 def watershed_outcome(t: Tables) -> DataFrame:
     voxels = materialize(t(fx.SEGMENTS))
     return watershed.split_by_watershed(voxels, morphology.extent(voxels), h=0.2, min_size=10)[1]
 
 
-@query()
+@query(f"with recursive {flood_sql.split_by_shape(fx.SEGMENTS, 0.2, 20)} {flood_sql.labels('owner')}")
 def watershed_elongation(t: Tables) -> DataFrame:
     voxels = materialize(t(fx.SEGMENTS))
     return watershed.split_by_watershed_elongation(voxels, morphology.extent(voxels), h=0.2, min_size=20)[0]
