@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import grid, scalars
-from ..operators import changelog, distance, fuse, graph, morphology, proof, relabel, shape, tasks, watershed
-from ..session import configure, materialize
-from ..sources import blocks
+from ..operators import changelog, convert, distance, fuse, graph, morphology, proof, relabel, shape, tasks, watershed
+from ..session import configure, materialize, work_dir
+from ..sources import arrays, blocks, precomputed, text, zarr2
 from . import fixtures as fx
 from . import flood_sql
 
@@ -756,3 +758,129 @@ def watershed_outcome(t: Tables) -> DataFrame:
 def watershed_elongation(t: Tables) -> DataFrame:
     voxels = materialize(t(fx.SEGMENTS))
     return watershed.split_by_watershed_elongation(voxels, morphology.extent(voxels), h=0.2, min_size=20)[0]
+
+
+# --- sources and sinks: what the tables give, written and read again ------------
+
+
+def _folder(t: Tables) -> str:
+    # sinks of single files take plain paths
+    return f"{work_dir(t.spark).removeprefix('file://').rstrip('/')}/tessera/{uuid.uuid4().hex}"
+
+
+def _segment_blocks(t: Tables, chunk: tuple[int, int, int] = (8, 8, 8), dtype: str = "uint32") -> tuple[DataFrame, list[int]]:
+    voxels = materialize(t(fx.SEGMENTS))
+    shape_ = list(morphology.extent(voxels))
+    return blocks.to_blocks(voxels, shape_, list(chunk), dtype), shape_
+
+
+def _stored_segments(t: Tables, chunk: tuple[int, int, int] = (8, 8, 8), compressor: dict | None = None) -> str:
+    cells, shape_ = _segment_blocks(t, chunk)
+    path = _folder(t)
+    zarr2.create(path, shape_, list(chunk), "uint32", compressor)
+    zarr2.write_blocks(cells, path)
+    return path
+
+
+_CODECS = {
+    "none": None, "zlib": {"id": "zlib", "level": 1}, "gzip": {"id": "gzip", "level": 1}, "zstd": {"id": "zstd", "level": 1},
+    "blosc": {"id": "blosc", "cname": "lz4", "clevel": 5, "shuffle": 1},
+}
+
+
+@query(f"select codec, v.* from ({fx.SEGMENTS}) v, (values {', '.join(f"('{c}')" for c in _CODECS)}) c(codec)")
+def zarr_codecs(t: Tables) -> DataFrame:
+    read = [blocks.to_voxels(zarr2.read_blocks(t.spark, _stored_segments(t, compressor=c))).withColumn("codec", F.lit(name)) for name, c in _CODECS.items()]
+    return reduce(DataFrame.unionByName, read)
+
+
+@query(f"select * from ({fx.SEGMENTS}) v where z >= 8 and z < 40 and x < 8")
+def zarr_box(t: Tables) -> DataFrame:
+    return blocks.to_voxels(zarr2.read_blocks(t.spark, _stored_segments(t), box=[(11, 33), (7, 9), (2, 5)]))
+
+
+@query(f"select count(*) as chunks from (select distinct floor(z / 8.0), floor(y / 8.0), floor(x / 8.0) from ({fx.SEGMENTS}) v) c")
+def zarr_resume(t: Tables) -> DataFrame:
+    cells, shape_ = _segment_blocks(t)
+    path = _folder(t)
+    zarr2.create(path, shape_, [8, 8, 8], "uint32")
+    zarr2.write_blocks(cells.where(F.get("idx", 0) % 3 == 0), path)  # a run that got this far
+    return zarr2.write_blocks(cells, path, resume=True).agg(F.count(F.lit(1)).alias("chunks"))
+
+
+@query(fx.SEGMENTS)
+def npy_store(t: Tables) -> DataFrame:
+    cells, shape_ = _segment_blocks(t)
+    path = f"{_folder(t)}.npy"
+    arrays.write_npy(cells, path, shape_, "uint32")
+    arrays.register(t.spark)
+    return blocks.to_voxels(t.spark.read.format("npy").option("chunk", "5,16,7").load(path))
+
+
+@query(f"select z, y, x, cast(255 as double) as val from ({fx.SEGMENTS}) v where seg_id = 1")
+def tiff_mask_store(t: Tables) -> DataFrame:
+    voxels = materialize(t(fx.SEGMENTS))
+    shape_ = list(morphology.extent(voxels))
+    cells = blocks.to_blocks(voxels.where("seg_id = 1"), shape_, [8, 16, 16], "uint8")
+    path = f"{_folder(t)}.tif"
+    arrays.write_mask_tiff(cells, path, shape_)
+    arrays.register(t.spark)
+    return blocks.to_voxels(t.spark.read.format("tiffstack").option("chunk", "4,8,16").load(path), "val")
+
+
+@query(fx.SEGMENTS)
+def precomputed_store(t: Tables) -> DataFrame:
+    cells, shape_ = _segment_blocks(t)
+    path = _folder(t)
+    precomputed.write_precomputed(cells, path, shape_, [8, 8, 8], "uint32", voxel_offset=(5, 0, 100))
+    return blocks.to_voxels(precomputed.read_precomputed(t.spark, path))
+
+
+@query(f"""with lk as ({fx.LOOKUP}), ok as ({fx.VALID_LABELS})
+select z, y, x, lk.label, coalesce(ok.label, 0) as filtered from ({fx.SEGMENTS}) v join lk on v.seg_id = lk.seg_id left join ok on lk.label = ok.label""")
+def relabel_filter_array(t: Tables) -> DataFrame:
+    source, labelled, filtered = _stored_segments(t, compressor=_CODECS["blosc"]), _folder(t), _folder(t)
+    convert.relabel_array(t.spark, source, labelled, filtered, t(fx.LOOKUP), t(fx.VALID_LABELS))
+    both = [blocks.to_voxels(zarr2.read_blocks(t.spark, path), "label") for path in (labelled, filtered)]
+    return both[0].join(both[1].withColumnRenamed("label", "filtered"), ["z", "y", "x"], "left").fillna(0, ["filtered"])
+
+
+@query(f"select row_number() over (order by line_no) - 1 as line_no, op, v1, v2 from ({fx.CHANGES}) c")
+def changelog_file(t: Tables) -> DataFrame:
+    path = _folder(t)
+    lines = t(fx.CHANGES).orderBy("line_no").select(F.concat(F.col("op"), *[F.concat(F.lit("\t"), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in ("v1", "v2")]))
+    lines.write.text(path)
+    return text.read_changelog(t.spark, path)
+
+
+@query(fx.MERGELIST)
+def mergelist_file(t: Tables) -> DataFrame:
+    path = _folder(t)
+    records = t(fx.MERGELIST).groupBy("obj_id").agg(F.concat_ws(" ", F.sort_array(F.collect_list("sub_id"))).alias("subs"))
+    head = F.concat(F.col("obj_id").cast("string"), F.lit(" 0 0 "), F.col("subs"))
+    lines = records.select("obj_id", F.posexplode(F.array(head, F.lit("1 2 3"), F.lit("axon"), F.lit(""))).alias("i", "value"))
+    lines.orderBy("obj_id", "i").select("value").write.text(path)
+    return text.read_mergelist(t.spark, path)
+
+
+@query(fx.ID_LIST)
+def id_list_file(t: Tables) -> DataFrame:
+    path = _folder(t)
+    t(fx.ID_LIST).groupBy((F.col("seg_id") % 100).alias("k")).agg(F.concat_ws("  ", F.collect_list("seg_id")).alias("value")).select("value").write.text(path)
+    return text.read_id_list(t.spark, path)
+
+
+@query(f"select vid, seg_id, src, dst, mult from ({fx.VERTICES}) v join ({fx.EDGES}) e on v.vid = e.src")
+def graph_store(t: Tables) -> DataFrame:
+    saved = graph.SegmentGraph(t(fx.VERTICES), t(fx.EDGES)).save(_folder(t))
+    loaded = graph.SegmentGraph.load(t.spark, saved)
+    return loaded.vertices.join(loaded.edges, F.col("vid") == F.col("src"))
+
+
+@query(f"""select zone, redmine, cell, client_status, concat('(', cast(o_orderkey as varchar(20)), ', ', cast(o_custkey as varchar(20)), ', 7)') as "at"
+from ({fx.SHEETS}) s join orders on redmine = cast(o_orderkey as varchar(20))""")
+def proof_csv(t: Tables) -> DataFrame:
+    point = "named_struct('x', o_orderkey, 'y', o_custkey, 'z', 7) as at"
+    table = t(f"select zone, redmine, cell, client_status, {point} from ({fx.SHEETS}) s join orders on redmine = cast(o_orderkey as varchar(20))")
+    path = proof.save_table(table, _folder(t))
+    return t.spark.read.option("header", True).csv(path)

@@ -1,4 +1,4 @@
-"""Sink for the public "precomputed" multi-resolution layout (raw encoding, one scale)."""
+"""Sink and source for the public "precomputed" multi-resolution layout (raw encoding, one scale)."""
 
 from __future__ import annotations
 
@@ -12,10 +12,10 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import as_array
+from .blocks import BLOCK_SCHEMA, as_array
 
 RESULT = "idx array<bigint>, ok boolean, error string"
 
@@ -70,3 +70,25 @@ def write_precomputed(
 
     counts = blocks.mapInPandas(store, RESULT).agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("ok")).first()
     return {"folder": str(folder), "written": counts["ok"], "failed": counts["n"] - counts["ok"]}
+
+
+def read_precomputed(spark: SparkSession, path: str) -> DataFrame:
+    """The chunk files of the first scale as z,y,x blocks; ``starts`` leave out the voxel offset."""
+    info = json.loads((Path(path) / "info").read_text())
+    scale, dtype = info["scales"][0], np.dtype(info["data_type"])
+    if scale["encoding"] != "raw":
+        raise ValueError(f"unsupported encoding {scale['encoding']!r}")
+    ranges = r"(\d+)-(\d+)_(\d+)-(\d+)_(\d+)-(\d+)\.gz$"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(f"{path}/{scale['key']}").where(F.col("path").rlike(ranges))
+    bounds = F.array(*[F.regexp_extract("path", ranges, i + 1).cast("bigint") for i in range(6)])
+
+    def load(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for found, content in zip(frame["bounds"], frame["content"]):
+                low = [int(a) - o for a, o in zip(found[::2], scale["voxel_offset"])][::-1]
+                size = [int(b - a) for a, b in zip(found[::2], found[1::2])][::-1]
+                idx = [s // c for s, c in zip(low, scale["chunk_sizes"][0][::-1])]
+                cells = np.frombuffer(gzip.decompress(content), dtype.newbyteorder("<")).astype(dtype)
+                yield pd.DataFrame({"idx": [idx], "starts": [low], "shape": [size], "dtype": [dtype.name], "data": [cells.tobytes()]})
+
+    return files.select(bounds.alias("bounds"), "content").mapInPandas(load, BLOCK_SCHEMA)
