@@ -29,6 +29,7 @@ TAIL = 1e-4
 # varies in most rows of a group does not make small deviations look large.
 FLOORS = (1.0, 0.15, 0.7, 0.7, 0.7)
 _D = len(FLOORS)
+_PLACE_BITS = 24
 # Squared distances are counted in bins of this many per unit of their logarithm.
 _BINS = 64
 _BIN_LIMIT = 64 * 40
@@ -37,7 +38,8 @@ _BIN_LIMIT = 64 * 40
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without ``text`` and with the long columns ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``.
 
-    Words are runs of other than ASCII white space. Null and empty texts have zero everywhere. Whole texts are used.
+    Words are runs of other than ASCII white space. Null and empty texts have zero everywhere. Whole texts are used. The
+    names of these columns, ``_w`` and ``_lines`` must not be in ``docs``.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     others = [F.col(c) for c in docs.columns if c != text]
@@ -48,10 +50,12 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         F.length(F.translate(t, " \t\n\x0b\f\r", "")).cast("bigint").alias("word_chars"),
         (F.length(t) - F.length(F.translate(t, _SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
     )
-    # 3-word windows: 40 bits of hash and the window's place in one long, so that a plain sort brings equal ones together
+    # 3-word windows: hash and the window's place in one long, so that a plain sort brings equal ones together; a place takes
+    # 24 bits, or as many as the number of words needs
+    bits = F.greatest(F.lit(_PLACE_BITS), F.length(F.bin(F.size("_w")))).cast("int")
     windows = F.when(
         F.size("_w") >= 3,
-        F.transform(F.sequence(F.lit(0), F.size("_w") - 3), lambda i: F.shiftleft(F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)), 24).bitwiseOR(i.cast("bigint"))),
+        F.transform(F.sequence(F.lit(0), F.size("_w") - 3), lambda i: F.call_function("shiftleft", F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)), bits).bitwiseOR(i.cast("bigint"))),
     ).otherwise(F.array().cast("array<bigint>"))
     counted = split.select(
         *[F.col(c) for c in docs.columns if c != text],
@@ -59,11 +63,12 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size("_w").cast("bigint").alias("n_words"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
         F.sort_array(windows).alias("_s"),
+        bits.alias("_bits"),
     )
     alike = lambda array, same: F.filter(array, lambda x, i: same(x, F.get(array, i - 1)) | same(x, F.get(array, i + 1)))
-    near = counted.withColumn("_c", alike("_s", lambda x, y: F.coalesce(F.shiftright(x, 24) == F.shiftright(y, 24), F.lit(False))))
+    near = counted.withColumn("_c", alike("_s", lambda x, y: F.coalesce(F.call_function("shiftright", x, F.col("_bits")) == F.call_function("shiftright", y, F.col("_bits")), F.lit(False))))
     # equal hashes are confirmed on the words themselves
-    place = lambda x: x.bitwiseAND(F.lit((1 << 24) - 1)).cast("int")
+    place = lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_bits")) - 1).cast("int")
     exact = near.withColumn("_c", F.sort_array(F.transform("_c", lambda x: F.struct(F.concat_ws(" ", F.slice("_w", place(x) + 1, 3)).alias("w"), place(x).alias("i")))))
     places = exact.withColumn("_c", F.sort_array(F.transform(alike("_c", lambda x, y: F.coalesce(x["w"] == y["w"], F.lit(False))), lambda x: x["i"])))
     covered = F.aggregate(F.transform("_c", lambda x, i: F.when(i == 0, 3).otherwise(F.least(F.lit(3), x - F.get("_c", i - 1)))), F.lit(0).cast("bigint"), lambda a, x: a + x)
@@ -105,23 +110,22 @@ _Q = chi_square_quantile(1 - COVER, _D)
 _CONSISTENT = COVER / chi_square(_Q, _D + 2)
 
 
+def _fine() -> Column:
+    """Name of a row's language and source; a null is a value of its own."""
+    return F.to_json(F.array("lang", "source"), {"ignoreNullFields": "false"})
+
+
 def _groups(rows: DataFrame, min_rows: int) -> DataFrame:
-    """``rows`` with ``_g``: language and source; small ones are pooled by language, and small pools fall to all rows, ``*``.
+    """``_fine, _g``: the group of each language and source; small ones are pooled by language, and small pools fall to all rows, ``*``.
 
-    Groups are told by names; a null language or source is a value of its own. If there are fewer than ``min_rows`` rows
-    in all, the group is null: there is no estimate.
+    If there are fewer than ``min_rows`` rows in all, the group is null: there is no estimate.
     """
-    named = lambda *c: F.to_json(F.array(*c), {"ignoreNullFields": "false"})
-    fine = rows.withColumn("_g", named(F.col("lang"), F.col("source"))).withColumn("_l", named(F.col("lang")))
-    sizes = fine.groupBy("_g", "_l").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("_n")).withColumn("_l", F.to_json(F.array("lang"), {"ignoreNullFields": "false"}))
     small = F.when(F.col("_n") < min_rows, F.col("_n")).otherwise(0)
     by_lang = sizes.groupBy("_l").agg(F.sum(small).alias("_n_lang"))
     rest = sizes.agg(F.sum("_n").alias("_n_all"))
-    chosen = (
-        sizes.join(by_lang, "_l").crossJoin(F.broadcast(rest))  # one row
-        .select("_g", F.when(F.col("_n") >= min_rows, F.col("_g")).when(F.col("_n_lang") >= min_rows, F.col("_l")).when(F.col("_n_all") >= min_rows, F.lit("*")).alias("_to"))
-    )
-    return lookup_join(fine.drop("_l"), materialize(chosen), "_g").drop("_g").withColumnRenamed("_to", "_g")
+    group = F.when(F.col("_n") >= min_rows, _fine()).when(F.col("_n_lang") >= min_rows, F.col("_l")).when(F.col("_n_all") >= min_rows, F.lit("*"))
+    return sizes.join(by_lang, "_l").crossJoin(F.broadcast(rest)).select(_fine().alias("_fine"), group.alias("_g"))  # one row
 
 
 _PAIRS = [(i, j) for i in range(_D) for j in range(i + 1)]
@@ -199,28 +203,30 @@ def judge(stats: DataFrame, min_rows: int = MIN_ROWS, cover: float = COVER, step
 
     Rows that fail the base rules take no part in the estimates and have no distance. Rows whose
     group and language are below ``min_rows`` are judged by the estimate over all rows; if the table is below it, they
-    have none and are kept. An empty table gives an empty result.
+    have none and are kept. An empty table gives an empty result. The names of the new columns, ``x0`` to ``x4`` and names that
+    begin with an underscore must not be in ``stats``.
     """
     table = materialize(stats.withColumn("base_failed", base_failed()))
-    passed = table.where("not base_failed")
-    vectors = materialize(_groups(passed, min_rows).select(*table.columns, "_g", *[x.alias(f"x{i}") for i, x in enumerate(_vector())]))
-    taught = vectors.where("_g is not null").select("_g", *[f"x{i}" for i in range(_D)])
+    passed = table.where("not base_failed").select("lang", "source", *[x.alias(f"x{i}") for i, x in enumerate(_vector())])
+    groups = materialize(_groups(passed, min_rows))
+    taught = lookup_join(passed.withColumn("_fine", _fine()), groups, "_fine").where("_g is not null").select("_g", *[f"x{i}" for i in range(_D)])
+    taught = materialize(taught)
     if not taught.where("_g = '*'").isEmpty():
         taught = taught.where("_g <> '*'").unionByName(taught.withColumn("_g", F.lit("*")))
     estimates = materialize(estimate(taught, cover, steps))
-    limit = chi_square_quantile(tail, _D)
-    told = _distance(lookup_join(vectors, estimates, "_g")).select(*table.columns, F.col("_d2").alias("distance"))
-    told = told.withColumn("kept", F.coalesce(F.col("distance") <= limit, F.lit(True)))
-    failed = table.where("base_failed").withColumn("distance", F.lit(None).cast("double")).withColumn("kept", F.lit(False))
-    return told.unionByName(failed)
+    # a row's verdict needs its statistics and its group's estimate: no row is moved but where the groups are very many
+    placed = lookup_join(table.withColumn("_fine", F.when(~F.col("base_failed"), _fine())), groups, "_fine")
+    told = lookup_join(placed.select(*table.columns, "_g", *[x.alias(f"x{i}") for i, x in enumerate(_vector())]), estimates, "_g")
+    told = _distance(told).select(*table.columns, F.col("_d2").alias("distance"))
+    return told.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= chi_square_quantile(tail, _D), F.lit(True)))
 
 
 def reject(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", **limits) -> DataFrame:
-    """The rows of ``docs`` that are kept. Rows are told by their text, language and source, which decide the verdict."""
-    content = F.coalesce(F.col(f"docs.{text}"), F.lit(""))
-    docs = docs.alias("docs")
-    marks = [F.xxhash64(content).alias("_k1"), F.hash(content).alias("_k2"), F.octet_length(content).alias("_k3"), F.col(f"docs.{lang}").alias("lang"), F.col(f"docs.{source}").alias("source")]
-    stats = statistics(docs.select(*marks, content.alias("text")))
-    gone = materialize(judge(stats, **limits).where("not kept").select("_k1", "_k2", "_k3", "lang", "source").distinct())
-    same = (F.xxhash64(content) == F.col("_k1")) & (F.hash(content) == F.col("_k2")) & (F.octet_length(content) == F.col("_k3"))
-    return docs.join(gone.alias("gone"), same & F.col(f"docs.{lang}").eqNullSafe(F.col("gone.lang")) & F.col(f"docs.{source}").eqNullSafe(F.col("gone.source")), "left_anti")
+    """The rows of ``docs`` that are kept, with its columns, whatever their names.
+
+    Rows are judged one by one: repeated rows share their fate, a null or empty text fails the base rules, null languages
+    and sources are values of their own, an empty table stays empty. Rows are written once with their statistics.
+    """
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{source}`").alias("source"), F.col(f"`{text}`").alias("text"))
+    kept = judge(statistics(whole), **limits).where("kept")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
