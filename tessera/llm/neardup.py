@@ -262,6 +262,7 @@ def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, text: str =
     kept = materialize(kept)
     single = kept.where("_rows = 1").select(F.col("doc_id").alias(key))
     repeated = kept.where("_rows > 1").select(F.col("doc_id").alias(key))
-    once = docs.join(single, key, "left_semi")
+    # as in link, texts are dealt out by a join at every size
+    once = docs.join(single.hint("merge"), key, "left_semi")
     several = docs.join(repeated, key, "left_semi").dropDuplicates([key])
     return once.unionByName(several).unionByName(docs.where(F.col(key).isNull()))
