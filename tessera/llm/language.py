@@ -30,11 +30,13 @@ ALL_BYTES = 16 << 20
 MARGIN = 0.02
 _LEVEL = 6
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def _plain(text: str) -> str:
-    """Lower case, all but letters one blank."""
-    return _OTHER.sub(" ", text.lower()).strip()
+    """Lower case, all but letters and their marks one blank; empty if there is no letter."""
+    plain = _OTHER.sub(" ", text.lower()).strip()
+    return plain if _LETTER.search(plain) else ""
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
