@@ -48,8 +48,33 @@ def path(url: Column) -> Column:
 
 
 def address(url: Column) -> Column:
-    """What two URLs of one resource share: host, path and query. Null where there is no ``://``."""
-    return F.when(F.contains(url, F.lit("://")), F.concat(host(url), path(url), F.regexp_extract(url, _PARTS, 3)))
+    """What two URLs of one resource share: host, path without dot segments, and query. Null where there is no ``://``."""
+    return F.when(F.contains(url, F.lit("://")), F.concat(host(url), _without_dots(path(url)), F.regexp_extract(url, _PARTS, 3)))
+
+
+def _without_dots(path_: Column) -> Column:
+    """``path_`` with ``.`` and ``..`` segments followed."""
+    parts = F.split(path_, "/")
+    empty = F.array().cast("array<string>")
+    follow = lambda done, part: F.when(part == ".", done).when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(F.array_append(done, part))
+    kept = F.aggregate(parts, empty, follow)
+    folder = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    return F.when(F.contains(path_, F.lit("/.")), F.concat(F.array_join(kept, "/"), folder)).otherwise(path_)
+
+
+def resolve(target: Column, url: Column) -> Column:
+    """The absolute form of a link's ``target`` in the page ``url`` (the scheme does not matter here)."""
+    base, folder = path(url), F.regexp_extract(path(url), r"(?s)\A.*/", 0)
+    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
+    here = F.concat(F.lit("http://"), host(url))
+    return (
+        F.when(target.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*:"), target)
+        .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+        .when(target.startswith("/"), F.concat(here, target))
+        .when(target.startswith("?"), F.concat(here, base, target))
+        .when(target.startswith("#"), url)
+        .otherwise(F.concat(here, folder, target))
+    )
 
 
 def judge(host_: Column, path_: Column, rules: tuple[Rule, ...], value) -> Column:
@@ -64,16 +89,17 @@ def judge(host_: Column, path_: Column, rules: tuple[Rule, ...], value) -> Colum
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``(a, b)`` addresses that a canonical link or an immediate redirect in a page's HTML makes equal.
 
-    Relative targets are read against the page's host. Rows whose url or target has no address give no link.
+    All tags count. Targets are read against the page's url, as a browser does. Rows whose url or target has no address
+    give no link.
     """
     attribute = r"""(?is)\b%s\s*=\s*["']?\s*([^"'\s>]+)"""
-    canonical = F.regexp_extract(F.regexp_extract(html, r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>""", 0), attribute % "href", 1)
-    refresh = F.regexp_extract(F.regexp_extract(html, r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>""", 0), r"""(?is)\burl\s*=\s*["']?\s*([^"'\s>]+)""", 1)
+    tags = lambda pattern: F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
+    canonical = F.transform(tags(r"""(?is)<link\b[^>]*\brel\s*=\s*["']?(?:[\w-]+\s+)*canonical\b[^>]*>"""), lambda tag: F.regexp_extract(tag, attribute % "href", 1))
+    refresh = F.transform(tags(r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""), lambda tag: F.regexp_extract(tag, r"""(?is)\burl\s*=\s*["']?\s*([^"'\s>]+)""", 1))
     tagged = F.contains(F.lower(html), F.lit("canonical")) | F.contains(F.lower(html), F.lit("http-equiv"))
-    found = pages.where(tagged).select(F.col(url).alias("url"), F.explode(F.array(canonical, refresh)).alias("target")).where("target <> ''")
+    found = pages.where(tagged & F.contains(F.col(url), F.lit("://"))).select(F.col(url).alias("url"), F.explode(F.concat(canonical, refresh)).alias("target")).where("target <> ''")
     target = F.replace(F.col("target"), F.lit("&amp;"), F.lit("&"))
-    whole = F.when(target.startswith("//"), F.concat(F.lit("http:"), target)).when(target.startswith("/"), F.concat(F.lit("http://"), host(F.col("url")), target)).otherwise(target)
-    return found.select(address(F.col("url")).alias("a"), address(whole).alias("b")).where("a is not null and b is not null")
+    return found.select(address(F.col("url")).alias("a"), address(resolve(target, F.col("url"))).alias("b")).where("a is not null and b is not null")
 
 
 def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "url", html: str = "html", redirects: DataFrame | None = None) -> DataFrame:
