@@ -6,11 +6,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.scalars import INTENSITY_MAX, INTENSITY_MIN
+from ..session import materialize
 from ..sources import arrays, zarr2
 from ..sources.blocks import auto_chunk, rechunk, to_blocks, to_voxels
 from ..sources.precomputed import write_precomputed
 from . import fuse
-from .relabel import relabel_and_filter
+from .dictionary import mask_blocks, one_output, relabel_blocks
 from .tasks import map_blocks
 
 ZLIB = {"id": "zlib", "level": 1}
@@ -54,18 +55,22 @@ def resample_array(spark: SparkSession, source: str, target: str, factors, metho
 
 
 def relabel_array(spark: SparkSession, source: str, labels: str, filtered: str, lookup: DataFrame, valid: DataFrame) -> list[dict]:
-    """Relabelled and filtered copies of an array."""
+    """Relabelled and filtered copies of an array, both from one scan of it."""
     meta = zarr2.read_meta(source)
-    both = relabel_and_filter(to_voxels(zarr2.read_blocks(spark, source)), lookup, valid)
+    both = materialize(relabel_blocks(zarr2.read_blocks(spark, source), lookup, valid))
     return [
-        _store(
-            to_blocks(both.where(f"{column} <> 0"), meta["shape"], meta["chunks"], "uint32", column),
-            path, meta["shape"], meta["chunks"], "uint32",
-        )
+        _store(one_output(both, column), path, meta["shape"], meta["chunks"], "uint32")
         for column, path in (("label", labels), ("filtered", filtered))
     ]
 
 
+def mask_array(spark: SparkSession, source: str, target: str, ids: DataFrame) -> dict:
+    """An array that is 1 where the id is in the list, else 0; chunks without such an id are not stored."""
+    meta = zarr2.read_meta(source)
+    masked = mask_blocks(zarr2.read_blocks(spark, source), ids)
+    return _store(one_output(masked, "mask"), target, meta["shape"], meta["chunks"], "uint8")
+
+
 def merge_nuclei_arrays(spark: SparkSession, cells: str, nuclei: str, target: str, factor: int = 2) -> dict:
     cell_meta, meta = zarr2.read_meta(cells), zarr2.read_meta(nuclei)
     merged = fuse.merge_nuclei(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import DEFAULT_FACTORS, downsample_point, parse_coordinate
 from ..session import materialize
+from .dictionary import ids_at
 from .keyed import BROADCAST_ROWS, at_most, lookup_join
 
 log = logging.getLogger(__name__)
@@ -79,6 +80,25 @@ def downsample_coordinates(table: DataFrame, factors=DEFAULT_FACTORS) -> DataFra
     return table.withColumns({f"Downsampled_Coordinate_{f}": downsample_point(point, f) for f in factors})
 
 
+def _wanted_points(table: DataFrame) -> DataFrame:
+    point = F.col("Mapped_Coordinates")
+    return materialize(table.select(*[point[a].alias(f"_{a}") for a in "zyx"]).where(F.col("_z").isNotNull()).distinct())
+
+
+def _answer(table: DataFrame, found: DataFrame, lookup: DataFrame) -> DataFrame:
+    """``table`` with ``target_id`` and ``label`` from ``found`` (``_z, _y, _x, target_id`` for each distinct point)."""
+    labels = lookup.select(F.col("seg_id").alias("target_id"), F.col("label").cast("bigint").alias("label"))
+    answers = lookup_join(found, labels, "target_id").select(
+        F.struct(F.col("_x").alias("x"), F.col("_y").alias("y"), F.col("_z").alias("z")).alias("Mapped_Coordinates"),
+        F.coalesce("target_id", F.lit(UNKNOWN)).cast("bigint").alias("target_id"),
+        F.coalesce("label", F.lit(UNKNOWN)).cast("bigint").alias("label"),
+    )
+    answers = materialize(answers)
+    return lookup_join(table, answers, "Mapped_Coordinates").withColumns(
+        {c: F.coalesce(c, F.lit(UNKNOWN)).cast("bigint") for c in ("target_id", "label")}
+    ).select(*table.columns, "target_id", "label")
+
+
 def point_lookup(table: DataFrame, voxels: DataFrame, lookup: DataFrame, shape: list[int] | None = None) -> DataFrame:
     """Add ``target_id`` (the id at the mapped coordinate) and ``label``; -1 where unknown.
 
@@ -87,16 +107,14 @@ def point_lookup(table: DataFrame, voxels: DataFrame, lookup: DataFrame, shape:
     only key of its cell in ``voxels``; many rows asking for one cell (a hot key)
     are answered once, on the distinct points.
     """
-    point = F.col("Mapped_Coordinates")
-    keyed = table.withColumns({"_z": point["z"], "_y": point["y"], "_x": point["x"]})
     cells = voxels.select(
         F.col("z").alias("_z"), F.col("y").alias("_y"), F.col("x").alias("_x"), F.col("seg_id").alias("target_id")
     )
     axes = ["_z", "_y", "_x"]
-    points = materialize(keyed.select(*axes).where(F.col("_z").isNotNull()).distinct())
-    # few points are taken to the voxels, so that the volume is scanned but not shuffled
+    points = _wanted_points(table)
+    # few points are taken to the voxels, so that the volume is scanned but not shuffled; it is scanned once
     wanted = F.broadcast(points) if at_most(points, BROADCAST_ROWS) else points
-    found = points.join(cells.join(wanted, axes), axes, "left")
+    found = points.join(materialize(cells.join(wanted, axes)), axes, "left")
     if shape is not None:
         inside = (
             F.col("_z").between(0, shape[0] - 1)
@@ -104,16 +122,15 @@ def point_lookup(table: DataFrame, voxels: DataFrame, lookup: DataFrame, shape:
             & F.col("_x").between(0, shape[2] - 1)
         )
         found = found.withColumn("target_id", F.coalesce("target_id", F.when(inside, F.lit(0))))
-    labels = lookup.select(F.col("seg_id").alias("target_id"), F.col("label").cast("bigint").alias("label"))
-    answers = lookup_join(found, labels, "target_id").select(
-        F.struct(F.col("_x").alias("x"), F.col("_y").alias("y"), F.col("_z").alias("z")).alias("Mapped_Coordinates"),
-        F.coalesce("target_id", F.lit(UNKNOWN)).cast("bigint").alias("target_id"),
-        F.coalesce("label", F.lit(UNKNOWN)).cast("bigint").alias("label"),
-    )
-    answers = materialize(answers)
-    return lookup_join(table, answers, "Mapped_Coordinates").withColumns(
-        {c: F.coalesce(c, F.lit(UNKNOWN)).cast("bigint") for c in ("target_id", "label")}
-    ).select(*table.columns, "target_id", "label")
+    return _answer(table, found, lookup)
+
+
+def point_lookup_array(table: DataFrame, path: str, lookup: DataFrame) -> DataFrame:
+    """``point_lookup`` on a stored array, of which only chunks that hold a point are opened; outside it the id is unknown."""
+    points = _wanted_points(table)
+    here = materialize(ids_at(points.selectExpr("_z as z", "_y as y", "_x as x"), path))
+    found = points.join(here.selectExpr("z as _z", "y as _y", "x as _x", "seg_id as target_id"), ["_z", "_y", "_x"], "left")
+    return _answer(table, found, lookup)
 
 
 def save_table(table: DataFrame, path: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import grid, scalars
-from ..operators import changelog, convert, distance, fuse, graph, morphology, proof, relabel, shape, tasks, watershed
+from ..operators import changelog, convert, dictionary, distance, fuse, graph, morphology, proof, relabel, shape, tasks, watershed
 from ..session import configure, materialize, work_dir
 from ..sources import arrays, blocks, precomputed, text, zarr2
 from . import fixtures as fx
@@ -845,6 +845,38 @@ def relabel_filter_array(t: Tables) -> DataFrame:
     return both[0].join(both[1].withColumnRenamed("label", "filtered"), ["z", "y", "x"], "left").fillna(0, ["filtered"])
 
 
+# as relabel_filter_array, but as if no lookup were small: blocks are coded and their distinct ids joined
+@query(CHECKS["relabel_filter_array"])
+def relabel_filter_coded(t: Tables) -> DataFrame:
+    cells, _ = _segment_blocks(t)
+    both = materialize(dictionary.relabel_blocks(cells, t(fx.LOOKUP), t(fx.VALID_LABELS), broadcast_rows=0))
+    labelled, filtered = (blocks.to_voxels(dictionary.one_output(both, name), "label") for name in ("label", "filtered"))
+    return labelled.join(filtered.withColumnRenamed("label", "filtered"), ["z", "y", "x"], "left").fillna(0, ["filtered"])
+
+
+@query(f"select z, y, x, seg_id from ({fx.SEGMENTS}) v where seg_id in (select seg_id from ({fx.ID_LIST}) i)")
+def keep_labels_blocks(t: Tables) -> DataFrame:
+    cells, _ = _segment_blocks(t)
+    return blocks.to_voxels(dictionary.one_output(dictionary.keep_blocks(cells, t(fx.ID_LIST)), "filtered"))
+
+
+@query(f"select z, y, x, cast(1 as double) as val from ({fx.SEGMENTS}) v where seg_id in (select seg_id from ({fx.ID_LIST}) i)")
+def mask_array(t: Tables) -> DataFrame:
+    source, target = _stored_segments(t, compressor=_CODECS["zstd"]), _folder(t)
+    convert.mask_array(t.spark, source, target, t(fx.ID_LIST))
+    return blocks.to_voxels(zarr2.read_blocks(t.spark, target), "val")
+
+
+# inside the array an empty cell is background, outside it nothing is known
+@query(f"""with vox as ({fx.SEGMENTS}), lk as ({fx.LOOKUP}), p as ({_POINTS})
+select cell, coalesce(vox.seg_id, case when pz <= (select max(z) from vox) then 0 else -1 end) as target_id, coalesce(lk.label, -1) as label from p
+left join vox on pz = z and py = y and px = x left join lk on lk.seg_id = vox.seg_id""")
+def point_lookup_array(t: Tables) -> DataFrame:
+    point = F.struct(*[F.col(f"p{a}").alias(a) for a in "xyz"]).alias("Mapped_Coordinates")
+    cells = t(_POINTS).select("cell", point)
+    return proof.point_lookup_array(cells, _stored_segments(t), t(fx.LOOKUP)).select("cell", "target_id", "label")
+
+
 @query(f"select row_number() over (order by line_no) - 1 as line_no, op, v1, v2 from ({fx.CHANGES}) c")
 def changelog_file(t: Tables) -> DataFrame:
     path = _folder(t)
