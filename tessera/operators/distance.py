@@ -12,8 +12,38 @@ TRUNCATE = 4.0  # kernel radius in standard deviations
 DECIMALS = 9  # smoothed values are rounded, so that equal heights compare as equal
 
 
+def _envelopes(squared: np.ndarray, change: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower envelopes of the parabolas ``squared[q] + (p - q) ** 2`` over each run of a line.
+
+    ``change`` marks where a run begins, ``part`` the cells that add a parabola. The envelope of a run that begins at
+    ``s`` fills the slots ``s, s + 1, ...`` of its line: returns which slots are filled, the parabola's position in each,
+    and where it begins to be the lowest. Every cell is pushed and popped at most once.
+    """
+    lines, n = squared.shape
+    filled, vertex, since = np.zeros((lines, n), bool), np.zeros((lines, n), np.int64), np.full((lines, n), -np.inf)
+    base, top = np.zeros(lines, np.int64), np.full(lines, -1)  # of the run that each line is in
+    for q in range(n):
+        new = change[:, q]
+        base[new], top[new] = q, q - 1
+        todo = np.flatnonzero(part[:, q])
+        while len(todo):
+            rows = todo[top[todo] >= base[todo]]
+            v = vertex[rows, top[rows]]
+            meet = (squared[rows, q] + q * q - squared[rows, v] - v * v) / (2.0 * (q - v))
+            hidden = meet <= since[rows, top[rows]]
+            below = rows[~hidden]
+            first = todo[top[todo] < base[todo]]
+            for ready, begin in ((first, -np.inf), (below, meet[~hidden])):
+                top[ready] += 1
+                vertex[ready, top[ready]], since[ready, top[ready]], filled[ready, top[ready]] = q, begin, True
+            todo = rows[hidden]
+            filled[todo, top[todo]] = False
+            top[todo] -= 1
+    return filled, vertex, since
+
+
 def nearest_along(labels: np.ndarray, squared: np.ndarray) -> np.ndarray:
-    """One axis of a separable squared distance transform, per run of equal labels.
+    """One axis of a separable squared distance transform, per run of equal labels, in linear time.
 
     ``squared`` holds what the axes done so far gave (inf at first). A cell of another
     label is at distance 0 of itself, so nothing beyond the ends of the own run can
@@ -31,13 +61,19 @@ def nearest_along(labels: np.ndarray, squared: np.ndarray) -> np.ndarray:
     high = np.where(end < n - 1, end - at + 1.0, np.inf)
     best = np.minimum(squared, np.minimum(low, high) ** 2)
     stored = labels != 0
-    if np.isfinite(squared[stored]).any():
-        for k in range(1, n):
-            if k * k >= best[stored].max(initial=0.0):
-                break
-            left, right = squared[:, :-k] + k * k, squared[:, k:] + k * k
-            best[:, k:] = np.where(start[:, k:] <= at[k:] - k, np.minimum(best[:, k:], left), best[:, k:])
-            best[:, :-k] = np.where(end[:, :-k] >= at[:-k] + k, np.minimum(best[:, :-k], right), best[:, :-k])
+    part = stored & np.isfinite(squared)
+    if part.any():
+        filled, vertex, since = _envelopes(squared, change, part)
+        # slots in order of line, run and place; each cell takes the last one of its run that begins before it
+        run = np.cumsum(change.ravel()).reshape(change.shape) * (n + 2.0)
+        slot_line, slot = np.nonzero(filled)
+        begin = run[slot_line, slot] + np.clip(since[slot_line, slot], -1, n)
+        line, cell = np.nonzero(stored)
+        found = np.searchsorted(begin, run[line, cell] + cell, side="right") - 1
+        own = found >= 0
+        own[own] = run[slot_line[found[own]], slot[found[own]]] == run[line[own], cell[own]]
+        line, cell, source = line[own], cell[own], vertex[slot_line, slot][found[own]]
+        best[line, cell] = np.minimum(best[line, cell], squared[line, source] + (cell - source) ** 2.0)
     return np.where(stored, best, np.nan)
 
 

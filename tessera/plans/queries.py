@@ -688,11 +688,14 @@ def resample_cubic(t: Tables) -> DataFrame:
 # --- distance and watershed ----------------------------------------------------
 
 
-_DISTANCE = f"""with vox as materialized ({fx.SOLID}), d as (select unnest(range(-5, 6)) as d), grid as (select a.z, b.y, c.x from (select unnest(range(0, (select max(z) + 1 from vox))) as z) a,
+# the nearest cell of another label in the own row bounds how far a cell has to look
+_DISTANCE = f"""with vox as materialized ({fx.SOLID}), grid as (select a.z, b.y, c.x from (select unnest(range(0, (select max(z) + 1 from vox))) as z) a,
 (select unnest(range(0, 16)) as y) b, (select unnest(range(0, 16)) as x) c),
 cells as materialized (select g.z, g.y, g.x, coalesce(seg_id, 0) as seg_id from grid g left join vox v on g.z = v.z and g.y = v.y and g.x = v.x),
-reach as materialized (select dz.d as dz, dy.d as dy, dx.d as dx, dz.d * dz.d + dy.d * dy.d + dx.d * dx.d as r from d dz, d dy, d dx where dz.d * dz.d + dy.d * dy.d + dx.d * dx.d between 1 and 30),
-moved as materialized (select v.z, v.y, v.x, v.seg_id, v.z + dz as cz, v.y + dy as cy, v.x + dx as cx, r from vox v, reach),
+bound as materialized (select v.z, v.y, v.x, v.seg_id, min((c.x - v.x) * (c.x - v.x)) as most from vox v join cells c on c.z = v.z and c.y = v.y where c.seg_id <> v.seg_id group by 1, 2, 3, 4),
+d as (select unnest(range(-a, a + 1)) as d from (select cast(ceil(sqrt(max(most))) as bigint) as a from bound) m),
+reach as materialized (select dz.d as dz, dy.d as dy, dx.d as dx, dz.d * dz.d + dy.d * dy.d + dx.d * dx.d as r from d dz, d dy, d dx where dz.d * dz.d + dy.d * dy.d + dx.d * dx.d > 0),
+moved as materialized (select v.z, v.y, v.x, v.seg_id, v.z + dz as cz, v.y + dy as cy, v.x + dx as cx, r from bound v join reach on r <= most),
 dist as materialized (select m.z, m.y, m.x, m.seg_id, cast(min(r) as double) as val from moved m join cells c on c.z = cz and c.y = cy and c.x = cx
 where c.seg_id <> m.seg_id group by 1, 2, 3, 4)"""
 

@@ -346,3 +346,24 @@ def test_flood_matches_a_priority_queue(spark, edge, task_saddles, heights):
     told = materialize(spark.createDataFrame(markers, "label bigint, cell bigint, marker bigint"))
     got = watershed.flood(field, size[1:], told, edge, task_saddles).collect()
     assert len(got) == len(want) and {(r.label, r.cell): r.region for r in got} == want
+
+
+def test_distance_along_lines_of_many_runs():
+    rng = np.random.default_rng(6)
+    for _ in range(100):
+        labels = np.repeat(rng.integers(0, 3, (rng.integers(1, 6), rng.integers(1, 20))), rng.integers(1, 5), axis=1)
+        squared = np.where(rng.random(labels.shape) < 0.4, np.inf, rng.integers(1, 60, labels.shape) ** rng.integers(1, 3)).astype(float)
+        got = distance.nearest_along(labels, squared)
+        at = np.arange(labels.shape[1])
+        for line, p in np.ndindex(labels.shape):
+            height = np.where(labels[line] == labels[line, p], squared[line], 0)
+            want = ((at - p) ** 2 + height).min() if labels[line, p] else np.nan
+            assert np.array_equal(got[line, p], want, equal_nan=True)
+
+
+def test_distance_pushes_each_cell_once():
+    """A line whose parabolas hide each other one after the other, far longer than a quadratic pass would bear."""
+    n = 20_000
+    squared = (np.arange(n, dtype=float)[::-1] * 3.0)[None, :]
+    got = distance.nearest_along(np.ones((1, n), int), squared)
+    assert got[0, -1] == 0 and (got <= squared).all()
