@@ -99,9 +99,9 @@ def tiff_to_array(spark: SparkSession, source: str, target: str, chunk=None) ->
     return _store(blocks, target, reader.shape, reader.chunk, reader.dtype.name)
 
 
-def array_to_precomputed(spark: SparkSession, source: str, target: str, resolution=(8, 8, 8), voxel_offset=(0, 0, 0)) -> dict:
+def array_to_precomputed(spark: SparkSession, source: str, target: str, resolution=(8, 8, 8), voxel_offset=(0, 0, 0), encoding: str = "raw") -> dict:
     meta = zarr2.read_meta(source)
     return write_precomputed(
         zarr2.read_blocks(spark, source), target, meta["shape"], meta["chunks"], np.dtype(meta["dtype"]).name,
-        tuple(resolution), tuple(voxel_offset), source,
+        tuple(resolution), tuple(voxel_offset), source, encoding=encoding,
     )

@@ -839,6 +839,24 @@ def precomputed_store(t: Tables) -> DataFrame:
     return blocks.to_voxels(precomputed.read_precomputed(t.spark, path))
 
 
+@query(fx.SEGMENTS)
+def precomputed_palette(t: Tables) -> DataFrame:
+    cells, shape_ = _segment_blocks(t, (20, 12, 9))
+    path = _folder(t)
+    precomputed.write_precomputed(cells, path, shape_, [20, 12, 9], "uint32", encoding=precomputed.PALETTE)
+    return blocks.to_voxels(precomputed.read_precomputed(t.spark, path))
+
+
+@query(f"select z, y, x, cast(255 as double) as val from ({fx.SEGMENTS}) v where seg_id = 1")
+def bigtiff_mask_store(t: Tables) -> DataFrame:
+    voxels = materialize(t(fx.SEGMENTS))
+    shape_ = list(morphology.extent(voxels))
+    path = f"{_folder(t)}.tif"
+    arrays.write_mask_tiff(blocks.to_blocks(voxels.where("seg_id = 1"), shape_, [8, 16, 16], "uint8"), path, shape_, big=True)
+    arrays.register(t.spark)
+    return blocks.to_voxels(t.spark.read.format("tiffstack").option("chunk", "4,8,16").load(path), "val")
+
+
 @query(f"""with lk as ({fx.LOOKUP}), ok as ({fx.VALID_LABELS})
 select z, y, x, lk.label, coalesce(ok.label, 0) as filtered from ({fx.SEGMENTS}) v join lk on v.seg_id = lk.seg_id left join ok on lk.label = ok.label""")
 def relabel_filter_array(t: Tables) -> DataFrame:

@@ -1,13 +1,14 @@
-"""Single-file arrays: ``.npy`` and uncompressed TIFF stacks.
+"""Single-file arrays: ``.npy`` and TIFF stacks (classic and big; plain, deflate or LZW strips).
 
 Both are read by byte range: the driver reads the header only and each task reads
-the cells of its own blocks. Sinks lay the file out first and let every task write
+the cells of its own blocks, or the strips that hold them. Sinks lay the file out first and let every task write
 its cells in place. The file must be on storage all executors share.
 """
 
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,14 +20,16 @@ from .blocks import BLOCK_SCHEMA, as_array, auto_chunk
 
 # TIFF tag numbers and field sizes.
 TAG = {"width": 256, "height": 257, "bits": 258, "compression": 259, "photometric": 262, "offsets": 273,
-       "samples": 277, "rows_per_strip": 278, "counts": 279, "sample_format": 339}
+       "samples": 277, "rows_per_strip": 278, "counts": 279, "predictor": 317, "tile": 322, "sample_format": 339}
 FIELD = {1: "B", 2: "c", 3: "H", 4: "I", 5: "II", 16: "Q"}
+PLAIN, LZW, DEFLATE = (1,), (5,), (8, 32946)
+LZW_CLEAR, LZW_END, LZW_BITS = 256, 257, (9, 12)
 TIFF_LIMIT = 1 << 32
 
 
 class Slab(InputPartition):
-    def __init__(self, idx, starts, stops):
-        self.idx, self.starts, self.stops = idx, starts, stops
+    def __init__(self, idx, starts, stops, pages=None):
+        self.idx, self.starts, self.stops, self.pages = idx, starts, stops, pages
 
 
 class _ArrayReader(DataSourceReader):
@@ -46,17 +49,17 @@ class _ArrayReader(DataSourceReader):
             for idx in np.ndindex(*grid)
         ]
 
-    def cells(self, slices):
+    def cells(self, slices, pages):
         raise NotImplementedError
 
     def read(self, slab: Slab) -> Iterator[tuple]:
-        part = np.ascontiguousarray(self.cells(tuple(slice(a, b) for a, b in zip(slab.starts, slab.stops))))
+        part = np.ascontiguousarray(self.cells(tuple(slice(a, b) for a, b in zip(slab.starts, slab.stops)), slab.pages))
         part = part.astype(part.dtype.newbyteorder("="), copy=False)
         yield slab.idx, slab.starts, list(part.shape), part.dtype.name, part.tobytes()
 
 
 class NpyReader(_ArrayReader):
-    def cells(self, slices):
+    def cells(self, slices, pages):
         return np.load(self.path, mmap_mode="r")[slices]
 
 
@@ -85,54 +88,124 @@ def tiff_pages(path: str) -> list[dict]:
         if mark not in (b"II", b"MM"):
             raise ValueError(f"{path} is not a TIFF file")
         end = "<" if mark == b"II" else ">"
-        version, at = struct.unpack(f"{end}HI", file.read(6))
-        if version != 42:
-            raise ValueError("only classic TIFF is supported")
+        (version,) = struct.unpack(f"{end}H", file.read(2))
+        # the kinds of: number of entries, number of values, offset
+        if version == 42:
+            many, size, place = "H", "I", "I"
+        elif version == 43 and struct.unpack(f"{end}HH", file.read(4)) == (8, 0):
+            many, size, place = "Q", "Q", "Q"
+        else:
+            raise ValueError(f"{path} is not a TIFF file")
+        one = lambda kind: struct.unpack(f"{end}{kind}", file.read(struct.calcsize(f"{end}{kind}")))[0]
+        head, room = struct.Struct(f"{end}HH{size}"), struct.calcsize(f"{end}{place}")
+        at = one(place)
         while at:
             file.seek(at)
-            (count,) = struct.unpack(f"{end}H", file.read(2))
-            entries, tags = [file.read(12) for _ in range(count)], {"byteorder": end}
-            (at,) = struct.unpack(f"{end}I", file.read(4))
+            entries, tags = [file.read(head.size + room) for _ in range(one(many))], {"byteorder": end}
+            at = one(place)
             for entry in entries:
-                tag, kind, n = struct.unpack(f"{end}HHI", entry[:8])
+                tag, kind, n = head.unpack_from(entry)
                 layout = f"{end}{n}{FIELD[kind]}" if kind in FIELD and kind not in (2, 5) else None
                 if layout is None:
                     continue
-                raw = entry[8:]
-                if struct.calcsize(layout) > 4:
-                    file.seek(struct.unpack(f"{end}I", raw)[0])
+                raw = entry[head.size :]
+                if struct.calcsize(layout) > room:
+                    file.seek(struct.unpack(f"{end}{place}", raw)[0])
                     raw = file.read(struct.calcsize(layout))
                 tags[tag] = struct.unpack(layout, raw[: struct.calcsize(layout)])
             pages.append(tags)
     return pages
 
 
+def unpack_lzw(data: bytes) -> bytes:
+    """Codes lie from the high bit down and widen one code before the table of their width is full."""
+    narrow, wide = LZW_BITS
+    single = [bytes([i]) for i in range(256)] + [b"", b""]
+    table, width, previous, out = list(single), narrow, b"", []
+    held = bits = 0
+    for byte in data:
+        held, bits = (held << 8 | byte) & 0xFFFFFF, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code = held >> bits & (1 << width) - 1
+        if code == LZW_END:
+            break
+        if code == LZW_CLEAR:
+            table, width, previous = list(single), narrow, b""
+            continue
+        if code > len(table) or code == len(table) and not previous:
+            raise ValueError("damaged LZW strip")
+        entry = table[code] if code < len(table) else previous + previous[:1]
+        if previous:
+            table.append(previous + entry[:1])
+        out.append(entry)
+        previous = entry
+        while width < wide and len(table) + 1 >= 1 << width:
+            width += 1
+    return b"".join(out)
+
+
+def _strip(content: bytes, page: dict, dtype: np.dtype, rows: int, nx: int) -> np.ndarray:
+    """The first ``rows`` rows of a strip."""
+    (packing,) = page.get(TAG["compression"], PLAIN)
+    content = zlib.decompress(content) if packing in DEFLATE else unpack_lzw(content) if packing in LZW else content
+    cells = np.frombuffer(content, dtype, rows * nx).reshape(rows, nx)
+    if page.get(TAG["predictor"], (1,))[0] == 2 and packing not in PLAIN:
+        native = dtype.newbyteorder("=")
+        cells = np.cumsum(cells.astype(native), axis=1, dtype=native)  # differences wrap around
+    return cells
+
+
 def _tiff_dtype(page: dict) -> np.dtype:
-    if page.get(TAG["compression"], (1,))[0] != 1 or page.get(TAG["samples"], (1,))[0] != 1:
-        raise ValueError("only uncompressed single-channel TIFF is supported")
-    kind = {1: "u", 2: "i", 3: "f"}[page.get(TAG["sample_format"], (1,))[0]]
+    packing, predictor = page.get(TAG["compression"], PLAIN)[0], page.get(TAG["predictor"], (1,))[0]
+    kind = {1: "u", 2: "i", 3: "f"}.get(page.get(TAG["sample_format"], (1,))[0])
+    if page.get(TAG["samples"], (1,))[0] != 1 or TAG["tile"] in page or kind is None or page[TAG["bits"]][0] % 8:
+        raise ValueError("only single-channel TIFF in strips of whole bytes is supported")
+    if packing not in PLAIN + LZW + DEFLATE or predictor > 2 or predictor == 2 and kind == "f":
+        raise ValueError(f"unsupported TIFF compression {packing} with predictor {predictor}")
     return np.dtype(f"{page['byteorder']}{kind}{page[TAG['bits']][0] // 8}")
 
 
 class TiffReader(_ArrayReader):
+    """A task gets the tags of its own pages only."""
+
     def __init__(self, path, pages, chunk):
         self.pages, self.dtype = pages, _tiff_dtype(pages[0])
         plane = [pages[0][TAG["height"]][0], pages[0][TAG["width"]][0]]
         shape = [len(pages), *plane]
         super().__init__(path, shape, chunk or auto_chunk(shape, self.dtype.itemsize, cubic=True))
 
-    def cells(self, slices):
+    def __getstate__(self):
+        return {**self.__dict__, "pages": None}
+
+    def partitions(self):
+        pages = self.pages or tiff_pages(self.path)
+        slabs = super().partitions()
+        for slab in slabs:
+            slab.pages = pages[slab.starts[0] : slab.stops[0]]
+        return slabs
+
+    def cells(self, slices, pages):
         ny, nx = self.shape[1:]
         zs, ys, xs = slices
         out = np.empty([s.stop - s.start for s in slices], self.dtype)
         with open(self.path, "rb") as file:
-            for z in range(zs.start, zs.stop):
-                page = self.pages[z]
-                rows = page.get(TAG["rows_per_strip"], (ny,))[0]
-                for y in range(ys.start, ys.stop):
-                    strip = page[TAG["offsets"]][y // rows]
-                    file.seek(strip + (y % rows * nx + xs.start) * self.dtype.itemsize)
-                    out[z - zs.start, y - ys.start] = np.fromfile(file, self.dtype, xs.stop - xs.start)
+            for page, plane in zip(pages, out, strict=True):
+                if _tiff_dtype(page) != self.dtype or [page[TAG["height"]][0], page[TAG["width"]][0]] != self.shape[1:]:
+                    raise ValueError("pages differ in size or type")
+                rows = min(ny, page.get(TAG["rows_per_strip"], (ny,))[0])
+                if page.get(TAG["compression"], PLAIN) == PLAIN:
+                    for y in range(ys.start, ys.stop):
+                        strip = page[TAG["offsets"]][y // rows]
+                        file.seek(strip + (y % rows * nx + xs.start) * self.dtype.itemsize)
+                        plane[y - ys.start] = np.fromfile(file, self.dtype, xs.stop - xs.start)
+                    continue
+                for k in range(ys.start // rows, -(-ys.stop // rows)):
+                    low, high = max(ys.start, k * rows), min(ys.stop, (k + 1) * rows)
+                    file.seek(page[TAG["offsets"]][k])
+                    strip = _strip(file.read(page[TAG["counts"]][k]), page, self.dtype, min(rows, ny - k * rows), nx)
+                    plane[low - ys.start : high - ys.start] = strip[low - k * rows : high - k * rows, xs]
         return out
 
 
@@ -178,26 +251,34 @@ def write_npy(blocks: DataFrame, path: str, shape: list[int], dtype: str) -> str
     return path
 
 
-def write_mask_tiff(blocks: DataFrame, path: str, shape: list[int]) -> str:
-    """8-bit TIFF stack of ``value * 255`` (modulo 256), one page per z plane."""
+def write_mask_tiff(blocks: DataFrame, path: str, shape: list[int], big: bool | None = None) -> str:
+    """8-bit TIFF stack of ``value * 255`` (modulo 256), one page per z plane.
+
+    A file beyond the reach of 32-bit offsets is a BigTIFF; ``big`` asks for one at any size.
+    """
     from ..operators.tasks import map_blocks
 
     nz, ny, nx = shape
     fields = 10
-    page_bytes = 2 + 12 * fields + 4
-    base = 8 + nz * page_bytes
-    if base + nz * ny * nx >= TIFF_LIMIT:
+    classic = 8 + nz * (2 + 12 * fields + 4)
+    big = classic + nz * ny * nx >= TIFF_LIMIT if big is None else big
+    head, page_bytes = (16, 8 + 20 * fields + 8) if big else (8, 2 + 12 * fields + 4)
+    base = head + nz * page_bytes
+    if not big and base + nz * ny * nx >= TIFF_LIMIT:
         raise ValueError("too large for a classic TIFF file")
     with open(path, "wb") as file:
-        file.write(struct.pack("<2sHI", b"II", 42, 8))
+        file.write(struct.pack("<2sHHHQ", b"II", 43, 8, 0, head) if big else struct.pack("<2sHI", b"II", 42, head))
         for z in range(nz):
             values = {"width": nx, "height": ny, "bits": 8, "compression": 1, "photometric": 1,
                       "offsets": base + z * ny * nx, "samples": 1, "rows_per_strip": ny, "counts": ny * nx, "sample_format": 1}
-            file.write(struct.pack("<H", fields))
+            file.write(struct.pack("<Q" if big else "<H", fields))
             for name, value in values.items():
                 short = name in ("bits", "compression", "photometric", "samples", "sample_format")
-                file.write(struct.pack("<HHIHxx" if short else "<HHII", TAG[name], 3 if short else 4, 1, value))
-            file.write(struct.pack("<I", 8 + (z + 1) * page_bytes if z + 1 < nz else 0))
+                if big:
+                    file.write(struct.pack("<HHQHxxxxxx" if short else "<HHQQ", TAG[name], 3 if short else 16, 1, value))
+                else:
+                    file.write(struct.pack("<HHIHxx" if short else "<HHII", TAG[name], 3 if short else 4, 1, value))
+            file.write(struct.pack("<Q" if big else "<I", head + (z + 1) * page_bytes if z + 1 < nz else 0))
         file.truncate(base + nz * ny * nx)
     scaled = map_blocks(blocks, lambda cells: (cells.astype(np.int64) * 255).astype(np.uint8))
     _write_in_place(scaled, path, base, shape, "uint8")

@@ -1,22 +1,21 @@
-"""Sink and source for the public "precomputed" multi-resolution layout (raw encoding, one scale)."""
+"""Sink and source for the public "precomputed" multi-resolution layout (raw or palette encoding, one scale)."""
 
 from __future__ import annotations
 
 import gzip
 import json
-import os
 import time
-import uuid
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import chunkfiles, palette
 from .blocks import BLOCK_SCHEMA, as_array
 
+RAW, PALETTE = "raw", "compressed_segmentation"
 RESULT = "idx array<bigint>, ok boolean, error string"
 
 
@@ -27,28 +26,37 @@ def layer(dtype: str) -> str:
 def write_precomputed(
     blocks: DataFrame, path: str, shape: list[int], chunk: list[int], dtype: str,
     resolution: tuple[int, ...] = (8, 8, 8), voxel_offset: tuple[int, ...] = (0, 0, 0), source: str = "", tolerant: bool = False,
+    encoding: str = RAW,
 ) -> dict:
     """Write z,y,x blocks as x,y,z chunk files plus ``info``; returns the folder and how many chunks were written or failed.
 
     Shape and chunk are given as z,y,x; resolution and offset as x,y,z. A chunk that
     cannot be written fails the job; with ``tolerant`` it is counted and does not stop the others.
+    ``encoding`` is ``raw`` or, for unsigned 32- and 64-bit cells, ``compressed_segmentation``. The folder may be on any
+    file system that Arrow can open.
     """
+    if encoding not in (RAW, PALETTE) or encoding == PALETTE and np.dtype(dtype) not in (np.uint32, np.uint64):
+        raise ValueError(f"no encoding {encoding!r} for {dtype}")
     key = "_".join(str(r) for r in resolution)
-    folder = Path(path) / key
-    folder.mkdir(parents=True, exist_ok=True)
     scale = {
         "key": key, "size": shape[::-1], "resolution": list(resolution), "voxel_offset": list(voxel_offset),
-        "chunk_sizes": [chunk[::-1]], "encoding": "raw",
+        "chunk_sizes": [chunk[::-1]], "encoding": encoding,
     }
+    if encoding == PALETTE:
+        scale["compressed_segmentation_block_size"] = list(palette.BLOCK)
     info = {
         "@type": "neuroglancer_multiscale_volume", "type": layer(dtype), "data_type": np.dtype(dtype).name,
         "num_channels": 1, "scales": [scale],
     }
-    (Path(path) / "info").write_text(json.dumps(info))
+    system, root = chunkfiles.open_folder(path)
+    chunkfiles.write_file(system, f"{root}/info", json.dumps(info).encode())
     step = {"method": "write_precomputed", "source": source, "date": time.strftime("%Y-%m-%d %H:%M %Z")}
-    (Path(path) / "provenance").write_text(json.dumps({"description": "", "owners": [], "processing": [step], "sources": []}))
+    provenance = {"description": "", "owners": [], "processing": [step], "sources": []}
+    chunkfiles.write_file(system, f"{root}/provenance", json.dumps(provenance).encode())
+    system.create_dir(f"{root}/{key}", recursive=True)
 
     def store(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        target, folder = chunkfiles.open_folder(path)
         for frame in frames:
             rows = []
             for row in frame.itertuples(index=False):
@@ -57,10 +65,9 @@ def write_precomputed(
                     cells = as_array(row).astype(np.dtype(dtype).newbyteorder("<"), copy=False)
                     first = [int(s) + o for s, o in zip(row.starts[::-1], voxel_offset)]
                     name = "_".join(f"{a}-{a + n}" for a, n in zip(first, cells.shape[::-1]))
-                    partial = folder / f".{uuid.uuid4().hex}"
                     # x runs fastest in the file, which is the C order of a z,y,x block
-                    partial.write_bytes(gzip.compress(cells.tobytes(), mtime=0))
-                    os.replace(partial, folder / f"{name}.gz")
+                    content = palette.encode(cells) if encoding == PALETTE else cells.tobytes()
+                    chunkfiles.write_file(target, f"{folder}/{key}/{name}.gz", gzip.compress(content, mtime=0))
                 except Exception as exc:
                     if not tolerant:
                         raise
@@ -69,14 +76,18 @@ def write_precomputed(
             yield pd.DataFrame(rows, columns=["idx", "ok", "error"])
 
     counts = blocks.mapInPandas(store, RESULT).agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("ok")).first()
-    return {"folder": str(folder), "written": counts["ok"], "failed": counts["n"] - counts["ok"]}
+    return {"folder": f"{str(path).rstrip('/')}/{key}", "written": counts["ok"], "failed": counts["n"] - counts["ok"]}
 
 
 def read_precomputed(spark: SparkSession, path: str) -> DataFrame:
     """The chunk files of the first scale as z,y,x blocks; ``starts`` leave out the voxel offset."""
-    info = json.loads((Path(path) / "info").read_text())
+    content = chunkfiles.read_file(path, "info")
+    if content is None:
+        raise FileNotFoundError(f"{path} has no info")
+    info = json.loads(content)
     scale, dtype = info["scales"][0], np.dtype(info["data_type"])
-    if scale["encoding"] != "raw":
+    packed, sides = scale["encoding"] == PALETTE, tuple(scale.get("compressed_segmentation_block_size", palette.BLOCK))
+    if scale["encoding"] not in (RAW, PALETTE):
         raise ValueError(f"unsupported encoding {scale['encoding']!r}")
     ranges = r"(\d+)-(\d+)_(\d+)-(\d+)_(\d+)-(\d+)\.gz$"
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(f"{path}/{scale['key']}").where(F.col("path").rlike(ranges))
@@ -88,7 +99,8 @@ def read_precomputed(spark: SparkSession, path: str) -> DataFrame:
                 low = [int(a) - o for a, o in zip(found[::2], scale["voxel_offset"])][::-1]
                 size = [int(b - a) for a, b in zip(found[::2], found[1::2])][::-1]
                 idx = [s // c for s, c in zip(low, scale["chunk_sizes"][0][::-1])]
-                cells = np.frombuffer(gzip.decompress(content), dtype.newbyteorder("<")).astype(dtype)
+                content = gzip.decompress(content)
+                cells = palette.decode(content, size, dtype, sides) if packed else np.frombuffer(content, dtype.newbyteorder("<")).astype(dtype)
                 yield pd.DataFrame({"idx": [idx], "starts": [low], "shape": [size], "dtype": [dtype.name], "data": [cells.tobytes()]})
 
     return files.select(bounds.alias("bounds"), "content").mapInPandas(load, BLOCK_SCHEMA)
