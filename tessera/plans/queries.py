@@ -15,6 +15,7 @@ from ..functions import grid, scalars
 from ..operators import changelog, convert, dictionary, distance, fuse, graph, morphology, proof, relabel, shape, tasks, watershed
 from ..session import configure, materialize, work_dir
 from ..sources import arrays, blocks, precomputed, text, zarr2
+from ..streaming import changelog as stream
 from . import fixtures as fx
 from . import flood_sql
 
@@ -906,6 +907,35 @@ def changelog_file(t: Tables) -> DataFrame:
     return text.read_changelog(t.spark, path)
 
 
+def _followed_log(t: Tables) -> tuple[str, int]:
+    """A graph that has followed the log through three files; the number of its last batch."""
+    path, folder = _folder(t), _folder(t)
+    edges, changes, vertices = _log(t)
+    vertices.write.parquet(f"{path}/vertices")
+    edges.write.parquet(f"{path}/edges")
+    last = changes.agg(F.max("line_no")).first()[0]
+    lines = changes.select("line_no", F.concat(F.col("op"), *[F.concat(F.lit("\t"), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in ("v1", "v2")]).alias("value"))
+    for k in range(3):
+        part = lines.where((F.col("line_no") * 3 > last * k) if k else F.lit(True)).where(F.col("line_no") * 3 <= last * (k + 1))
+        part.coalesce(1).sortWithinPartitions("line_no").select("value").write.mode("append").text(folder)
+    stream.follow_changes(t.spark, folder, path, f"{path}/checkpoint", files_per_batch=1, compact_every=2).awaitTermination()
+    return path, 2
+
+
+@query(CHECKS["changelog_state"])
+def changelog_stream(t: Tables) -> DataFrame:
+    return stream.edges_at(t.spark, *_followed_log(t))
+
+
+@query(f"""with recursive state as materialized (select src, dst from ({_LOG_FOLD}) m where mult > 0),
+links as materialized (select src as a, dst as b from state where src <> dst union select dst, src from state where src <> dst),
+cc(vid, root) using key (vid) as (select vid, vid from ({fx.LOG_VERTICES}) v
+union select l.b, min(cc.root) from cc join links l on l.a = cc.vid join recurring.cc as old on old.vid = l.b where cc.root < old.root group by l.b)
+select vid, root from cc""")
+def components_stream(t: Tables) -> DataFrame:
+    return stream.roots_at(t.spark, *_followed_log(t))
+
+
 @query(fx.MERGELIST)
 def mergelist_file(t: Tables) -> DataFrame:
     path = _folder(t)

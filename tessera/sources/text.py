@@ -24,10 +24,10 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return with_index(lines, LINE, "line_no").select("line_no", "value")
 
 
-def read_changelog(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated ``operation, id, id`` lines without a header; ids may be missing."""
+def parse_changelog(lines: DataFrame) -> DataFrame:
+    """``line_no, op, v1, v2`` of the lines ``line_no, value`` that are not empty."""
     part = F.split("value", "\t")
-    return numbered_lines(spark, path).where("length(value) > 0").select(
+    return lines.where("length(value) > 0").select(
         "line_no",
         F.get(part, 0).alias("op"),
         F.trim(F.get(part, 1)).try_cast("bigint").alias("v1"),
@@ -35,6 +35,11 @@ def read_changelog(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_changelog(spark: SparkSession, path: str) -> DataFrame:
+    """Tab-separated ``operation, id, id`` lines without a header; ids may be missing."""
+    return parse_changelog(numbered_lines(spark, path))
+
+
 def read_mergelist(spark: SparkSession, path: str) -> DataFrame:
     """``(sub_id, obj_id)`` of a merge list with four lines per object.
 

@@ -245,7 +245,7 @@ def test_followed_log(spark, tmp_path):
     folder.mkdir()
     spark.createDataFrame([(i, i) for i in range(5)], "vid bigint, seg_id bigint").write.parquet(f"{graph}/vertices")
     spark.createDataFrame([(0, 1, 1)], "src bigint, dst bigint, mult bigint").write.parquet(f"{graph}/edges")
-    for number, lines in enumerate(["0\t+\t1\t2\n1\t-\t0\t1\n", "2\t+\t3\t4\n3\t-\t1\t2\n"]):
+    for number, lines in enumerate(["+\t1\t2\n-\t0\t1\n", "+\t3\t4\n-\t1\t2\n"]):
         (folder / f"{number}.tsv").write_text(lines)
         query = follow_changes(spark, str(folder), graph, str(tmp_path / "cp"))
         query.awaitTermination(120)
