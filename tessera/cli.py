@@ -29,6 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     convert.add_argument("--high", type=int)
     convert.add_argument("--factors", type=numbers, default=(2, 2, 2))
     convert.add_argument("--method", default="nearest")
+    convert.add_argument("--encoding", choices=["raw", "compressed_segmentation"], default="raw")
     convert.add_argument("--resolution", type=numbers, default=(8, 8, 8))
     convert.add_argument("--voxel-offset", type=numbers, default=(0, 0, 0))
 
@@ -74,7 +75,7 @@ def _convert(spark, args):
     if args.kind == "resample":
         return convert.resample_array(spark, args.input, args.output, args.factors, args.method, args.chunk_size)
     if args.kind == "precomputed":
-        return convert.array_to_precomputed(spark, args.input, args.output, args.resolution, args.voxel_offset)
+        return convert.array_to_precomputed(spark, args.input, args.output, args.resolution, args.voxel_offset, args.encoding)
     run = convert.npy_to_array if args.kind == "npy" else convert.tiff_to_array
     return run(spark, args.input, args.output, args.chunk_size)
 

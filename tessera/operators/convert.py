@@ -41,8 +41,8 @@ def normalize_array(
 
 def resample_array(spark: SparkSession, source: str, target: str, factors, method: str = "nearest", chunks=None) -> dict:
     meta = zarr2.read_meta(source)
-    shape = [max(1, int(n // f)) for n, f in zip(meta["shape"], factors)]
-    chunks = list(chunks or [max(1, min(int(c // f), 256)) for c, f in zip(meta["chunks"], factors)])
+    shape = [max(1, int(n / f)) for n, f in zip(meta["shape"], factors)]
+    chunks = list(chunks or [max(1, min(int(c / f), 256)) for c, f in zip(meta["chunks"], factors)])
     dtype = np.dtype(meta["dtype"]).name
     cells = fuse.resample(to_voxels(zarr2.read_blocks(spark, source), "val"), meta["shape"], tuple(factors), method)
     if np.dtype(dtype).kind in "iu":

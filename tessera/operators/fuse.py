@@ -29,7 +29,7 @@ def merge_nuclei(cells: DataFrame, nuclei: DataFrame, factor: int = 2, cell_shap
 
 
 def _sizes(shape, factors):
-    return [max(1, int(n // f)) for n, f in zip(shape, factors)]
+    return [max(1, int(n / f)) for n, f in zip(shape, factors)]
 
 
 def _scale(n: int, m: int) -> float:
@@ -37,13 +37,13 @@ def _scale(n: int, m: int) -> float:
     return (n - 1) / (m - 1) if m > 1 else 1.0
 
 
-def resample(voxels: DataFrame, shape: tuple[int, int, int], factors: tuple[int, int, int], method: str = "nearest", value: str = "val") -> DataFrame:
+def resample(voxels: DataFrame, shape: tuple[int, int, int], factors: tuple[float, float, float], method: str = "nearest", value: str = "val") -> DataFrame:
     """Resample to ``floor(shape / factors)`` cells with aligned end points; absent cells are 0.
 
-    Any method name other than linear or cubic means nearest.
+    A factor below 1 gives more cells than there were. Any method name other than linear or cubic means nearest.
     """
-    if any(f < 1 for f in factors):
-        raise ValueError("factors must be at least 1")
+    if any(f <= 0 for f in factors):
+        raise ValueError("factors must be positive")
     order = ORDERS.get(method, 0)
     sizes = _sizes(shape, factors)
     if order == 0:
@@ -52,23 +52,30 @@ def resample(voxels: DataFrame, shape: tuple[int, int, int], factors: tuple[int,
         return _linear(voxels, shape, sizes, value)
     out = voxels.select(*AXES, F.col(value).cast("double").alias("val"))
     for a, n, m in zip(AXES, shape, sizes):
-        out = line_pass(out, a, lambda val, m=m: _nan_zero(cubic_lines(val, m)), n, {"val": 0.0})
+        out = line_pass(out, a, lambda val, m=m: _nan_zero(cubic_lines(val, m), val), n, {"val": 0.0})
     return out.withColumnRenamed("val", value)
 
 
-def _nan_zero(lines: np.ndarray) -> np.ndarray:
-    return np.where(np.abs(lines) > 1e-12, lines, np.nan)
+def _nan_zero(lines: np.ndarray, source: np.ndarray) -> np.ndarray:
+    """Cells that are 0 but for rounding, by the largest value of their line, are not stored."""
+    return np.where(np.abs(lines) > 1e-12 * np.abs(source).max(axis=1, keepdims=True), lines, np.nan)
 
 
 def _nearest(voxels: DataFrame, shape, sizes) -> DataFrame:
-    """Keep the cells some output cell rounds to; a cell serves at most one output cell per axis."""
+    """Keep the cells some output cell rounds to; where cells get fewer, each serves at most one output cell per axis."""
     out, test, moved = voxels, F.lit(True), {}
     for a, n, m in zip(AXES, shape, sizes):
-        s = F.lit(_scale(n, m))
-        i = F.ceil((F.col(a) - 0.5) / s)
-        test = test & (i >= 0) & (i < m) & (F.floor(i * s + 0.5) == F.col(a))
+        if m > n:
+            # the exact bounds are tested below
+            low, high = (F.ceil((F.col(a) + h) / F.lit(_scale(n, m))) for h in (-0.5, 0.5)) if n > 1 else (F.lit(0), F.lit(m - 1))
+            served = F.sequence(F.greatest(low - 1, F.lit(0)).cast("bigint"), F.least(high + 1, F.lit(m - 1)).cast("bigint"))
+            out = out.withColumn(f"_{a}", F.explode(served))
+            i = F.col(f"_{a}")
+        else:
+            i = F.ceil((F.col(a) - 0.5) / F.lit(_scale(n, m)))
+        test = test & (i >= 0) & (i < m) & (F.floor(i * F.lit(_scale(n, m)) + 0.5) == F.col(a))
         moved[a] = i.cast("bigint")
-    return out.where(test).withColumns(moved)
+    return out.where(test).withColumns(moved).select(*voxels.columns)
 
 
 def _linear(voxels: DataFrame, shape, sizes, value: str) -> DataFrame:
@@ -78,6 +85,8 @@ def _linear(voxels: DataFrame, shape, sizes, value: str) -> DataFrame:
     for a, n, m in zip(AXES, shape, sizes):
         s = F.lit(_scale(n, m))
         low, high = F.greatest(F.ceil((F.col(a) - 1) / s), F.lit(0)), F.least(F.floor((F.col(a) + 1) / s), F.lit(m - 1))
+        if n == 1:
+            low, high = F.lit(0), F.lit(m - 1)
         spread = spread.where(low <= high).withColumn(f"_{a}", F.explode(F.sequence(low, high)))
         weight = weight * (1 - F.abs(F.col(f"_{a}") * s - F.col(a)))
     shares = spread.withColumn("_w", weight).where("_w > 0")

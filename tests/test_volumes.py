@@ -367,3 +367,27 @@ def test_distance_pushes_each_cell_once():
     squared = (np.arange(n, dtype=float)[::-1] * 3.0)[None, :]
     got = distance.nearest_along(np.ones((1, n), int), squared)
     assert got[0, -1] == 0 and (got <= squared).all()
+
+
+@pytest.mark.parametrize("shape", [(4, 5, 3), (1, 4, 2)])
+def test_upsampling(spark, shape):
+    v = np.random.default_rng(2).integers(0, 4, shape)
+    factors = (0.5, 0.4, 2)
+    sizes = [max(1, int(n / f)) for n, f in zip(shape, factors)]
+    at = [np.arange(m) * ((n - 1) / (m - 1) if m > 1 else 1.0) for n, m in zip(shape, sizes)]
+    nearest = v[np.ix_(*[np.floor(a + 0.5).astype(int) for a in at])]
+    got = np.zeros(sizes, int)
+    for r in fuse.resample(frame(spark, v), shape, factors, "nearest").collect():
+        got[r.z, r.y, r.x] += r.seg_id
+    assert (got == nearest).all()
+    linear = v.astype(float)
+    for axis, a in enumerate(at):
+        low = np.floor(a).astype(int)
+        high, part = np.minimum(low + 1, shape[axis] - 1), (a - low).reshape([-1 if i == axis else 1 for i in range(3)])
+        linear = linear.take(low, axis) * (1 - part) + linear.take(high, axis) * part
+    got = np.zeros(sizes)
+    for r in fuse.resample(frame(spark, v), shape, factors, "linear", "seg_id").collect():
+        got[r.z, r.y, r.x] = r.seg_id
+    assert np.abs(got - linear).max() < 1e-9
+    with pytest.raises(ValueError):
+        fuse.resample(frame(spark, v), shape, (0, 1, 1))
