@@ -64,7 +64,7 @@ def test_score_equals_a_plain_loop_over_places(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
     kept = {}
 
-    def fitted(docs, vocabulary, n_ids, tokenizer):
+    def fitted(docs, vocabulary, tokenizer):
         w = attention.start_weights(vocabulary.bias)
         kept["w"] = {k: x + np.float32(0.2) * np.random.default_rng(1).standard_normal(x.shape).astype(np.float32) if k != "member_bias" else x for k, x in w.items()}
         return kept["w"]

@@ -237,9 +237,8 @@ def test_every_text_trains(spark, monkeypatch):
     lines = [f"{chr(97 + i % 26)}{chr(97 + i // 26)} x{i}" for i in range(200)] + ["same"] * 100
     ids, lengths_ = encoder().encode(texts(pa.array(lines)))
     v = attention.Vocabulary.of(np.bincount(ids, minlength=attention.IDS))
-    monkeypatch.setattr(attention, "SHARD_IDS", 200_000_000, raising=False)
     monkeypatch.setattr(attention, "_SUMMED_AT_ONCE", 2, raising=False)
-    start, w = attention.start_weights(v.bias), attention.fit(spark.createDataFrame([(x,) for x in lines], "text string").repartition(3), v, 10**9)
+    start, w = attention.start_weights(v.bias), attention.fit(spark.createDataFrame([(x,) for x in lines], "text string").repartition(3), v)
     read = np.setdiff1d(ids, ids[np.cumsum(lengths_) - 1])  # the last id of a text may be input only to its end
     assert len(read) > 20 and np.abs(w["embed"] - start["embed"])[v.classes[read]].max(axis=1).min() > 1e-3
 
