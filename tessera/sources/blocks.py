@@ -18,6 +18,11 @@ from ..operators.stencil import AXES
 
 BLOCK_SCHEMA = "idx array<bigint>, starts array<bigint>, shape array<bigint>, dtype string, data binary"
 TARGET_BYTES = 64 * 1024 * 1024  # size of an automatic chunk
+# A partition of a scan reads this many bytes of decoded chunks, and at most this many chunks; grids of few chunks are
+# dealt one by one, and no scan has more than this many partitions.
+PARTITION_BYTES, PARTITION_CHUNKS = 128 << 20, 1024
+LEAST_PARTITIONS, MOST_PARTITIONS = 64, 100_000
+VOXEL_ROWS = 1 << 16  # cells that leave a block together
 
 
 def auto_chunk(shape: list[int], itemsize: int, cubic: bool = False) -> list[int]:
@@ -31,6 +36,12 @@ def auto_chunk(shape: list[int], itemsize: int, cubic: bool = False) -> list[int
     return chunk
 
 
+def chunks_together(total: int, chunk_bytes: int) -> int:
+    """How many chunks of a grid of ``total`` one partition of a scan reads."""
+    most = min(PARTITION_BYTES // max(1, chunk_bytes), PARTITION_CHUNKS)
+    return max(1, min(most, total // LEAST_PARTITIONS), -(-total // MOST_PARTITIONS))
+
+
 def fixed_chunk(shape: list[int]) -> list[int]:
     """64 per axis for volumes, else up to 512."""
     return [64] * 3 if len(shape) == 3 else [min(512, n) for n in shape]
@@ -47,17 +58,24 @@ def to_voxels(blocks: DataFrame, value: str = "seg_id") -> DataFrame:
     """
     kind, cast = ("bigint", np.int64) if value in ("seg_id", "label") else ("double", np.float64)
 
-    def explode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                cells = as_array(row)
-                where = np.nonzero(cells)
-                columns = {a: w + int(s) for a, w, s in zip(AXES, where, row.starts)}
-                yield pd.DataFrame({**columns, value: cells[where].astype(cast)})
+    names = [*AXES, value]
 
-    return blocks.select(*[f.split()[0] for f in BLOCK_SCHEMA.split(", ")]).mapInPandas(
-        explode, f"z bigint, y bigint, x bigint, {value} {kind}"
-    )
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for row in zip(*batch.columns):
+                starts, shape, dtype, data = (v.as_py() for v in row)
+                cells = np.frombuffer(data, dtype=dtype).reshape(shape)
+                where = np.nonzero(cells)
+                held.append([*[w + s for w, s in zip(where, starts)], cells[where].astype(cast)])
+                size += len(where[0])
+                if size >= VOXEL_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=names)
+                    held, size = [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=names)
+
+    return blocks.select("starts", "shape", "dtype", "data").mapInArrow(explode, f"z bigint, y bigint, x bigint, {value} {kind}")
 
 
 def to_blocks(voxels: DataFrame, shape: list[int], chunk: list[int], dtype: str, value: str = "seg_id") -> DataFrame:

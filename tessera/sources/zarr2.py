@@ -23,12 +23,9 @@ from pyspark.sql.types import StructType
 
 from ..functions.scalars import layer_type
 from . import chunkfiles
-from .blocks import BLOCK_SCHEMA, as_array
+from .blocks import BLOCK_SCHEMA, as_array, chunks_together
 from .codecs import codec
 
-# Bytes of decoded chunks that one partition reads, and the most partitions of a scan.
-PARTITION_BYTES = 128 << 20
-MOST_PARTITIONS = 100_000
 CATALOG_SCHEMA = "path string, shape array<bigint>, dtype string, chunks array<bigint>"
 
 
@@ -119,7 +116,7 @@ class ZarrReader(DataSourceReader):
         first = [low // c for (low, _), c in zip(self.box, chunks)]
         counts = [max(0, -(-high // c) - f) for (_, high), c, f in zip(self.box, chunks, first)]
         total = math.prod(counts)
-        run = max(1, PARTITION_BYTES // max(1, math.prod(chunks) * np.dtype(self.meta["dtype"]).itemsize), -(-total // MOST_PARTITIONS))
+        run = chunks_together(total, math.prod(chunks) * np.dtype(self.meta["dtype"]).itemsize)
         return [Chunks(first, counts, k, min(total, k + run)) for k in range(0, total, run)] or [Chunks(first, counts, 0, 0)]
 
     def read(self, partition: Chunks) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,11 @@
 """What grows with a volume: rows shuffled, partitions of a scan, cells of a group."""
 
 
+import numpy as np
+import pytest
+
 from tessera.operators import fuse
+from tessera.sources import arrays, blocks
 
 
 def dense(spark, n, plane=(4, 4)):
@@ -36,3 +40,27 @@ def test_strong_downsampling_reads_only_cells_it_needs(spark):
     values = {(r.z, r.y, r.x): r.seg_id for r in volume.collect()}
     expected = [(z, y, x, float(values[z * 150, y, x])) for z in range(3) for y in range(2) for x in range(2)]
     assert [tuple(r) for r in out.collect()] == expected
+
+
+def test_scans_have_runs_of_chunks(spark, tmp_path):
+    path = str(tmp_path / "a.npy")
+    np.save(path, np.arange(1, 40_001, dtype=np.uint32).reshape(10_000, 2, 2))
+    arrays.register(spark)
+    found = spark.read.format("npy").option("chunk", "1,2,1").load(path)
+    assert found.rdd.getNumPartitions() <= 2 * blocks.LEAST_PARTITIONS
+    cells = blocks.to_voxels(found)
+    assert cells.where("seg_id <> z * 4 + y * 2 + x + 1").isEmpty() and cells.count() == 40_000
+    # large chunks, and grids of few, are dealt one by one
+    assert blocks.chunks_together(10**5, 64 << 20) == 2 and blocks.chunks_together(100, 8) == 1 and blocks.chunks_together(10**6, 2048) == 1024
+
+
+@pytest.mark.parametrize("big", [True, False])
+def test_page_headers_written_by_tasks(spark, tmp_path, big):
+    path, n = str(tmp_path / "a.tif"), arrays.PAGES_TOGETHER + 5
+    volume = spark.createDataFrame([(0, 0, 0, 1), (arrays.PAGES_TOGETHER, 1, 2, 1), (n - 1, 1, 1, 1)], "z long, y long, x long, seg_id long")
+    arrays.write_mask_tiff(blocks.to_blocks(volume, [n, 2, 3], [64, 2, 3], "uint8"), path, [n, 2, 3], big=big)
+    places = arrays.tiff_places(path)
+    assert len(places) == n and len(set(np.diff(places).tolist())) == 1
+    arrays.register(spark)
+    read = blocks.to_voxels(spark.read.format("tiffstack").option("chunk", "7,1,2").load(path), "val").orderBy("z")
+    assert [tuple(r) for r in read.collect()] == [(0, 0, 0, 255.0), (arrays.PAGES_TOGETHER, 1, 2, 255.0), (n - 1, 1, 1, 255.0)]
