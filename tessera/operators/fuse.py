@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .stencil import AXES, EDGE, line_pass
+from .stencil import AXES, EDGE, PIECE, cut_pass, line_pass
 
 ORDERS = {"nearest": 0, "linear": 1, "cubic": 3}
 # Inverse of the cubic B-spline sampling filter: sqrt(3) * POLE^|k|, below 1e-20 past TAPS.
@@ -38,7 +40,7 @@ def _scale(n: int, m: int) -> float:
     return (n - 1) / (m - 1) if m > 1 else 1.0
 
 
-def resample(voxels: DataFrame, shape: tuple[int, int, int], factors: tuple[float, float, float], method: str = "nearest", value: str = "val") -> DataFrame:
+def resample(voxels: DataFrame, shape: tuple[int, int, int], factors: tuple[float, float, float], method: str = "nearest", value: str = "val", piece: int = PIECE) -> DataFrame:
     """Resample to ``floor(shape / factors)`` cells with aligned end points; absent cells are 0.
 
     A factor below 1 gives more cells than there were. Any method name other than linear or cubic means nearest.
@@ -53,10 +55,32 @@ def resample(voxels: DataFrame, shape: tuple[int, int, int], factors: tuple[floa
         return _linear(voxels, shape, sizes, value)
     out = voxels.select(*AXES, F.col(value).cast("double").alias("val"))
     for a, n, m in zip(AXES, shape, sizes):
-        out = line_pass(out, a, lambda val, m=m: _nan_zero(cubic_lines(val, m), val), n, {"val": 0.0})
+        if max(n, m) > 4 * piece:
+            out = _cut_cubic(out, a, n, m, piece)
+        else:
+            out = line_pass(out, a, lambda val, m=m: _nan_zero(cubic_lines(val, m), val), n, {"val": 0.0})
     return out.withColumnRenamed("val", value)
 
 
+def _cut_cubic(cells: DataFrame, axis: str, n: int, m: int, piece: int) -> DataFrame:
+    """``cubic_lines`` on pieces of the lines, each with the cells that its coefficients read."""
+    s, halo = _scale(n, m), TAPS + 4
+    outs = max(1, min(piece, int(piece / s))) if s else piece
+
+    def window(k: int) -> tuple[int, int]:
+        first, last = k * outs, min(m, (k + 1) * outs) - 1
+        return max(0, math.floor(first * s) - halo), min(n, math.floor(last * s) + halo + 1)
+
+    def kernel(k: int, val: np.ndarray) -> tuple[int, np.ndarray]:
+        begin, end = k * outs, min(m, (k + 1) * outs)
+        return begin, _nan_zero(cubic_lines(val, m, n, np.arange(begin, end), window(k)[0]), val)
+
+    at, most = F.col(axis), -(-m // outs) - 1
+    # a cell is sent a piece too far rather than not at all, and left out there
+    low, high = (F.greatest(F.floor((at - halo - 1) / F.lit(s * outs)) - 1, F.lit(0)), F.least(F.floor((at + halo + 1) / F.lit(s * outs)), F.lit(most))) if s else (F.lit(0), F.lit(most))
+    return cut_pass(cells.where(at.between(0, n - 1)).where(low <= high), axis, kernel, (low, high), window, {"val": 0.0})
+
+
 def _nan_zero(lines: np.ndarray, source: np.ndarray) -> np.ndarray:
     """Cells that are 0 but for rounding, by the largest value of their line, are not stored."""
     return np.where(np.abs(lines) > 1e-12 * np.abs(source).max(axis=1, keepdims=True), lines, np.nan)
@@ -130,15 +154,20 @@ def _cubic(d: np.ndarray) -> np.ndarray:
     return np.where(d < 1, (4 - 6 * d * d + 3 * d**3) / 6, np.where(d < 2, (2 - d) ** 3 / 6, 0.0))
 
 
-def cubic_lines(lines: np.ndarray, m: int) -> np.ndarray:
-    """Resample each row to ``m`` cells by cubic B-spline interpolation with mirrored ends."""
-    n = lines.shape[1]
+def cubic_lines(lines: np.ndarray, m: int, n: int | None = None, outs: np.ndarray | None = None, first: int = 0) -> np.ndarray:
+    """Resample each row to ``m`` cells by cubic B-spline interpolation with mirrored ends.
+
+    Of a line of ``n`` cells, ``lines`` may be a part that begins at ``first`` and holds what the output cells ``outs`` read.
+    """
+    n = n or lines.shape[1]
+    outs = np.arange(m) if outs is None else outs
     if n == 1:
-        return np.repeat(lines, m, axis=1)
+        return np.repeat(lines, len(outs), axis=1)
+    # mirrored at ends of the line; what lies beyond the part is not read
     padded = np.pad(lines, ((0, 0), (TAPS + 1, TAPS + 2)), mode="reflect")
-    width = n + 3  # coefficients for the positions -1 .. n + 1
+    width = lines.shape[1] + 3  # coefficients for the positions -1 .. n + 1 of the part
     shares = ((k, 3**0.5 * POLE ** abs(k)) for k in range(-TAPS, TAPS + 1))
     coefficients = sum(w * padded[:, TAPS + k : TAPS + k + width] for k, w in shares)
-    position = np.arange(m) * _scale(n, m)
+    position = outs * _scale(n, m)
     base = np.floor(position).astype(int)
-    return sum(_cubic(position - base - t) * coefficients[:, base + t + 1] for t in (-1, 0, 1, 2))
+    return sum(_cubic(position - base - t) * coefficients[:, base - first + t + 1] for t in (-1, 0, 1, 2))

@@ -45,9 +45,13 @@ def read_file(path: str, name: str) -> bytes | None:
 def write_file(system: fs.FileSystem, target: str, data: bytes) -> None:
     """Whole or not at all."""
     parent, _, name = target.rpartition("/")
-    system.create_dir(parent, recursive=True)
     partial = f"{parent}/.{uuid.uuid4().hex}"
-    with system.open_output_stream(partial) as f:
+    try:
+        stream = system.open_output_stream(partial)
+    except FileNotFoundError:
+        system.create_dir(parent, recursive=True)
+        stream = system.open_output_stream(partial)
+    with stream as f:
         f.write(data)
     system.move(partial, target)
 

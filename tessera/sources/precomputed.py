@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import gzip
 import json
+import math
 import time
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chunkfiles, palette
-from .blocks import BLOCK_SCHEMA, as_array
+from .blocks import BLOCK_SCHEMA, as_array, chunks_together
 
 RAW, PALETTE = "raw", "compressed_segmentation"
 RESULT = "idx array<bigint>, ok boolean, error string"
@@ -80,7 +82,10 @@ def write_precomputed(
 
 
 def read_precomputed(spark: SparkSession, path: str) -> DataFrame:
-    """The chunk files of the first scale as z,y,x blocks; ``starts`` leave out the voxel offset."""
+    """The stored chunks of the first scale as z,y,x blocks; ``starts`` leave out the voxel offset.
+
+    The chunk grid is dealt out, so no folder is listed; chunks without a file give no row.
+    """
     content = chunkfiles.read_file(path, "info")
     if content is None:
         raise FileNotFoundError(f"{path} has no info")
@@ -89,18 +94,26 @@ def read_precomputed(spark: SparkSession, path: str) -> DataFrame:
     packed, sides = scale["encoding"] == PALETTE, tuple(scale.get("compressed_segmentation_block_size", palette.BLOCK))
     if scale["encoding"] not in (RAW, PALETTE):
         raise ValueError(f"unsupported encoding {scale['encoding']!r}")
-    ranges = r"(\d+)-(\d+)_(\d+)-(\d+)_(\d+)-(\d+)\.gz$"
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(f"{path}/{scale['key']}").where(F.col("path").rlike(ranges))
-    bounds = F.array(*[F.regexp_extract("path", ranges, i + 1).cast("bigint") for i in range(6)])
-
-    def load(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for found, content in zip(frame["bounds"], frame["content"]):
-                low = [int(a) - o for a, o in zip(found[::2], scale["voxel_offset"])][::-1]
-                size = [int(b - a) for a, b in zip(found[::2], found[1::2])][::-1]
-                idx = [s // c for s, c in zip(low, scale["chunk_sizes"][0][::-1])]
-                content = gzip.decompress(content)
-                cells = palette.decode(content, size, dtype, sides) if packed else np.frombuffer(content, dtype.newbyteorder("<")).astype(dtype)
-                yield pd.DataFrame({"idx": [idx], "starts": [low], "shape": [size], "dtype": [dtype.name], "data": [cells.tobytes()]})
-
-    return files.select(bounds.alias("bounds"), "content").mapInPandas(load, BLOCK_SCHEMA)
+    shape, chunk, offset, key = scale["size"][::-1], scale["chunk_sizes"][0][::-1], scale["voxel_offset"][::-1], scale["key"]
+    grid = [-(-n // c) for n, c in zip(shape, chunk)]
+    total, whole = math.prod(grid), pa.list_(pa.int64())
+    kinds = [whole, whole, whole, pa.string(), pa.binary()]
+
+    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, folder = chunkfiles.open_folder(path)
+        for k in (k for batch in batches for k in batch.column(0).to_pylist()):
+            idx = [int(i) for i in np.unravel_index(k, grid)]
+            low = [i * c for i, c in zip(idx, chunk)]
+            size = [min(c, n - s) for c, n, s in zip(chunk, shape, low)]
+            name = "_".join(f"{s + o}-{s + o + n}" for s, o, n in zip(low[::-1], offset[::-1], size[::-1]))
+            try:
+                with system.open_input_file(f"{folder}/{key}/{name}.gz") as f:
+                    content = gzip.decompress(f.read())
+            except FileNotFoundError:
+                continue
+            cells = palette.decode(content, size, dtype, sides) if packed else np.frombuffer(content, dtype.newbyteorder("<")).astype(dtype)
+            row = (idx, low, size, dtype.name, cells.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names=[f.split()[0] for f in BLOCK_SCHEMA.split(", ")])
+
+    parts = -(-total // chunks_together(total, math.prod(chunk) * dtype.itemsize))
+    return spark.range(0, total, 1, max(1, parts)).mapInArrow(load, BLOCK_SCHEMA)

@@ -4,7 +4,7 @@
 import numpy as np
 import pytest
 
-from tessera.operators import fuse
+from tessera.operators import distance, fuse, stencil
 from tessera.sources import arrays, blocks
 
 
@@ -64,3 +64,28 @@ def test_page_headers_written_by_tasks(spark, tmp_path, big):
     arrays.register(spark)
     read = blocks.to_voxels(spark.read.format("tiffstack").option("chunk", "7,1,2").load(path), "val").orderBy("z")
     assert [tuple(r) for r in read.collect()] == [(0, 0, 0, 255.0), (arrays.PAGES_TOGETHER, 1, 2, 255.0), (n - 1, 1, 1, 255.0)]
+
+
+def test_distance_along_cut_lines(spark):
+    rng = np.random.default_rng(5)
+    # long runs, some of them beyond the halo, and one line of a single label
+    ids = np.repeat(rng.integers(0, 3, (30, 3, 2)), 9, axis=0)
+    ids[:, 0, 0], ids[100:260] = 1, 2
+    volume = spark.createDataFrame([(int(z), int(y), int(x), int(ids[z, y, x])) for z, y, x in zip(*np.nonzero(ids))], "z long, y long, x long, seg_id long")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    whole = rows(distance.squared_distance(volume, ids.shape))
+    assert rows(distance.squared_distance(volume, ids.shape, piece=16, halo=4)) == whole and len(whole) == np.count_nonzero(ids)
+
+
+@pytest.mark.parametrize("factor", [0.4, 1, 3, 50])
+def test_cubic_along_cut_lines(spark, factor):
+    volume = dense(spark, 411, (2, 2)).where("z % 5 <> 1 and z < 390")
+    cells = lambda piece: {(r.z, r.y, r.x): r.seg_id for r in fuse.resample(volume, (411, 2, 2), (factor, 1, 1), "cubic", "seg_id", piece).collect()}
+    whole, cut = cells(1000), cells(16)
+    assert max(abs(whole.get(k, 0) - cut.get(k, 0)) for k in whole | cut) < 1e-9
+
+
+def test_groups_of_a_pass_are_bounded(spark):
+    volume = dense(spark, 6000, (8, 8)).selectExpr("z", "y", "x", "cast(seg_id as double) as val")
+    cells = stencil.line_pass(volume, "z", lambda lines: np.full((len(lines), 1), float(lines.size)), 6000, {"val": 0.0})
+    assert cells.where(f"val > {stencil.GROUP_CELLS}").isEmpty() and cells.count() == 64
