@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .keyed import HOT_SHARE, with_index
+from .keyed import HOT_SHARE, lookup_join, with_index
 
 # Edges whose stars are contracted together inside a task before the first shuffle.
 LOCAL_EDGES = 1 << 20
@@ -98,7 +98,13 @@ def contract(edges: DataFrame, a: str, b: str, skew_edges: int = SKEW_EDGES) ->
         # the first distinct spreads the edges evenly and, when few are left, brings them together
         return rows.distinct().mapInArrow(_local_stars, "u bigint, v bigint").distinct()
 
-    current, seen = materialize(compact(pairs), *stats)
+    # ids that are close are often linked, so the first runs are ranges of ids
+    near = pairs.repartitionByRange("v", "u").sortWithinPartitions("v", "u")
+    current, seen = materialize(near.mapInArrow(_local_stars, "u bigint, v bigint").distinct(), *stats)
+    leaves = None
+    if seen["n"] > skew_edges:
+        leaves, rest = _leaves(current)
+        current, seen = materialize(compact(rest), *stats)
     while seen["n"]:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         small_input = _star(both, True, 2 * seen["n"], skew_edges)
@@ -109,7 +115,22 @@ def contract(edges: DataFrame, a: str, b: str, skew_edges: int = SKEW_EDGES) ->
         if (found["n"], found["h"]) == (seen["n"], seen["h"]):
             break
         seen = found
-    return current.select(F.col("u").alias("id"), F.col("v").alias("root"))
+    roots = current.select(F.col("u").alias("id"), F.col("v").alias("root"))
+    if leaves is None:
+        return roots
+    joined = lookup_join(leaves, roots.select(F.col("id").alias("v"), "root"), "v")
+    return joined.select("id", F.coalesce("root", "v").alias("root")).unionByName(roots)
+
+
+def _leaves(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Vertices with one edge, which leads to a smaller one, as ``(id, v)``; and the edges ``(u, v)`` of all others.
+
+    A leaf is no root and links nothing, so it takes the root of ``v`` once that is known.
+    """
+    ends = edges.select(F.col("u").alias("id"), "v").unionByName(edges.select(F.col("v").alias("id"), F.lit(None).cast("bigint").alias("v")))
+    degrees = materialize(ends.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("v")))
+    others = degrees.where("n > 1 and v is not null").select(F.col("id").alias("u"))
+    return degrees.where("n = 1 and v is not null").select("id", "v"), edges.join(others, "u", "left_semi")
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "vid", a: str = "src", b: str = "dst") -> DataFrame:

@@ -21,8 +21,9 @@ def vertex_of_segment(vertices: DataFrame) -> DataFrame:
 
 def known_edges(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """Edges with both ends among the vertices."""
-    ids = vertices.select("vid").distinct()
-    both = lookup_join(edges, ids.select(F.col("vid").alias("src")), "src", "inner")
+    # a lookup reads both its sides more than once
+    edges, ids = materialize(edges), materialize(vertices.select("vid").distinct())
+    both = materialize(lookup_join(edges, ids.select(F.col("vid").alias("src")), "src", "inner"))
     return lookup_join(both, ids.select(F.col("vid").alias("dst")), "dst", "inner").select(*edges.columns)
 
 

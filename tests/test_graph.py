@@ -115,3 +115,28 @@ def test_with_index_is_global_and_ordered(spark):
     rows = keyed.with_index(df, ["a"], start=10).orderBy("index").collect()
     assert [r["index"] for r in rows] == list(range(10, 5010))
     assert [r.a for r in rows] == sorted(r.a for r in rows)
+
+
+def test_leaves_wait_for_the_root_of_their_neighbour(spark):
+    import random
+
+    random.seed(3)
+    # chains of hubs with many leaves each, and loose pairs; whole components within a range of ids, and across
+    pairs = [(h * 50, (h + 1) * 50) for h in range(0, 60, 2)] + [(h * 50, h * 50 + k) for h in range(60) for k in range(1, 40)]
+    pairs += [(random.randrange(4000, 4200), random.randrange(4000, 9000)) for _ in range(150)]
+    parent = {v: v for p in pairs for v in p}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    expected = sorted((v, find(v)) for v in parent if find(v) != v)
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    for skew in (0, 1 << 20):
+        assert sorted(map(tuple, components.contract(edges, "a", "b", skew_edges=skew).collect())) == expected
+    peeled, rest = components._leaves(edges.selectExpr("greatest(a, b) as u", "least(a, b) as v").where("u <> v"))
+    assert peeled.count() > 2000 and rest.count() < 300
