@@ -91,7 +91,8 @@ def contract(edges: DataFrame, a: str, b: str, skew_edges: int = SKEW_EDGES) ->
     shrinks somewhere in every round until all edges form stars; so a round that
     changes nothing is the last.
     """
-    pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v")
+    # ranges are drawn from a first look at the pairs
+    pairs = materialize(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v"))
     stats = (F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h"))
 
     def compact(rows: DataFrame) -> DataFrame:
