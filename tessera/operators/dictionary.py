@@ -11,36 +11,37 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from ..sources import chunkfiles, zarr2
-from ..sources.blocks import as_array
+from ..sources.blocks import BLOCK_ARROW, in_batches, rows_of
 from ..sources.codecs import codec
 from .keyed import BROADCAST_ROWS, at_most, lookup_join
 from .relabel import _uint32, keep_labels
 from .stencil import AXES
 
+_LONGS = pa.list_(pa.int64())
 _CODED = "idx array<bigint>, starts array<bigint>, shape array<bigint>, ids array<bigint>, code_type string, codes binary"
 
 
 def coded_blocks(blocks: DataFrame) -> DataFrame:
     """``idx, starts, shape, ids, code_type, codes``: cells as positions in ``ids``, of which the first is always 0."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                ids, codes = np.unique(as_array(row).astype(np.int64), return_inverse=True)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for idx, starts, shape, dtype, data in rows_of(batch):
+                ids, codes = np.unique(np.frombuffer(data, dtype).astype(np.int64), return_inverse=True)
                 # background leads, whether it occurs or not
                 order = np.concatenate([[0], ids[ids != 0]])
                 place = np.where(ids == 0, 0, np.cumsum(ids != 0))
                 narrow = np.min_scalar_type(len(order) - 1)
-                yield pd.DataFrame([(row.idx, row.starts, row.shape, order, narrow.name, place[codes.ravel()].astype(narrow).tobytes())], columns=[c.split()[0] for c in _CODED.split(", ")])
+                yield idx, starts, shape, order, narrow.name, place[codes.ravel()].astype(narrow).tobytes()
 
-    return blocks.select("idx", "starts", "shape", "dtype", "data").mapInPandas(run, _CODED)
+    out = pa.schema([("idx", _LONGS), ("starts", _LONGS), ("shape", _LONGS), ("ids", _LONGS), ("code_type", pa.string()), ("codes", pa.binary())])
+    return blocks.select(*BLOCK_ARROW.names).mapInArrow(lambda batches: in_batches(run(batches), out), _CODED)
 
 
 def _dense(values: np.ndarray, shape: list[int], dtype: str) -> tuple[list[int], str, bytes | None]:
@@ -60,26 +61,26 @@ def translate(blocks: DataFrame, table: DataFrame, outputs: dict[str, str], broa
     """
     names = list(outputs)
     schema = "idx array<bigint>, starts array<bigint>" + "".join(f", {n}_shape array<bigint>, {n}_dtype string, {n}_data binary" for n in names)
-    columns = [part.split()[0] for part in schema.split(", ")]
+    out = pa.schema([("idx", _LONGS), ("starts", _LONGS), *[(f"{n}_{c}", t) for n in names for c, t in (("shape", _LONGS), ("dtype", pa.string()), ("data", pa.binary()))]])
     table = table.where("seg_id is not null and seg_id <> 0").select("seg_id", *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in names])
 
     if at_most(table, broadcast_rows):
         known = table.orderBy("seg_id").toPandas()
         shipped = blocks.sparkSession.sparkContext.broadcast((known["seg_id"].to_numpy(), [known[n].to_numpy() for n in names]))
 
-        def look_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             keys, values = shipped.value
-            for frame in frames:
-                for row in frame.itertuples(index=False):
-                    ids, codes = np.unique(as_array(row).astype(np.int64), return_inverse=True)
+            for batch in batches:
+                for idx, starts, shape, dtype, data in rows_of(batch):
+                    ids, codes = np.unique(np.frombuffer(data, dtype).astype(np.int64), return_inverse=True)
                     at = np.minimum(np.searchsorted(keys, ids), max(0, len(keys) - 1))
-                    out = [row.idx, row.starts]
+                    row = [idx, starts]
                     for name, column in zip(names, values, strict=True):
                         own = np.where(keys[at] == ids, column[at], 0) if len(keys) else np.zeros(len(ids), np.int64)
-                        out += _dense(own[codes.ravel()], row.shape, outputs[name])
-                    yield pd.DataFrame([out], columns=columns)
+                        row += _dense(own[codes.ravel()], shape, outputs[name])
+                    yield tuple(row)
 
-        return blocks.select("idx", "starts", "shape", "dtype", "data").mapInPandas(look_up, schema)
+        return blocks.select(*BLOCK_ARROW.names).mapInArrow(lambda batches: in_batches(look_up(batches), out), schema)
 
     coded = materialize(coded_blocks(blocks))
     entries = coded.select("idx", F.posexplode("ids").alias("at", "seg_id")).where("seg_id <> 0")
@@ -87,18 +88,19 @@ def translate(blocks: DataFrame, table: DataFrame, outputs: dict[str, str], broa
     # a block has no more ids than cells
     values = materialize(found.groupBy("idx").agg(F.collect_list("at").alias("at"), *[F.collect_list(n).alias(n) for n in names]))
 
-    def put_back(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.to_dict("records"):
-                codes, out = np.frombuffer(row["codes"], row["code_type"]), [row["idx"], row["starts"]]
-                for name in names:
-                    own = np.zeros(len(row["ids"]), np.int64)
-                    if row["at"] is not None:
-                        own[row["at"]] = row[name]
-                    out += _dense(own[codes], row["shape"], outputs[name])
-                yield pd.DataFrame([out], columns=columns)
-
-    return coded.join(values, "idx", "left").mapInPandas(put_back, schema)
+    def put_back(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for idx, starts, shape, ids, kind, data, at, *found in rows_of(batch):
+                codes, row = np.frombuffer(data, kind), [idx, starts]
+                for i, name in enumerate(names):
+                    own = np.zeros(len(ids), np.int64)
+                    if at is not None:
+                        own[at] = found[i]
+                    row += _dense(own[codes], shape, outputs[name])
+                yield tuple(row)
+
+    joined = coded.join(values, "idx", "left").select("idx", "starts", "shape", "ids", "code_type", "codes", "at", *names)
+    return joined.mapInArrow(lambda batches: in_batches(put_back(batches), out), schema)
 
 
 def one_output(translated: DataFrame, name: str) -> DataFrame:

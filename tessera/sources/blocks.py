@@ -6,7 +6,7 @@ Columns: ``idx`` (chunk position), ``starts`` (first cell), ``shape``, ``dtype``
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from ..operators.stencil import AXES
 
 BLOCK_SCHEMA = "idx array<bigint>, starts array<bigint>, shape array<bigint>, dtype string, data binary"
+_LONGS = pa.list_(pa.int64())
+BLOCK_ARROW = pa.schema([("idx", _LONGS), ("starts", _LONGS), ("shape", _LONGS), ("dtype", pa.string()), ("data", pa.binary())])
 TARGET_BYTES = 64 * 1024 * 1024  # size of an automatic chunk
 # A partition of a scan reads this many bytes of decoded chunks, and at most this many chunks; grids of few chunks are
 # dealt one by one, and no scan has more than this many partitions.
 PARTITION_BYTES, PARTITION_CHUNKS = 128 << 20, 1024
 LEAST_PARTITIONS, MOST_PARTITIONS = 64, 100_000
 VOXEL_ROWS = 1 << 16  # cells that leave a block together
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1024  # blocks that leave a task together
 
 
 def auto_chunk(shape: list[int], itemsize: int, cubic: bool = False) -> list[int]:
@@ -51,6 +54,25 @@ def as_array(row) -> np.ndarray:
     return np.frombuffer(row.data, dtype=row.dtype).reshape([int(n) for n in row.shape])
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch, one at a time, since blocks may be large."""
+    for row in zip(*batch.columns):
+        yield tuple(v.as_py() for v in row)
+
+
+def in_batches(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows of blocks in batches of bounded size; small blocks share one, whose making costs more than they do."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row if isinstance(v, bytes))
+        if size >= BATCH_BYTES or len(held) >= BATCH_ROWS:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
 def to_voxels(blocks: DataFrame, value: str = "seg_id") -> DataFrame:
     """Non-zero cells of 3-D blocks; integers as BIGINT, other types as DOUBLE.
 
@@ -85,22 +107,33 @@ def to_blocks(voxels: DataFrame, shape: list[int], chunk: list[int], dtype: str,
         *AXES, F.col(value).alias("val"), *[F.floor(F.col(a) / F.lit(c)).alias(f"_b{a}") for a, c in zip(AXES, chunk)]
     )
 
-    def build(table: pa.Table) -> pa.Table:
-        idx = [table.column(f"_b{a}")[0].as_py() for a in AXES]
-        starts = [i * c for i, c in zip(idx, chunk)]
-        size = [min(c, n - s) for c, n, s in zip(chunk, shape, starts)]
-        values = table.column("val").to_numpy()
-        if limits and len(values) and (values.min() < limits.min or values.max() > limits.max):
-            raise OverflowError(f"value outside {dtype} in block {idx}")
-        cells = np.zeros(size, dtype=dtype)
-        cells[tuple(table.column(a).to_numpy() - s for a, s in zip(AXES, starts))] = values
-        row = {"idx": [idx], "starts": [starts], "shape": [size], "dtype": [dtype], "data": [cells.tobytes()]}
-        whole = pa.list_(pa.int64())
-        return pa.table(row, schema=pa.schema(
-            [("idx", whole), ("starts", whole), ("shape", whole), ("dtype", pa.string()), ("data", pa.binary())]
-        ))
-
-    return keyed.groupBy(*[f"_b{a}" for a in AXES]).applyInArrow(build, BLOCK_SCHEMA)
+    def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        idx, cells = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found = np.stack([batch.column(f"_b{a}").to_numpy(zero_copy_only=False) for a in AXES])
+            places = np.stack([batch.column(a).to_numpy(zero_copy_only=False) for a in AXES])
+            values = batch.column("val").to_numpy(zero_copy_only=False)
+            if limits:
+                outside = np.flatnonzero((values < limits.min) | (values > limits.max))
+                if len(outside):
+                    raise OverflowError(f"value outside {dtype} in block {found[:, outside[0]].tolist()}")
+            cuts = np.flatnonzero((found[:, 1:] != found[:, :-1]).any(axis=0)) + 1
+            for low, high in zip([0, *cuts], [*cuts, len(values)]):
+                # a block may go on from the batch before
+                if idx != (at := found[:, low].tolist()):
+                    if idx is not None:
+                        yield idx, starts, size, dtype, cells.tobytes()
+                    idx, starts = at, [i * c for i, c in zip(at, chunk)]
+                    size = [min(c, n - s) for c, n, s in zip(chunk, shape, starts)]
+                    cells = np.zeros(size, dtype=dtype)
+                cells[tuple(p[low:high] - s for p, s in zip(places, starts))] = values[low:high]
+        if idx is not None:
+            yield idx, starts, size, dtype, cells.tobytes()
+
+    keys = [f"_b{a}" for a in AXES]
+    return keyed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: in_batches(cells_of(batches), BLOCK_ARROW), BLOCK_SCHEMA)
 
 
 def rechunk(blocks: DataFrame, shape: list[int], chunk: list[int]) -> DataFrame:

@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.scalars import layer_type
 from . import chunkfiles
-from .blocks import BLOCK_SCHEMA, as_array, chunks_together
+from .blocks import BLOCK_ARROW, BLOCK_SCHEMA, chunks_together, in_batches, rows_of
 from .codecs import codec
 
 CATALOG_SCHEMA = "path string, shape array<bigint>, dtype string, chunks array<bigint>"
@@ -120,11 +119,17 @@ class ZarrReader(DataSourceReader):
         return [Chunks(first, counts, k, min(total, k + run)) for k in range(0, total, run)] or [Chunks(first, counts, 0, 0)]
 
     def read(self, partition: Chunks) -> Iterator[pa.RecordBatch]:
+        bounds = [(f"{end}_{i}", pa.int64()) for i in range(len(self.meta["shape"])) for end in ("low", "high")]
+        types = {f.name: f.type for f in BLOCK_ARROW} | dict(bounds)
+        rows = (tuple(row[c] for c in self.names) for row in self.chunks_of(partition))
+        yield from in_batches(rows, pa.schema([(c, types[c]) for c in self.names]))
+
+    def chunks_of(self, partition: Chunks) -> Iterator[dict]:
         meta, dtype = self.meta, np.dtype(self.meta["dtype"])
         decode, _ = codec(meta.get("compressor"), dtype.itemsize)
         shape, chunks, order = meta["shape"], meta["chunks"], meta.get("order", "C")
         system, folder = chunkfiles.open_folder(self.path)
-        separator, whole = meta.get("dimension_separator", "."), pa.list_(pa.int64())
+        separator = meta.get("dimension_separator", ".")
         for k in range(partition.start, partition.stop):
             idx = [int(f + i) for f, i in zip(partition.first, np.unravel_index(k, partition.counts))]
             try:
@@ -136,10 +141,10 @@ class ZarrReader(DataSourceReader):
             starts = [i * c for i, c in zip(idx, chunks)]
             size = [min(c, n - s) for c, n, s in zip(chunks, shape, starts)]
             native = np.ascontiguousarray(cells[tuple(slice(0, n) for n in size)], dtype=dtype.newbyteorder("="))
-            columns = {"idx": pa.array([idx], whole), "starts": pa.array([starts], whole), "shape": pa.array([size], whole), "dtype": pa.array([native.dtype.name]), "data": pa.array([native.tobytes()], pa.binary())}
+            row = {"idx": idx, "starts": starts, "shape": size, "dtype": native.dtype.name, "data": native.tobytes()}
             for i, (s, n) in enumerate(zip(starts, size)):
-                columns |= {f"low_{i}": pa.array([s], pa.int64()), f"high_{i}": pa.array([s + n], pa.int64())}
-            yield pa.RecordBatch.from_arrays([columns[c] for c in self.names], names=self.names)
+                row |= {f"low_{i}": s, f"high_{i}": s + n}
+            yield row
 
 
 class Zarr(DataSource):
@@ -185,17 +190,17 @@ def encode_blocks(blocks: DataFrame, meta: dict) -> DataFrame:
     separator = meta.get("dimension_separator", ".")
     _, encode = codec(meta.get("compressor"), dtype.itemsize)
 
-    def store(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                cells = as_array(row)
-                if any(int(s) % c for s, c in zip(row.starts, chunks)):
-                    raise ValueError(f"block at {list(row.starts)} is not aligned to chunks {chunks}")
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for idx, starts, size, kind, data in rows_of(batch):
+                if any(s % c for s, c in zip(starts, chunks)):
+                    raise ValueError(f"block at {starts} is not aligned to chunks {chunks}")
                 whole = np.zeros(chunks, dtype=dtype)
-                whole[tuple(slice(0, n) for n in cells.shape)] = cells
-                yield pd.DataFrame({"name": [separator.join(str(int(i)) for i in row.idx)], "data": [encode(whole.tobytes())]})
+                whole[tuple(slice(0, n) for n in size)] = np.frombuffer(data, kind).reshape(size)
+                yield separator.join(map(str, idx)), encode(whole.tobytes())
 
-    return blocks.mapInPandas(store, chunkfiles.SCHEMA)
+    files = pa.schema([("name", pa.string()), ("data", pa.binary())])
+    return blocks.select(*BLOCK_ARROW.names).mapInArrow(lambda batches: in_batches(store(batches), files), chunkfiles.SCHEMA)
 
 
 def write_blocks(blocks: DataFrame, path: str, resume: bool = False) -> DataFrame:

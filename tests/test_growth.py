@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tessera.operators import distance, fuse, stencil
-from tessera.sources import arrays, blocks
+from tessera.sources import arrays, blocks, zarr2
 
 
 def dense(spark, n, plane=(4, 4)):
@@ -89,3 +89,27 @@ def test_groups_of_a_pass_are_bounded(spark):
     volume = dense(spark, 6000, (8, 8)).selectExpr("z", "y", "x", "cast(seg_id as double) as val")
     cells = stencil.line_pass(volume, "z", lambda lines: np.full((len(lines), 1), float(lines.size)), 6000, {"val": 0.0})
     assert cells.where(f"val > {stencil.GROUP_CELLS}").isEmpty() and cells.count() == 64
+
+
+def test_small_chunks_share_batches(spark, tmp_path):
+    shape, chunk = [64, 8, 8], [1, 2, 2]
+    volume = dense(spark, 64, (8, 8)).where("z % 3 > 0 or y < 2")
+    expected = sorted(map(tuple, volume.collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # blocks go on in the next batch
+    try:
+        cells = blocks.to_blocks(volume, shape, chunk, "uint32").persist()
+        cells.count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    path = str(tmp_path / "a")
+    zarr2.create(path, shape, chunk, "uint32")
+    stored = len({(z, y // 2, x // 2) for z, y, x, _ in expected})
+    assert zarr2.write_blocks(cells, path).count() == cells.count() == stored
+    cells.unpersist()
+    reader = zarr2.ZarrReader(path, zarr2.read_blocks(spark, path).schema)
+    sizes = [[b.num_rows for b in reader.read(p)] for p in reader.partitions()]
+    assert max(map(len, sizes)) == 1 and sum(map(sum, sizes)) == stored
+    assert sorted(map(tuple, blocks.to_voxels(zarr2.read_blocks(spark, path)).collect())) == expected
+    # large blocks leave one by one
+    rows = [([0], [0], [1], "uint8", bytes(blocks.BATCH_BYTES))] * 3
+    assert [b.num_rows for b in blocks.in_batches(rows, blocks.BLOCK_ARROW)] == [1, 1, 1]
