@@ -49,13 +49,22 @@ def classify(changes: DataFrame, vertices: DataFrame) -> DataFrame:
     return joined.select("line_no", "op", "v1", "v2", F.col("_a").alias("src"), F.col("_b").alias("dst"), reason.alias("reason"))
 
 
+def rejected(lines: DataFrame) -> DataFrame:
+    """The invalid ones of classified lines."""
+    return lines.where(F.col("reason").isNotNull()).select("line_no", "op", "v1", "v2", "reason")
+
+
+def valid(lines: DataFrame, directed: bool = False) -> DataFrame:
+    """The valid ones of classified lines, as operations on edges."""
+    return oriented(lines.where(F.col("reason").isNull()).select("line_no", "op", "src", "dst"), directed)
+
+
 def rejects(changes: DataFrame, vertices: DataFrame) -> DataFrame:
-    return classify(changes, vertices).where(F.col("reason").isNotNull()).select("line_no", "op", "v1", "v2", "reason")
+    return rejected(classify(changes, vertices))
 
 
 def valid_lines(changes: DataFrame, vertices: DataFrame, directed: bool = False) -> DataFrame:
-    lines = classify(changes, vertices).where(F.col("reason").isNull())
-    return oriented(lines.select("line_no", "op", "src", "dst"), directed)
+    return valid(classify(changes, vertices), directed)
 
 
 def _base(edges: DataFrame, directed: bool) -> DataFrame:

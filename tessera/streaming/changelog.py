@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.changelog import ADD, EDGE, REMOVE, oriented, rejects, valid_lines
+from ..operators.changelog import ADD, EDGE, REMOVE, classify, oriented, rejected, valid
 from ..operators.components import connected_components, contract
 from ..operators.keyed import lookup_join
 from ..session import materialize
@@ -109,15 +109,17 @@ def _changed_roots(roots: DataFrame, after: DataFrame, gone: DataFrame, born: Da
 def advance(batch: DataFrame, number: int, graph: str, directed: bool = False) -> None:
     """Write what the log lines ``batch`` (``line_no, op, v1, v2``) do to the state before batch ``number``."""
     spark = batch.sparkSession
-    batch = materialize(batch)
-    vertices = spark.read.parquet(f"{graph}/vertices")
-    lines = valid_lines(batch, vertices, directed)
-    delta = materialize(lines.groupBy(*EDGE).agg(F.count_if(F.col("op") == REMOVE).alias("removed"), F.max_by("op", "line_no").alias("last")))
-    _write(rejects(batch, vertices), f"{graph}/rejects", number)
+    # a join with a large table of vertices reads its lines more than once, and so do the steps below
+    lines = materialize(classify(materialize(batch), spark.read.parquet(f"{graph}/vertices")))
+    delta = materialize(valid(lines, directed).groupBy(*EDGE).agg(F.count_if(F.col("op") == REMOVE).alias("removed"), F.max_by("op", "line_no").alias("last")))
+    _write(rejected(lines), f"{graph}/rejects", number)
     _write(delta, f"{graph}/deltas", number)
-    before, after = (edges_at(spark, graph, n, directed).join(delta.select(*EDGE), EDGE, "left_semi") for n in (number - 1, number))
-    gone, born = materialize(before.join(after.select(*EDGE), EDGE, "left_anti")), materialize(after.join(before.select(*EDGE), EDGE, "left_anti"))
-    _write(_changed_roots(roots_at(spark, graph, number - 1), edges_at(spark, graph, number, directed), gone, born), f"{graph}/roots", number)
+    before = F.coalesce("mult", F.lit(0))
+    after = F.greatest(before - F.col("removed"), F.when(F.col("last") == ADD, 1).otherwise(0))
+    touched = materialize(delta.join(edges_at(spark, graph, number - 1, directed), EDGE, "left").select(*EDGE, (before > 0).alias("was"), (after > 0).alias("held")))
+    gone, born = (touched.where(c).select(*EDGE) for c in ("was and not held", "held and not was"))
+    roots = materialize(roots_at(spark, graph, number - 1))
+    _write(_changed_roots(roots, edges_at(spark, graph, number, directed), gone, born), f"{graph}/roots", number)
 
 
 def follow_changes(

@@ -62,3 +62,19 @@ def test_a_batch_that_runs_again_gives_the_same(spark, tmp_path):
         stream.advance(batch, 0, graph)
         assert [tuple(r) for r in stream.edges_at(spark, graph, 0).collect()] == [(2, 3, 1)]
         assert sorted((r.vid, r.root) for r in stream.roots_at(spark, graph, 0).collect()) == [(0, 0), (1, 1), (2, 2), (3, 2)]
+
+
+def test_a_batch_reads_lines_and_states_few_times(spark, tmp_path):
+    def rows_read():
+        jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+        found = spark.sparkContext._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, gateway.new_array(jvm.double, 0), None)
+        return {found.apply(i).stageId(): found.apply(i).inputRecords() + found.apply(i).shuffleReadRecords() for i in range(found.size())}
+
+    graph, n = str(tmp_path / "g"), 20_000
+    start(spark, graph, n, {(i, i + 1): 1 for i in range(0, n - 1, 2)})
+    stream.prepare(spark, graph)
+    batch = spark.createDataFrame([(i, "+-"[i % 4 == 0], 100 + i, 101 + i) for i in range(n - 1)], "line_no bigint, op string, v1 bigint, v2 bigint")
+    before = rows_read()
+    stream.advance(batch, 0, graph)
+    assert sum(v for k, v in rows_read().items() if k not in before) < 50 * n
+    assert spark.read.parquet(f"{graph}/deltas/batch=0").count() == n - 1
