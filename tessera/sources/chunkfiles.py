@@ -1,8 +1,9 @@
 """Folders of chunk files as a Spark data source: a sink that commits by task, and resumes.
 
-A task writes each file under another name and moves it into place, so a repeated or speculative task does no harm. When
-all its files are there it adds a list of them to ``_finished/<run>``; a job that ends well adds ``_SUCCESS``. A run that
-was killed leaves the lists of its finished tasks, and the next one leaves those files out.
+A task writes each file in a folder of its own and moves it into place, so a repeated or speculative task does no harm.
+Changes of the folder that all tasks share wait for each other; a file is one such change. When all its files are there the
+task adds a list of them to ``_finished/<run>``; a job that ends well adds ``_SUCCESS``. A run that was killed leaves the
+lists of its finished tasks, and the next one leaves those files out.
 
 Paths are local ones or URIs of any file system that Arrow can open.
 """
@@ -21,6 +22,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 SCHEMA = "name string, data binary"
 _LISTS = "_finished"
+_PARTIAL = "_partial"
 _LIST_SCHEMA = "name string, bytes bigint"
 
 
@@ -67,12 +69,21 @@ class ChunkWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, folder = open_folder(self.path)
-        done = []
-        for batch in iterator:
-            for name, data in zip(batch.column(0), batch.column(1), strict=True):
-                data = data.as_py()
-                write_file(system, f"{folder}/{name.as_py()}", data)
-                done.append(json.dumps({"name": name.as_py(), "bytes": len(data)}))
+        done, parents, own = [], set(), f"{folder}/{_PARTIAL}/{uuid.uuid4().hex}"
+        system.create_dir(own, recursive=True)
+        try:
+            for batch in iterator:
+                for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    data, parent = data.as_py(), f"{folder}/{name}".rpartition("/")[0]
+                    if parent not in parents:
+                        system.create_dir(parent, recursive=True)
+                        parents.add(parent)
+                    with system.open_output_stream(f"{own}/file") as f:
+                        f.write(data)
+                    system.move(f"{own}/file", f"{folder}/{name}")
+                    done.append(json.dumps({"name": name, "bytes": len(data)}))
+        finally:
+            system.delete_dir(own)
         if done:
             write_file(system, f"{folder}/{_LISTS}/{self.run}/{uuid.uuid4().hex}.json", "\n".join(done).encode())
         return Written(len(done))

@@ -2,10 +2,11 @@
 
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.operators import distance, fuse, stencil
-from tessera.sources import arrays, blocks, zarr2
+from tessera.sources import arrays, blocks, chunkfiles, zarr2
 
 
 def dense(spark, n, plane=(4, 4)):
@@ -113,3 +114,26 @@ def test_small_chunks_share_batches(spark, tmp_path):
     # large blocks leave one by one
     rows = [([0], [0], [1], "uint8", bytes(blocks.BATCH_BYTES))] * 3
     assert [b.num_rows for b in blocks.in_batches(rows, blocks.BLOCK_ARROW)] == [1, 1, 1]
+
+
+def test_tasks_write_in_folders_of_their_own(tmp_path, monkeypatch):
+    system, folder = chunkfiles.open_folder(str(tmp_path / "a"))
+    opened = []
+
+    class Watched:
+        def open_output_stream(self, path):
+            opened.append(path.rpartition("/")[0])
+            return system.open_output_stream(path)
+
+        def __getattr__(self, name):
+            return getattr(system, name)
+
+    monkeypatch.setattr(chunkfiles, "open_folder", lambda path: (Watched(), folder))
+    files = {f"{k}.0": bytes([k] * 9) for k in range(20)} | {"deep/0/1": b"x"}
+    for _ in range(2):  # a repeated task does no harm
+        chunkfiles.ChunkWriter(folder, "run").write(iter([pa.record_batch({"name": [*files], "data": [*files.values()]})]))
+    # the shared folder holds no partial file at any time, and none is left
+    assert folder not in opened and len(set(opened)) == 3
+    assert {n: chunkfiles.read_file(folder, n) for n in files} == files
+    assert [p for p in (tmp_path / "a" / "_partial").rglob("*")] == []
+    assert len([*(tmp_path / "a" / "_finished" / "run").iterdir()]) == 2
