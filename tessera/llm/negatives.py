@@ -33,6 +33,9 @@ ANCHORS = 128
 _SLOT_BYTES = 64 << 20
 _LEAST_SLOTS = 64
 _BLOCK = "n int, dims int, ids binary, labels binary, body binary"
+# What a task looks at together, so that memory does not grow with dimensions or windows: groups of eight dimensions, windows.
+_GROUPS = 16
+_WINDOWS_AT_ONCE = 64
 _WINDOWS = ", owner binary, positive binary, score binary"
 _EXACT = 1 << 53
 
@@ -113,10 +116,13 @@ def scores(planes: np.ndarray, sums: np.ndarray) -> np.ndarray:
     if bound >= 1 << 63:
         raise ValueError("scores beyond 64 bits")
     total = np.zeros((n, sums.shape[2]), np.int32 if bound < 1 << 31 else np.int64)
+    # several groups of a plane in one look-up; no sum over one plane leaves the tables' type
+    table = sums[:groups].reshape(groups * 256, sums.shape[2])
+    at = planes[:, :groups].astype(np.intp) + np.arange(0, groups * 256, 256)[:, None]
     for p in range(bits - 1, -1, -1):
-        part = sums[0][planes[p, 0]]
-        for g in range(1, groups):
-            part += sums[g][planes[p, g]]
+        part = table.take(at[p, :_GROUPS], axis=0, mode="clip").sum(axis=0, dtype=sums.dtype)
+        for g in range(_GROUPS, groups, _GROUPS):
+            part += table.take(at[p, g : g + _GROUPS], axis=0, mode="clip").sum(axis=0, dtype=sums.dtype)
         total <<= 1
         if p == bits - 1:
             total -= part
@@ -133,18 +139,23 @@ def _planes(body: bytes, n: int, dims: int) -> np.ndarray:
     return np.frombuffer(body, np.uint8).reshape(-1, dims // 8, n)
 
 
-def _first(owner: np.ndarray, most: int) -> np.ndarray:
-    """Marks the first ``most`` entries of each run of equal owners."""
-    new = np.ones(len(owner), bool)
-    new[1:] = owner[1:] != owner[:-1]
-    return np.arange(len(owner)) - np.flatnonzero(new)[np.cumsum(new) - 1] < most if len(owner) else new
-
-
-def _best(score: np.ndarray, ids: np.ndarray, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(candidate, anchor) of all pairs but those to ``skip``, by anchor, score from the highest and id."""
-    anchor, candidate = np.nonzero(np.ones(score.T.shape, bool) if skip is None else ~skip.T)
-    order = np.lexsort((ids[candidate], -score[candidate, anchor].astype(np.int64), anchor))
-    return candidate[order], anchor[order]
+def _best(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) of the ``most`` largest values of each row, the largest and first ones first; the type's least value is none."""
+    none, rows = np.iinfo(values.dtype).min, np.arange(len(values))
+    found = []
+    for _ in range(min(most, values.shape[1])):
+        place = values[rows].argmax(axis=1) if found else values.argmax(axis=1)
+        there = values[rows, place] > none
+        rows, place = rows[there], place[there]
+        if not len(rows):
+            break
+        values[rows, place] = none
+        found.append((rows, place))
+    if not found:
+        return rows[:0], rows[:0]
+    row, place = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(row, kind="stable")
+    return row[order], place[order]
 
 
 def _positives(pair: dict, most: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -153,13 +164,13 @@ def _positives(pair: dict, most: int) -> Iterator[tuple[np.ndarray, ...]]:
     a_ids, a_labels, a_body, a_dims = _read(pair, "a_")
     planes, q = _planes(body, len(ids), dims), np.frombuffer(a_body, "<i8").reshape(len(a_ids), a_dims)
     for label in np.intersect1d(labels, a_labels):
+        # a label's rows are in order of id, so that the first of equal scores is the smallest id
         c = slice(*np.searchsorted(labels, [label, label + 1]))
         a = slice(*np.searchsorted(a_labels, [label, label + 1]))
-        score = scores(planes[:, :, c], subset_sums(q[a]))
-        candidate, anchor = _best(score, ids[c], ids[c][:, None] == a_ids[a])
-        kept = _first(anchor, most)
-        candidate, anchor = candidate[kept], anchor[kept]
-        yield a_ids[a][anchor], ids[c][candidate], score[candidate, anchor].astype(np.int64)
+        score = np.ascontiguousarray(scores(planes[:, :, c], subset_sums(q[a])).T)
+        left = np.where(ids[c] == a_ids[a][:, None], np.iinfo(score.dtype).min, score)
+        anchor, candidate = _best(left, most)
+        yield a_ids[a][anchor], ids[c][candidate], score[anchor, candidate].astype(np.int64)
 
 
 def _negatives(pair: dict, most: int, low: int, high: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -168,28 +179,24 @@ def _negatives(pair: dict, most: int, low: int, high: int) -> Iterator[tuple[np.
     a_ids, a_labels, a_body, a_dims = _read(pair, "a_")
     q = np.frombuffer(a_body, "<i8").reshape(len(a_ids), a_dims)
     column, positive, limit = (np.frombuffer(pair[c], "<i8") for c in ("a_owner", "a_positive", "a_score"))
-    # least and largest score of each window, in integers; windows with none are left out
+    # in order of id, so that the first of equal scores is the smallest id
+    order = np.argsort(ids)
+    ids, labels = ids[order], labels[order]
+    score = np.ascontiguousarray(scores(_planes(body, len(order), dims)[:, :, order], subset_sums(q)).T)
+    type_ = np.iinfo(score.dtype)
+    score[labels == a_labels[:, None]] = type_.min
+    # least and largest score of each window, in integers; windows with none are left out, and no score is the type's least
     lows, highs = -(-limit * low // 100), limit * high // 100
-    fits = lows <= highs
-    column, positive, limit, lows, highs = (x[fits] for x in (column, positive, limit, lows, highs))
-    if not len(column):
-        return
-    score = scores(_planes(body, len(ids), dims), subset_sums(q))
-    least, largest = np.full(len(a_ids), np.iinfo(np.int64).max), np.full(len(a_ids), np.iinfo(np.int64).min)
-    np.minimum.at(least, column, lows)
-    np.maximum.at(largest, column, highs)
-    outside = (score < least) | (score > largest) | (labels[:, None] == a_labels)
-    candidate, anchor = _best(score, ids, outside)
-    value = score[candidate, anchor].astype(np.int64)
-    start = np.searchsorted(anchor, np.arange(len(a_ids) + 1))
-    for k in range(len(column)):
-        part = slice(start[column[k]], start[column[k] + 1])
-        # scores fall, so a window is a stretch of them
-        a, b = np.searchsorted(-value[part], [-highs[k], -lows[k] + 1])
-        chosen = slice(part.start + a, part.start + min(b, a + most))
-        n = chosen.stop - chosen.start
-        if n > 0:
-            yield np.full(n, a_ids[column[k]]), np.full(n, positive[k]), np.full(n, limit[k]), ids[candidate[chosen]], value[chosen]
+    fits = (lows <= highs) & (lows <= type_.max) & (highs > type_.min)
+    column, positive, limit = (x[fits] for x in (column, positive, limit))
+    lows, highs = (np.clip(x[fits], type_.min + 1, type_.max).astype(score.dtype)[:, None] for x in (lows, highs))
+    for k in range(0, len(column), _WINDOWS_AT_ONCE):
+        part = slice(k, k + _WINDOWS_AT_ONCE)
+        values = score[column[part]]
+        values[(values < lows[part]) | (values > highs[part])] = type_.min
+        window, candidate = _best(values, most)
+        window += k
+        yield a_ids[column[window]], positive[window], limit[window], ids[candidate], score[column[window], candidate].astype(np.int64)
 
 
 def _pairs(anchors: DataFrame, candidates: DataFrame, slots: int) -> DataFrame:
@@ -203,8 +210,10 @@ def _scored(pairs: DataFrame, find: Callable[[dict], Iterator[tuple[np.ndarray,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                for found in find(batch.slice(i, 1).to_pylist()[0]):
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=names)
+                # what a pair of blocks gives leaves together
+                found = [*find(batch.slice(i, 1).to_pylist()[0])]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*found)], names=names)
 
     return pairs.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 

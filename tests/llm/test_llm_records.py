@@ -5,6 +5,7 @@ import uuid
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,3 +181,30 @@ def test_fill_in_middle_against_slices(spark):
 def test_fill_in_middle_has_no_python(spark, sf_dir):
     plan = infill.digest(infill.transform(spark.read.parquet(f"{sf_dir}/documents.parquet")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_best_of_rows_with_ties():
+    rng = np.random.default_rng(8)
+    for type_, most in ((np.int32, 3), (np.int64, 5), (np.int32, 50)):
+        none = np.iinfo(type_).min
+        values = rng.integers(-3, 4, (40, 17)).astype(type_)
+        values[rng.random(values.shape) < 0.3] = none
+        values[5] = none
+        expected = []
+        for row, v in enumerate(values):
+            ranked = sorted((-int(x), place) for place, x in enumerate(v) if x != none)
+            expected += [(row, place) for _, place in ranked[:most]]
+        row, place = negatives._best(values.copy(), most)
+        assert [*zip(row.tolist(), place.tolist())] == expected
+    assert [len(x) for x in negatives._best(np.zeros((0, 4), np.int32), 3)] == [0, 0]
+
+
+def test_finds_of_a_pair_leave_together():
+    class Pairs:
+        def mapInArrow(self, run, schema):
+            return run
+
+    # ten windows of one pair of blocks: one batch, not ten
+    run = negatives._scored(Pairs(), lambda pair: ((np.array([k]), np.array([pair["x"]])) for k in range(10)), ["window", "x"])
+    batches = [*run(iter([pa.record_batch({"x": [4, 5]})]))]
+    assert [b.num_rows for b in batches] == [10, 10] and batches[1].to_pydict() == {"window": [*range(10)], "x": [5] * 10}
