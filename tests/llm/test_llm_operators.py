@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tessera.llm import attention, chat, decontaminate, language, lengths, neardup, packing, quality, queries, repeats, stars, urls
 from tessera.llm.bytetext import texts
-from tessera.llm.subwords import WordEncoder, encoder
+from tessera.llm.subwords import WordEncoder, encoder, pieces
 
 LONG = "lorem ipsum dolor sit amet consetetur sadipscing elitr sed diam nonumy eirmod tempor invidunt ut labore et dolore magna aliquyam erat sed diam voluptua at vero eos et accusam et justo duo dolores et ea rebum stet clita kasd gubergren no sea takimata sanctus est lorem ipsum dolor sit amet "
 TEXTS = [
@@ -439,3 +439,32 @@ def test_pipeline_against_brute_force(spark, sf_dir):
     for r in rows:
         assert zlib.crc32(bytes(r.ids)) == r.ids_crc32
     assert {r.doc_id for r in rows} == set(after)
+
+
+def test_recurring_words_stay_known():
+    coder, asked = WordEncoder(cache_words=300), []
+    learn = coder.learn
+    coder.learn = lambda words: (asked.extend(words), learn(words))
+    common = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(100)]
+    for k in range(30):
+        some = [*common, *(f"rare{chr(97 + k)}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60))]
+        ids, lengths = coder.encode(texts(pa.array(some)))
+        expected = [coder.tokenizer.encode(w, add_special_tokens=False).ids for w in some]
+        assert ids.tolist() == [i for x in expected for i in x] and lengths.tolist() == [len(x) for x in expected]
+    # each common word was learned once, and the table has not kept all others
+    assert sum(w in set(common) for w in asked) == 100 and len(coder.rows) < 500
+    # tables that only hold recurring words start anew
+    coder.cache_words = 50
+    assert coder.count(texts(pa.array(common))).tolist() == [len(coder.tokenizer.encode(w, add_special_tokens=False).ids) for w in common]
+
+
+def test_letters_of_latin_1_are_cut_from_punctuation():
+    rng = np.random.default_rng(4)
+    signs = [*"aZ9'.,;-<|", *"éÉñÿß×÷ÀÞ", "́", "̸", "µ", "ª", "ł", "İ", "…", " "]
+    lines = ["".join(rng.choice(signs, 12)) for _ in range(3000)]
+    coder = encoder()
+    ids, lengths = coder.encode(texts(pa.array(lines)))
+    expected = [coder.tokenizer.encode(line, add_special_tokens=False).ids for line in lines]
+    assert lengths.tolist() == [len(x) for x in expected] and ids.tolist() == [i for x in expected for i in x]
+    words, _ = pieces(texts(pa.array(["café, (Über) 3×4 a÷b"])))
+    assert words.to_pylist() == ["café", ",", "(", "Über", ")", "3×4", "a÷b"]
