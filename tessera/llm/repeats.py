@@ -333,6 +333,32 @@ def repeated_runs(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     return decided.unionByName(_decide(strings, True, buckets, parts))
 
 
+def _with_runs(docs: DataFrame, length: int, text: str) -> DataFrame:
+    """``row, text, parts``: the other columns, the compressed text and the repeated runs of each row of ``docs``."""
+    small_batches(docs.sparkSession)
+    rows = _keyed(docs.select(F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("row"), F.col(text).cast("string").alias("text")))
+    found = repeated_runs(rows, length).groupBy("k1", "k2").agg(F.collect_list("runs").alias("parts"))
+    return _compressed(rows).join(found, ["k1", "k2"], "left").select("row", "text", "parts")
+
+
+def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.Array, np.ndarray, list[list[int]], list[bytes]]]:
+    """(rows, their bytes, borders of the removed spans, what stays) of batches from ``_with_runs``."""
+    for batch in slices(batches, limit=_SLICE // 4):
+        t = _restored(batch.column("text"))
+        borders, kept = [], []
+        for i, parts in enumerate(batch.column("parts").to_pylist()):
+            runs = np.frombuffer(b"".join(parts or []), _RUN)
+            runs = runs[(runs["flag"] & _REPEATED) > 0]
+            data = t.data[t.start[i] : t.end[i]]
+            change = np.zeros(len(data) + 1, np.int64)
+            np.add.at(change, runs["start"], 1)
+            np.add.at(change, runs["start"].astype(np.int64) + runs["size"] + length - 1, -1)
+            gone = np.cumsum(change[:-1]) > 0
+            borders.append(np.flatnonzero(np.diff(gone, prepend=False, append=False)).tolist())
+            kept.append(data[~gone].tobytes())
+        yield batch.column("row"), t.end - t.start, borders, kept
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """``row, n_bytes, spans, kept``: for each row of ``docs`` its other columns, the removed spans, the bytes that stay.
 
@@ -340,43 +366,29 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") ->
     or several documents, overlapping or not. Null and empty texts have no bytes; repeated rows repeat each other.
     Columns of any name may be in ``docs``.
     """
-    small_batches(docs.sparkSession)
-    rows = _keyed(docs.select(F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("row"), F.col(text).cast("string").alias("text")))
-    found = repeated_runs(rows, length).groupBy("k1", "k2").agg(F.collect_list("runs").alias("parts"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=_SLICE // 4):
-            t = _restored(batch.column("text"))
-            spans, kept = [], []
-            for i, parts in enumerate(batch.column("parts").to_pylist()):
-                runs = np.frombuffer(b"".join(parts or []), _RUN)
-                runs = runs[(runs["flag"] & _REPEATED) > 0]
-                data = t.data[t.start[i] : t.end[i]]
-                change = np.zeros(len(data) + 1, np.int64)
-                np.add.at(change, runs["start"], 1)
-                np.add.at(change, runs["start"].astype(np.int64) + runs["size"] + length - 1, -1)
-                gone = np.cumsum(change[:-1]) > 0
-                flips = np.flatnonzero(np.diff(gone, prepend=False, append=False)).tolist()
-                spans.append([{"start": a, "end": b} for a, b in zip(flips[0::2], flips[1::2], strict=True)])
-                kept.append(data[~gone].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(t.end - t.start), pa.array(spans, span), pa.array(kept, pa.binary())],
-                names=["row", "n_bytes", "spans", "kept"],
-            )
+        for row, n_bytes, borders, kept in _cut(batches, length):
+            spans = [[{"start": a, "end": b} for a, b in zip(x[0::2], x[1::2], strict=True)] for x in borders]
+            yield pa.RecordBatch.from_arrays([row, pa.array(n_bytes), pa.array(spans, span), pa.array(kept, pa.binary())], names=["row", "n_bytes", "spans", "kept"])
 
-    joined = _compressed(rows).join(found, ["k1", "k2"], "left").select("row", "text", "parts")
-    schema = T.StructType([joined.schema["row"], *_REMOVED.fields])
-    return joined.mapInArrow(run, schema)
+    joined = _with_runs(docs, length, text)
+    return joined.mapInArrow(run, T.StructType([joined.schema["row"], *_REMOVED.fields]))
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
-    """``docs`` with the bytes that stay as text. Characters that a removed span cuts in two go with it."""
-    whole = lambda batches: (
-        pa.RecordBatch.from_arrays([b.column("row"), pa.array([x.decode("utf-8", "ignore") for x in b.column("kept").to_pylist()], pa.string())], names=["row", "text"]) for b in batches
-    )
-    removed = remove_repeats(docs, length, text)
-    out = removed.select("row", "kept").mapInArrow(whole, T.StructType([removed.schema["row"], T.StructField("text", T.StringType())]))
+    """``docs`` with the bytes that stay as text. Characters that a removed span cuts in two go with it.
+
+    Texts are cut and decoded in one pass: a pass after another would hold a second Python worker for each task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, _, _, kept in _cut(batches, length):
+            yield pa.RecordBatch.from_arrays([row, pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())], names=["row", "text"])
+
+    joined = _with_runs(docs, length, text)
+    out = joined.mapInArrow(run, T.StructType([joined.schema["row"], T.StructField("text", T.StringType())]))
     return out.select(*[F.col("text").alias(text) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

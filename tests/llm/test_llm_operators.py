@@ -402,6 +402,15 @@ def test_repeats(spark, docs):
     assert repeats.without_repeats(docs).columns == docs.columns and repeats.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_texts_without_repeats_are_made_in_one_pass(spark):
+    frame = spark.createDataFrame([(0, "ab" + LONG + "é1"), (1, "cd" + LONG + "è2"), (2, None), (3, "é" * 90)], "doc_id long, text string")
+    cut, removed = repeats.without_repeats(frame), repeats.remove_repeats(frame)
+    passes = [str(x._jdf.queryExecution().executedPlan()).count("MapInArrow") for x in (cut, removed)]
+    assert passes[0] == passes[1], "a second Python worker for each task"
+    # the first byte of é and è goes with the repeat, and so the whole character
+    assert {r.doc_id: r.text for r in cut.collect()} == {0: "ab1", 1: "cd2", 2: "", 3: "é" * 90}
+
+
 def test_runs_of_copies_do_not_add_up(spark):
     rng = np.random.default_rng(8)
     text = "".join(map(chr, rng.integers(97, 123, 900)))
