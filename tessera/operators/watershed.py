@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import count_metric, materialize
-from .distance import smooth, squared_distance
+from . import heights
+from .distance import gaussian_weights, squared_distance
+from .heights import find
 from .keyed import lookup_join, with_index
 from .morphology import _linear, max_label, object_sizes, voxel_components
 from .shape import elongation, elongation_gate
-from .stencil import AXES, EDGE, Cells, offsets, per_block
+from .stencil import AXES, EDGE, GROUP_CELLS, PIECE, Cells, box_of, offsets, per_block, per_box
 
 
 class Basins:
@@ -178,20 +180,13 @@ def _descending(table: pa.Table) -> tuple[np.ndarray, ...]:
     return nodes, ends[: len(a)], ends[len(a) :], saddle[order], at[order]
 
 
-def _find(parent: list[int], i: int) -> int:
-    while parent[i] != i:
-        parent[i] = parent[parent[i]]
-        i = parent[i]
-    return i
-
-
-def _heights(basins: Basins) -> dict[str, DataFrame]:
+def _peak_heights(basins: Basins) -> dict[str, DataFrame]:
     return {end: basins.peaks.select("label", F.col("peak").alias(end), F.col("val").alias(f"_{end}")) for end in "ab"}
 
 
 def _swallowed_in_task(edges: DataFrame, basins: Basins, h: float) -> DataFrame:
     """``(label, peak)`` of the peaks that are no h-maxima, one object per call."""
-    heights = _heights(basins)
+    ends = _peak_heights(basins)
 
     def kernel(table: pa.Table) -> pa.Table:
         nodes, u, v, saddle, _ = _descending(table)
@@ -200,7 +195,7 @@ def _swallowed_in_task(edges: DataFrame, basins: Basins, h: float) -> DataFrame:
             height[np.searchsorted(nodes, table.column(end).to_numpy())] = table.column(f"_{end}").to_numpy()
         parent, tops, gone = list(range(len(nodes))), [[i] for i in range(len(nodes))], []
         for i, j, s in zip(u.tolist(), v.tolist(), saddle.tolist()):
-            i, j = _find(parent, i), _find(parent, j)
+            i, j = find(parent, i), find(parent, j)
             if i == j:
                 continue
             if height[tops[i][0]] < height[tops[j][0]]:
@@ -214,16 +209,16 @@ def _swallowed_in_task(edges: DataFrame, basins: Basins, h: float) -> DataFrame:
         label = table.column("label")[0].as_py()
         return pa.table({"label": np.full(len(gone), label, np.int64), "peak": nodes[np.array(gone, int)]})
 
-    joined = edges.join(heights["a"], ["label", "a"]).join(heights["b"], ["label", "b"])
+    joined = edges.join(ends["a"], ["label", "a"]).join(ends["b"], ["label", "b"])
     return joined.groupBy("label").applyInArrow(kernel, "label bigint, peak bigint")
 
 
 def _swallowed_in_rounds(edges: DataFrame, basins: Basins, h: float) -> DataFrame:
     """The same by rounds of distributed merges, for objects of any size."""
-    heights = _heights(basins)
+    ends = _peak_heights(basins)
 
     def choose(best: DataFrame) -> DataFrame:
-        joined = best.join(heights["a"], ["label", "a"]).join(heights["b"], ["label", "b"])
+        joined = best.join(ends["a"], ["label", "a"]).join(ends["b"], ["label", "b"])
         higher = (F.col("_b") > F.col("_a")) | ((F.col("_b") == F.col("_a")) & (F.col("b") < F.col("a")))
         near = F.col("saddle") > F.col("_a") - F.lit(h)
         return joined.where(higher & near).select("label", "a", "b", (F.col("_b") > F.col("_a")).alias("strict"))
@@ -268,7 +263,7 @@ def _levels_in_task(edges: DataFrame, marked: DataFrame) -> DataFrame:
         level, wet = np.full(len(nodes), -1), wet.tolist()
         parent, members = list(range(len(nodes))), [[i] for i in range(len(nodes))]
         for k, (i, j) in enumerate(zip(u.tolist(), v.tolist())):
-            i, j = _find(parent, i), _find(parent, j)
+            i, j = find(parent, i), find(parent, j)
             if i == j or (wet[i] and wet[j]):
                 continue
             if wet[i] or wet[j]:
@@ -319,7 +314,31 @@ def flood(field: DataFrame, plane: tuple[int, int], markers: DataFrame, edge: in
     A flood reaches a cell at its entry: the lowest cell of the best path from a marker, itself included. So the entry of
     a cell is itself, or that of its basin's peak if that is lower. All cells with one entry have its region, and an entry
     that is no marker has the region of its neighbour with the highest entry; so regions are followed from entry to entry.
+
+    A component of an object that lies in one block is flooded there; only those that reach over blocks go through the graph.
     """
+    volume = (None, *plane)
+    nothing, unknown = F.lit(0).cast("bigint"), F.lit(0.0)
+    rows = field.select(*AXES, "label", "val", nothing.alias("marker"), F.lit(False).alias("told")).unionByName(
+        markers.select(*_points(plane), "label", unknown.alias("val"), "marker", F.lit(True).alias("told"))
+    )
+
+    def kernel(coords: list, c: dict, low: list, high: list) -> dict:
+        return heights.flooded(c["label"], coords, c["val"], c["marker"], c["told"], low, high, plane)
+
+    near, seen = materialize(
+        per_box(rows, kernel, heights.FLOODED, ["label", "val", "marker", "told"], "label", box_of(volume, edge), volume, halo=1),
+        F.coalesce(F.count_if("rest"), F.lit(0)).alias("n"),
+    )
+    done = near.where("not rest").select("label", "cell", "region")
+    if not seen["n"]:
+        return done
+    across = materialize(near.where("rest").select("label", *AXES, "val"))
+    return done.unionByName(_flood_across(across, plane, markers, edge, task_saddles))
+
+
+def _flood_across(field: DataFrame, plane: tuple[int, int], markers: DataFrame, edge: int, task_saddles: int) -> DataFrame:
+    """The same for components of any size, by the graph of basins and saddles."""
     basins = Basins(field, plane, 6, edge)
     cells = materialize(basins.cells.join(basins.nodes.select("label", F.col("node").alias("to"), "peak"), ["label", "to"]).select("label", "cell", "peak", "val"))
     # a marker is a node of its own beside the basin it lies in, joined to it at its height
@@ -375,12 +394,40 @@ def _points(plane: tuple[int, int], cell: str = "cell") -> list:
     ]
 
 
+class _Undecided:
+    """What no block could decide alone: peaks, and the saddles between them, as in ``Basins``."""
+
+    def __init__(self, rows: DataFrame):
+        of = lambda kind: rows.where(F.col("kind") == kind)
+        self.peaks = of(heights.PEAK).select("label", F.col("a").alias("peak"), "val")
+        self.nodes = follow(of(heights.NODE).select("label", F.col("a").alias("node"), F.col("b").alias("peak")), "node", "peak")
+        links = of(heights.LINK).select("label", "a", "b", F.col("val").alias("saddle"), "at")
+        self.edges = materialize(relink(links, self.nodes, "node", "peak"))
+
+
+def _tops(rows: DataFrame, h: float, task_saddles: int) -> DataFrame:
+    """``(label, cell, val)``: the cells of all h-maxima, of the rows that ``heights.maxima`` gave for all blocks."""
+    rows, seen = materialize(rows.where(F.col("kind") != heights.FIELD), F.coalesce(F.count_if(F.col("kind") == heights.PEAK), F.lit(0)).alias("n"))
+    found = rows.where(F.col("kind") == heights.MAXIMUM).select("label", F.col("a").alias("cell"), "val")
+    if not seen["n"]:
+        return found
+    basins = _Undecided(rows)
+    tops = materialize(h_maxima(basins, h, task_saddles)).withColumnRenamed("val", "_top")
+    level = rows.where(F.col("kind") == heights.LEVEL_CELL).select("label", F.col("a").alias("cell"), F.col("b").alias("node"), "val")
+    level = level.join(basins.nodes.select("label", "node", F.col("peak").alias("_peak")), ["label", "node"], "left").withColumn("peak", F.coalesce("_peak", "node"))
+    return found.unionByName(level.join(tops, ["label", "peak"]).where("val = _top").select("label", "cell", "val"))
+
+
 def maximum_cells(field: DataFrame, plane: tuple[int, int], h: float, edge: int = EDGE, task_saddles: int = TASK_SADDLES) -> DataFrame:
     """``(z, y, x, label, val)``: the cells of all h-maxima of ``field(label, z, y, x, val)``, over all 26 neighbours."""
-    basins = Basins(field, plane, 26, edge)
-    tops = materialize(h_maxima(basins, h, task_saddles))
-    on_top = basins.nodes.join(tops.withColumnRenamed("val", "_top"), ["label", "peak"]).select("label", F.col("node").alias("to"), "_top")
-    return basins.cells.join(on_top, ["label", "to"]).where("val = _top").select(*_points(plane), "label", "val")
+    # heights beyond the last layer are none, so the number of layers does not matter
+    volume = (1 << 40, *plane)
+
+    def kernel(coords: list, c: dict, low: list, high: list) -> dict:
+        return heights.maxima(c["label"], coords, c["val"], low, high, volume, None, h)
+
+    rows = per_box(field, kernel, heights.MAXIMA, ["label", "val"], "label", box_of(volume, edge), volume, halo=1)
+    return _tops(rows, h, task_saddles).select(*_points(plane), "label", "val")
 
 
 def watershed_regions(
@@ -392,6 +439,25 @@ def watershed_regions(
     return maxima.drop("first"), regions
 
 
+def _maxima_rows(voxels: DataFrame, shape: tuple[int, int, int], h: float, weights: np.ndarray, edge: int) -> DataFrame:
+    """What ``heights.maxima`` gives for the smoothed distances of ``voxels``."""
+    reach = len(weights) // 2 + 1
+    if 0 < shape[1] * shape[2] * (PIECE + 2 * (EDGE + reach)) <= GROUP_CELLS and edge >= max(shape[1:]):
+        # whole planes fit: a piece of the volume finds its distances itself, if none reaches beyond what it sees
+        def whole(coords: list, c: dict, low: list, high: list) -> dict:
+            return heights.voxel_maxima(c["seg_id"], coords, low, high, shape, weights, h, EDGE)
+
+        pieces = per_box(voxels, whole, heights.MAXIMA, ["seg_id"], "seg_id", (PIECE, *shape[1:]), shape, (EDGE + reach, 0, 0))
+        rows, seen = materialize(pieces, F.coalesce(F.count_if(F.col("kind") == heights.FAR), F.lit(0)).alias("n"))
+        if not seen["n"]:
+            return rows
+
+    def kernel(coords: list, c: dict, low: list, high: list) -> dict:
+        return heights.maxima(c["seg_id"], coords, np.sqrt(c["val"]), low, high, shape, weights, h)
+
+    return materialize(per_box(squared_distance(voxels, shape), kernel, heights.MAXIMA, ["seg_id", "val"], "seg_id", box_of(shape, edge), shape, reach))
+
+
 def marked_regions(
     voxels: DataFrame, shape: tuple[int, int, int], h: float, sigma: float, connectivity: int, edge: int = EDGE,
     task_saddles: int = TASK_SADDLES,
@@ -404,23 +470,20 @@ def marked_regions(
     beyond an object; maxima there count (``first`` is the lowest number of all), but flood nothing.
     """
     plane = shape[1:]
-    squared = squared_distance(voxels, shape)
-    field = smooth(squared.withColumn("val", F.sqrt("val")), shape, sigma, edge=edge)
-    field = materialize(field.withColumnRenamed("seg_id", "label"))
-    inside = field.where("inside").select(*AXES, "label", "val")
+    rows = _maxima_rows(voxels, shape, h, gaussian_weights(sigma) if sigma else np.ones(1), edge)
+    inside = rows.where(F.col("kind") == heights.FIELD).select(*_points(plane, "a"), "label", "val")
     number = (F.col("z") * plane[0] + F.col("y")) * plane[1] + F.col("x")
+    tops = _tops(rows, h, task_saddles).select(*_points(plane), "label")
     markers = materialize(
-        voxel_components(maximum_cells(field, plane, h, edge, task_saddles), plane, connectivity, "label", edge).select(
-            "label", number.alias("cell"), F.col("component").alias("marker")
-        )
+        voxel_components(materialize(tops), plane, connectivity, "label", edge).select("label", number.alias("cell"), F.col("component").alias("marker"))
     )
     counts = materialize(
         markers.select("label", "marker").distinct().groupBy("label").agg(F.count(F.lit(1)).alias("num_maxima"), F.min("marker").alias("first")).where("num_maxima > 1")
     )
     sized = counts.join(object_sizes(voxels).withColumnRenamed("seg_id", "label"), "label")
     several = lookup_join(inside, materialize(sized), "label", "inner", weight="size").select(*AXES, "label", "val")
-    starts = several.select("label", number.alias("cell")).join(markers, ["label", "cell"])
-    flooded = flood(materialize(several), plane, materialize(starts), edge, task_saddles).select(*_points(plane), F.col("label").alias("seg_id"), "region")
+    starts = lookup_join(markers, counts.select("label"), "label", "inner")
+    flooded = flood(several, plane, materialize(starts), edge, task_saddles).select(*_points(plane), F.col("label").alias("seg_id"), "region")
     return counts.withColumnRenamed("label", "seg_id"), materialize(flooded)
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import distance, fuse, morphology, shape, watershed
+from tessera.operators import distance, fuse, heights, morphology, shape, watershed
 from tessera.session import materialize
 
 
@@ -391,3 +391,74 @@ def test_upsampling(spark, shape):
     assert np.abs(got - linear).max() < 1e-9
     with pytest.raises(ValueError):
         fuse.resample(frame(spark, v), shape, (0, 1, 1))
+
+
+def test_an_object_inside_a_block_leaves_nothing_to_the_graph():
+    rng = np.random.default_rng(4)
+    field = rng.integers(0, 7, (8, 9, 7)).astype(float)
+    cells = np.argwhere(field > 0)
+    order = np.arange(len(cells))
+    got = heights.maxima(np.full(len(cells), 5), list((cells + 9).T), field[tuple(cells.T)], [0, 0, 0], [32, 32, 32], (99, 99, 99), None, 2.0)
+    assert set(got["kind"].tolist()) == {heights.MAXIMUM} and set(got["label"].tolist()) == {5}
+    expected = brute_h_maxima(np.where(field > 0, field, -1e9), 2.0) & (field >= 2)
+    found = np.stack(np.unravel_index(got["a"], (99, 99, 99)), axis=1) - 9
+    assert sorted(map(tuple, found.tolist())) == sorted(map(tuple, np.argwhere(expected).tolist())) and len(order) > 300
+
+
+@pytest.mark.parametrize("cut", [3, 5])
+def test_blocks_settle_peaks_as_the_whole_does(cut):
+    """What the blocks on both sides of a cut decide alone holds in the whole object; what is left says the rest."""
+    for seed in range(30):
+        rng = np.random.default_rng(seed)
+        field = rng.integers(1, 6, (9, 4, 4)).astype(float)
+        cells, shape = np.argwhere(field > 0), field.shape
+        whole = heights.maxima(np.ones(len(cells), int), list(cells.T), field[tuple(cells.T)], [0, 0, 0], list(shape), shape, None, 1.5)
+        want, undecided = set(whole["a"].tolist()), 0
+        for low, high in ((0, cut), (cut, 9)):
+            near = cells[(cells[:, 0] >= low - 1) & (cells[:, 0] <= high)]
+            got = heights.maxima(np.ones(len(near), int), list(near.T), field[tuple(near.T)], [low, 0, 0], [high, 4, 4], shape, None, 1.5)
+            sure = set(got["a"][got["kind"] == heights.MAXIMUM].tolist())
+            open_ = set(got["a"][got["kind"] == heights.LEVEL_CELL].tolist())
+            own = {c for c in want if low * 16 <= c < high * 16}
+            assert sure <= own <= sure | open_
+            undecided += (got["kind"] == heights.PEAK).sum()
+        assert undecided
+
+
+def test_components_inside_blocks_are_flooded_there(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    size, rows, markers, want = (5, 6, 7), [], [], {}
+    for label in (1, 2):
+        cells = [tuple(c) for c in np.argwhere(rng.random(size) < 0.6).tolist()]
+        field = {c: float(rng.integers(0, 5)) for c in cells}
+        rows += [(label, *c, v) for c, v in field.items()]
+        number = lambda c: (c[0] * size[1] + c[1]) * size[2] + c[2]
+        told = {cells[i]: 100 + k for k, i in enumerate(rng.choice(len(cells), 6, replace=False).tolist())}
+        markers += [(label, number(c), m) for c, m in told.items()]
+        want |= {(label, number(c)): m for c, m in queue_flood(field, told).items()}
+    field = spark.createDataFrame(rows, "label bigint, z bigint, y bigint, x bigint, val double")
+    told = spark.createDataFrame(markers, "label bigint, cell bigint, marker bigint")
+    monkeypatch.setattr(watershed, "_flood_across", None)
+    assert {(r.label, r.cell): r.region for r in watershed.flood(field, size[1:], told).collect()} == want
+
+
+@pytest.mark.parametrize("solid", [False, True])
+def test_planes_that_go_whole_give_the_same_regions(spark, solid, monkeypatch):
+    """A long thin volume in pieces; a solid stretch has distances that no piece sees."""
+    rng = np.random.default_rng(1)
+    v = np.where(rng.random((700, 3, 4)) < 0.8, 1 + np.arange(700)[:, None, None] // 9 % 3, 0)
+    v[290:300] = 0
+    if solid:
+        v[300:560] = 4
+    asked = []
+    real = watershed.squared_distance
+    monkeypatch.setattr(watershed, "squared_distance", lambda *a: asked.append(1) or real(*a))
+
+    def run():
+        maxima, regions = watershed.watershed_regions(frame(spark, v), v.shape, 0.2, 1, 6)
+        return sorted(map(tuple, maxima.collect())), sorted(map(tuple, regions.select("z", "y", "x", "seg_id", "region").collect()))
+
+    got = run()
+    assert len(asked) == solid and len(got[1]) > 1000
+    monkeypatch.setattr(watershed, "GROUP_CELLS", 0)
+    assert run() == got
