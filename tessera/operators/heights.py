@@ -171,8 +171,10 @@ def settle(height: list[float], is_open: list[bool], pairs: list[tuple[int, int,
 
 def _by_label(label: np.ndarray) -> list[tuple[int, int]]:
     """Runs of equal values."""
-    cuts = np.flatnonzero(label[1:] != label[:-1]) + 1
-    return [*zip(np.concatenate([[0], cuts]).tolist(), np.concatenate([cuts, [len(label)]]).tolist())] if len(label) else []
+    if not len(label):
+        return []
+    cuts = (np.flatnonzero(label[1:] != label[:-1]) + 1).tolist()
+    return [*zip([0, *cuts], [*cuts, len(label)])]
 
 
 def _core(begin: list[int], size: tuple[int, ...], low: list[int], high: list[int]) -> np.ndarray:
